@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, language_id, line_dedup, mixing, parity_join
+from tidemark.llm import decontaminate, language_id, line_dedup, mixing, parity_join, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": language_id.op1_language_id,
+    "op8_secrets": secrets.op8_secrets,
     "op9_parity_join": parity_join.op9_parity_join,
     "op4_line_dedup": line_dedup.op4_line_dedup,
     "op5_decontaminate": decontaminate.op5_decontaminate,
