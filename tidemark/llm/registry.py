@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, language_id, line_dedup, media_chunks, mixing, parity_join, ppm_score, secrets
+from tidemark.llm import decontaminate, kneser_ney, language_id, line_dedup, media_chunks, mixing, parity_join, ppm_score, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": language_id.op1_language_id,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": secrets.op8_secrets,
     "op9_parity_join": parity_join.op9_parity_join,
     "op2_lm_score": ppm_score.op2_lm_score,
+    "op3_quality": kneser_ney.op3_quality,
     "op4_line_dedup": line_dedup.op4_line_dedup,
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op7_source_mix": mixing.op7_source_mix,
