@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SHINGLE = 5
+#: Bits of the sets of repeated keys: 8 MiB.
+SLOT_LOG = 26
 _own_dir: str | None = None
 
 
@@ -92,6 +94,15 @@ def shingle_hashes(words: np.ndarray, n: int = SHINGLE) -> np.ndarray:
     return gram_hashes(words, n) if len(words) >= n else gram_hashes(words, len(words)) if len(words) else np.empty(0, np.uint64)
 
 
+def bit_set(keys: DataFrame) -> np.ndarray:
+    """2 ** SLOT_LOG bits (8 MiB) of the keys' top bits; at most 2 ** (SLOT_LOG - 5) words reach the driver."""
+    slot = F.shiftrightunsigned("key", 64 - SLOT_LOG).cast("int")
+    words = keys.select(slot.alias("slot")).groupBy(F.shiftright("slot", 5).alias("word")).agg(F.bit_or(F.expr("shiftleft(1, slot & 31)")).alias("bits")).toArrow()
+    out = np.zeros(1 << (SLOT_LOG - 5), np.uint32)
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy().astype(np.int32).view(np.uint32)
+    return out
+
+
 def batches_of(rows: Iterable, size, most: int) -> Iterator[list]:
     """Cut an iterable into lists whose sizes add up to about ``most``."""
     out, total = [], 0

@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, kneser_ney, language_id, line_dedup, media_chunks, mixing, parity_join, ppm_score, secrets
+from tidemark.llm import chain_dedup, decontaminate, kneser_ney, language_id, line_dedup, media_chunks, mixing, parity_join, ppm_score, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op10_chain_dedup": chain_dedup.op10_chain_dedup,
     "op1_language_id": language_id.op1_language_id,
     "op6_media_chunks": media_chunks.op6_media_chunks,
     "op8_secrets": secrets.op8_secrets,
