@@ -3,10 +3,44 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemark.llm import decontaminate, language_id, line_dedup, mixing, parity_join
 from tidemark.llm.common import stored, table
 
-STAGES: list = []
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Language identification learnt from the documents' own labels; texts without letters and those whose language is no better than a guess go."""
+    model = language_id.train(docs)
+    names = [F.col(c) for c in docs.columns]
+    judged = language_id.identify(docs, model, F.struct(*names).alias("kept"))
+    return judged.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= SURE)).select("kept.*")
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Runs of lines that occurred before are cut out; documents of which nothing is left go."""
+    return line_dedup.clean(docs)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays: the one of smallest doc_id. Documents without doc_id stay."""
+    groups = parity_join.near_groups(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("copy_id")).distinct()
+    return docs.join(groups, docs["doc_id"] == groups["copy_id"], "left_anti")
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold an item of the benchmark go."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix of what is left: each document as often as its source's target takes it, with its shard and place."""
+    return mixing.mix(docs)
+
+
+#: A language must be likelier than all others together.
+SURE = 0.5
+STAGES = [("language", language), ("lines", lines), ("near_copies", near_copies), ("benchmark", benchmark), ("mix", mix)]
 #: The hashes, draws and regular expressions of the stages are beyond SQL; the tests hold the stages against brute force.
 ORACLE_SQL = None
 
