@@ -22,7 +22,7 @@ class Contracts:
 
 # Fixed values of the evidence model.
 AVAILABILITY = ("content_captured", "explicit_closure", "redirected_to_listing", "redirected_to_other_job", "not_found", "identity_mismatch", "access_control_challenge", "retrieval_failed")
-UNCERTAIN = ("access_control_challenge", "retrieval_failed", "identity_mismatch", "redirected_to_other_job")
+UNCERTAIN = ("access_control_challenge", "retrieval_failed")
 TERMINAL = ("explicit_closure", "redirected_to_listing", "not_found")
 IDENTITY = ("match", "mismatch", "absent_on_page", "not_observed")
 EVENT_KINDS = ("first_observed", "listed", "absent_qualified", "reappeared", "content_changed")

@@ -57,14 +57,14 @@ def recheck_policy(obs: DataFrame, listed: DataFrame, weekly_after: int = 3) ->
     """Per posting, its streak of terminal checks and its tier.
 
     In order of time: a listed or captured check ends a streak, a terminal one lengthens it, any other leaves it as it is. So the streak is the number
-    of terminal checks since the last reset: an aggregation, not a fold.
+    of terminal checks since the last reset: an aggregation, not a fold. The weekly tier is due seven days after the last terminal check.
     """
     o = obs.join(listed.select("slot", "posting_id", F.lit(True).alias("on_list")), ["slot", "posting_id"], "left")
     reset = F.coalesce("on_list", F.lit(False)) | (F.col("availability") == "content_captured")
     w = Window.partitionBy("posting_id").orderBy("observed_at", "observation_id")
-    o = o.withColumn("island", F.count_if(reset).over(w)).withColumn("latest", F.max("observed_at").over(Window.partitionBy("posting_id")))
+    o = o.withColumn("island", F.count_if(reset).over(w))
     terminal = F.col("availability").isin("explicit_closure", "redirected_to_listing", "not_found") & ~reset
-    islands = o.groupBy("posting_id", "island").agg(F.count_if(terminal).alias("streak"), F.max("latest").alias("latest"))
+    islands = o.groupBy("posting_id", "island").agg(F.count_if(terminal).alias("streak"), F.max(F.when(terminal, F.col("observed_at"))).alias("latest"))
     last = islands.groupBy("posting_id").agg(F.max_by(F.struct("streak", "latest"), "island").alias("l"))
     weekly = F.col("l.streak") >= weekly_after
     return last.select("posting_id", F.col("l.streak").alias("streak"), F.when(weekly, "weekly").otherwise("daily").alias("tier"), F.when(weekly, F.col("l.latest") + F.make_dt_interval(F.lit(7))).alias("next_due"))

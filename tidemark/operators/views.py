@@ -25,16 +25,16 @@ def last_listed(entries: DataFrame, runs: DataFrame) -> DataFrame:
 def posting_current(obs: DataFrame, postings: DataFrame, versions: DataFrame, entries: DataFrame, runs: DataFrame) -> DataFrame:
     """Latest content, latest check of any kind, freshness and counts of every posting.
 
-    checked: the content is as recent as the latest check; carried-forward: a later check found no new content;
-    carried-forward-uncertain: the latest check could not tell; never-captured: there is no content.
+    In this order: never-captured: there is no content; carried-forward-uncertain: the latest check could not tell;
+    checked: the content is as recent as the latest check; carried-forward: a later check found no new content.
     """
     own = obs.where("availability = 'content_captured' AND identity = 'match'")
     content = latest(own, "posting_id").select("posting_id", F.col("version").alias("content_version"), F.col("lineage").alias("content_lineage"), F.col("observed_at").alias("content_at"))
     check = latest(obs, "posting_id").select("posting_id", F.col("availability").alias("last_availability"), F.col("observed_at").alias("checked_at"))
     counts = versions.groupBy("posting_id").agg(F.count("*").alias("version_count"))
     out = postings.join(content, "posting_id", "left").join(check, "posting_id", "left").join(counts, "posting_id", "left").join(last_listed(entries, runs), "posting_id", "left")
-    uncertain = F.col("last_availability").isin("access_control_challenge", "retrieval_failed", "identity_mismatch", "redirected_to_other_job")
-    fresh = F.when(F.col("content_at").isNull(), "never-captured").when(F.col("content_at") >= F.col("checked_at"), "checked").when(uncertain, "carried-forward-uncertain").otherwise("carried-forward")
+    uncertain = F.col("last_availability").isin("access_control_challenge", "retrieval_failed")
+    fresh = F.when(F.col("content_at").isNull(), "never-captured").when(uncertain, "carried-forward-uncertain").when(F.col("content_at") == F.col("checked_at"), "checked").otherwise("carried-forward")
     return out.withColumn("freshness", fresh).withColumn("version_count", F.coalesce("version_count", F.lit(0))).withColumn("times_listed", F.coalesce("times_listed", F.lit(0)))
 
 

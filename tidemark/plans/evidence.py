@@ -84,8 +84,8 @@ def query(name: str, sql: str | None = None, ctes: bool = True):
 MORE = """, own AS (SELECT * FROM obs WHERE availability = 'content_captured' AND identity = 'match'),
 listed_at AS (SELECT posting_id, max(seen_at) AS last_listed, count(*) AS times_listed FROM entries JOIN runs USING (slot) WHERE qualified GROUP BY 1),
 cur AS (SELECT p.*, c.content_version, c.content_lineage, c.content_at, k.last_availability, k.checked_at, coalesce(v.n, 0) AS version_count, l.last_listed, coalesce(l.times_listed, 0) AS times_listed,
-  CASE WHEN content_at IS NULL THEN 'never-captured' WHEN content_at >= checked_at THEN 'checked'
-    WHEN last_availability IN ('access_control_challenge', 'retrieval_failed', 'identity_mismatch', 'redirected_to_other_job') THEN 'carried-forward-uncertain' ELSE 'carried-forward' END AS freshness
+  CASE WHEN content_at IS NULL THEN 'never-captured' WHEN last_availability IN ('access_control_challenge', 'retrieval_failed') THEN 'carried-forward-uncertain'
+    WHEN content_at = checked_at THEN 'checked' ELSE 'carried-forward' END AS freshness
   FROM postings p
   LEFT JOIN (SELECT posting_id, version AS content_version, lineage AS content_lineage, observed_at AS content_at FROM own QUALIFY row_number() OVER (PARTITION BY posting_id ORDER BY observed_at DESC, observation_id DESC) = 1) c USING (posting_id)
   LEFT JOIN (SELECT posting_id, availability AS last_availability, observed_at AS checked_at FROM obs QUALIFY row_number() OVER (PARTITION BY posting_id ORDER BY observed_at DESC, observation_id DESC) = 1) k USING (posting_id)
@@ -103,8 +103,8 @@ pev AS (SELECT slot, posting_id, 'first_observed' AS event_kind, CAST(NULL AS TI
 pol0 AS (SELECT o.*, (q.slot IS NOT NULL OR availability = 'content_captured') AS reset FROM obs o LEFT JOIN (SELECT DISTINCT slot, posting_id FROM entries JOIN runs USING (slot) WHERE qualified) q USING (slot, posting_id)),
 pol1 AS (SELECT *, count(*) FILTER (reset) OVER (PARTITION BY posting_id ORDER BY observed_at, observation_id) AS island FROM pol0),
 pol AS (SELECT posting_id, streak, CASE WHEN streak >= 3 THEN 'weekly' ELSE 'daily' END AS tier, CASE WHEN streak >= 3 THEN latest + INTERVAL 7 DAY END AS next_due FROM (
-  SELECT posting_id, count(*) FILTER (NOT reset AND availability IN ('explicit_closure', 'redirected_to_listing', 'not_found')) AS streak, max(latest) AS latest FROM (
-    SELECT *, max(island) OVER (PARTITION BY posting_id) AS top, max(observed_at) OVER (PARTITION BY posting_id) AS latest FROM pol1) WHERE island = top GROUP BY posting_id))"""
+  SELECT posting_id, count(*) FILTER (NOT reset AND availability IN ('explicit_closure', 'redirected_to_listing', 'not_found')) AS streak, max(observed_at) FILTER (NOT reset AND availability IN ('explicit_closure', 'redirected_to_listing', 'not_found')) AS latest FROM (
+    SELECT *, max(island) OVER (PARTITION BY posting_id) AS top FROM pol1) WHERE island = top GROUP BY posting_id))"""
 
 
 def text(*columns: str):
@@ -209,12 +209,12 @@ def freshness_by_availability(e: Evidence) -> DataFrame:
     return e.current.groupBy("freshness", "last_availability").agg(F.count("*").alias("n"))
 
 
-@query("availability_split", "SELECT CAST(slot AS VARCHAR) AS slot, count(*) FILTER (availability IN ('explicit_closure', 'redirected_to_listing', 'not_found')) AS terminal, count(*) FILTER (availability IN ('access_control_challenge', 'retrieval_failed', 'identity_mismatch', 'redirected_to_other_job')) AS uncertain, count(DISTINCT posting_id) FILTER (availability = 'content_captured') AS ever_captured FROM obs GROUP BY 1")
+@query("availability_split", "SELECT CAST(slot AS VARCHAR) AS slot, count(*) FILTER (availability IN ('explicit_closure', 'redirected_to_listing', 'not_found')) AS terminal, count(*) FILTER (availability IN ('access_control_challenge', 'retrieval_failed')) AS uncertain, count(DISTINCT posting_id) FILTER (availability = 'content_captured') AS ever_captured FROM obs GROUP BY 1")
 def availability_split(e: Evidence) -> DataFrame:
     a = F.col("availability")
     return e.obs.groupBy(F.col("slot").cast("string").alias("slot")).agg(
         F.count_if(a.isin("explicit_closure", "redirected_to_listing", "not_found")).alias("terminal"),
-        F.count_if(a.isin("access_control_challenge", "retrieval_failed", "identity_mismatch", "redirected_to_other_job")).alias("uncertain"),
+        F.count_if(a.isin("access_control_challenge", "retrieval_failed")).alias("uncertain"),
         F.count_distinct(F.when(a == "content_captured", F.col("posting_id"))).alias("ever_captured"),
     )
 
