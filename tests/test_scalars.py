@@ -106,3 +106,25 @@ def test_decoding():
 def test_slicing():
     assert M.slice_by_id('<div id="a"><!-- </div> --><div>x</div><p title="</div>">y</p></div><p>', "a").endswith("y</p></div>")
     assert M.slice_by_id("<div>", "a") is None
+
+
+def test_small_rules(spark):
+    assert one(spark, S.multi_values(F.lit("a ; b,c;; d"))) == ["a", "b,c", "d"]
+    assert one(spark, S.html_escape(F.lit("<a href=\"x\">&'"))) == "&lt;a href=&quot;x&quot;&gt;&amp;&#x27;"
+    assert one(spark, S.mib(F.lit(3 * 1048576))) == "3.0 MiB"
+    assert tuple(one(spark, S.media_type(F.lit("Text/HTML; charset=\"UTF-8\"")))) == ("text/html", "utf-8")
+    assert one(spark, S.job_id_of(F.lit("https://x.y/en-us/job/501826/slug"))) == "501826" and one(spark, S.job_id_of(F.lit("https://x.y/job/1"))) is None
+    assert one(spark, S.page_url(F.lit("https://x.y/l?a=1"), F.lit(2), 20)) == "https://x.y/l?page=2&page-items=20"
+    assert one(spark, S.page_url(F.lit("https://x.y/l"), F.lit(1), 20)) == "https://x.y/l"
+    assert one(spark, S.label_key(F.lit(" Job No. "))) == "job_no"
+    assert tuple(one(spark, S.capped(F.lit(b"abcdef"), 3))) == ("partial", bytearray(b"abc"))
+    assert one(spark, S.redirect_class(F.lit("https://x.y/en-us/job/1"), F.lit("https://x.y/en-us/job/2"), F.lit(1))) == "to_other_job"
+    values = F.array(F.struct(*(F.lit(v).cast("string").alias(n) for n, v in (("field_key", "k"), ("field_state", "s"), ("ordinal", "0"), ("origin", None), ("source_label", "é"), ("value_text", 'a"b')))))
+    import hashlib
+    import json
+
+    blob = json.dumps([{"field_key": "k", "field_state": "s", "ordinal": "0", "origin": None, "source_label": "é", "value_text": 'a"b'}], ensure_ascii=False, separators=(",", ":"), sort_keys=True)
+    assert one(spark, S.metadata_fingerprint(values, "1.0.0")) == hashlib.sha256(f"metadata\x1f1.0.0\x1f{blob}\x1f".encode()).hexdigest()
+    a, b = F.lit("x"), F.lit(None).cast("string")
+    assert one(spark, S.page_signature(F.array(F.lit("1"), F.lit("2")), b)) == hashlib.sha256(b"1,2|").hexdigest() and one(spark, S.page_signature(F.array(a), a))
+    assert one(spark, S.html_fingerprint(a, "1")) != one(spark, S.text_fingerprint(a, "1"))

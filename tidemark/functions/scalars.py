@@ -148,8 +148,10 @@ def page_signature(ids: Column, next_url: Column) -> Column:
 
 
 def page_url(base: str | Column, page: str | Column, items: int) -> Column:
-    sep = F.when(F.contains(_col(base), F.lit("?")), "&").otherwise("?")
-    return F.when(_col(page) <= 1, _col(base)).otherwise(F.concat(_col(base), sep, F.format_string("page=%d&page-items=%d", _col(page).cast("int"), F.lit(items))))
+    """Address of a listing page; the first page without a query is the base itself, any other query is replaced."""
+    path = F.regexp_extract(_col(base), r"^[^?#]*", 0)
+    bare = (_col(page) <= 1) & ~F.contains(_col(base), F.lit("?"))
+    return F.when(bare, _col(base)).otherwise(F.concat(path, F.format_string("?page=%d&page-items=%d", _col(page).cast("int"), F.lit(items))))
 
 
 def host_of(url: str | Column) -> Column:
