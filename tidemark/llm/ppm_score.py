@@ -33,7 +33,7 @@ SYMBOLS = 255
 STRINGS = 1 << 21
 WORDS = 1 << 17
 WORD_BYTES = 4 << 20
-PIECE = 1_000_000
+PIECE = 500_000
 
 
 def strings_of(raw: bytes, first: bool, last: bool, before: bytes = b"") -> np.ndarray:
