@@ -342,6 +342,32 @@ def test_similarity_join(make):
     assert [(x["n_shingles"], x["component_id"]) for x in out] == brute_groups(texts)
 
 
+@pytest.mark.parametrize("block", [parity_join.BLOCK, 300])
+def test_similarity_join_of_many_dissimilar_variants(make, monkeypatch, block):
+    """Links that hang on no pivot: independent variants of one template, most pairs of them below the threshold."""
+    monkeypatch.setattr(parity_join, "BLOCK", block)
+    r, base = random.Random(21), words(300, 22)
+    texts = []
+    for k in range(1100):
+        w = list(base)
+        for at in r.sample(range(2, 298), 6):
+            w[at] = f"v{k}x{at}"
+        texts.append(w)
+    # new shingles are in one variant only, so those of the template decide
+    held = np.array([[w[i : i + 5] == base[i : i + 5] for i in range(296)] for w in texts], np.float32)
+    both = held @ held.T
+    linked = 100 * both >= 75 * (2 * 296 - both)
+    label = np.arange(len(texts))
+    while True:
+        new = np.where(linked, label, len(texts)).min(1)
+        if (new == label).all():
+            break
+        label = new
+    assert 50 < len(set(label.tolist())) < 1000
+    out = parity_join.near_groups(make([" ".join(w) for w in texts])).orderBy("doc_id").collect()
+    assert [x["component_id"] for x in out] == label.tolist()
+
+
 def test_sketch_bounds_the_difference():
     r = np.random.default_rng(8)
     for _ in range(100):

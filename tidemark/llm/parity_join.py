@@ -20,6 +20,11 @@ keys, which stands in the middle of a group of copies, and one or two random one
 Hamming distance must not pass the greatest possible difference, sort candidates out; the rest are verified exactly on
 their shingles. The first round verifies one candidate a document; the second the candidates that the components of the
 first do not join already. Documents with equal sets are one class all along and never compared.
+
+Pivots only join most of a group cheaply; the third round is exact. In every key whose members lie in more than one component
+all pairs across components are held against the size and sketch bounds (keys of more than SMALL_GROUP members in
+blocks of BLOCK), and all that pass and are not verified yet are verified. So each pair that shares a key is either joined, verified or
+beyond a bound.
 """
 
 from __future__ import annotations
@@ -41,6 +46,8 @@ KEYS = 64
 PER_PART = 3.2
 SINGLES = 8
 SMALL_GROUP = 16
+#: Members of a large key that are compared at a time; larger keys are dealt over the pairs of such blocks.
+BLOCK = 2_000
 BAND = 4 / 3
 SKETCH_BITS = 4
 MOST_SKETCH = 1 << 14
@@ -160,6 +167,50 @@ def _near(batches: Iterator[pa.RecordBatch], top: int, out_of: int) -> Iterator[
         yield batch.select(["a", "b", "na", "nb"]).filter(pa.array(keep, pa.bool_()))
 
 
+def across(n: np.ndarray, label: np.ndarray, block: np.ndarray, sketches: list[bytes], top: int, out_of: int) -> list[tuple[int, int]]:
+    """Pairs of places of different labels that pass the size and sketch bounds; of two blocks, only pairs between them."""
+    lengths = np.array([len(x) for x in sketches], np.int64)
+    folded = {}
+    for size in np.unique(lengths).tolist():
+        at = np.flatnonzero(lengths >= size)
+        # a sketch is longer by a power of two; folding is XOR over its pieces of the shorter length
+        rows = np.array([np.bitwise_xor.reduce(np.frombuffer(sketches[i], np.uint64).reshape(-1, size // 8), 0) for i in at])
+        place = np.full(len(n), -1)
+        place[at] = np.arange(len(at))
+        folded[size] = (rows, place)
+    two = len(np.unique(block)) > 1
+    _, own, many = np.unique(label, return_inverse=True, return_counts=True)
+    # the members of the largest component are never the ones looped over
+    order = np.lexsort((label, -many[own]))
+    n, lengths_of, label_of, block_of = n[order], lengths[order], label[order], block[order]
+    starts = np.flatnonzero(np.append(True, label_of[1:] != label_of[:-1]))
+    out = []
+    for s, e in zip(starts, np.append(starts[1:], len(n)), strict=True):
+        for i in range(s, e) if s else ():
+            fits = np.minimum(n[:s], n[i]) * out_of >= np.maximum(n[:s], n[i]) * top
+            if two:
+                fits &= block_of[:s] != block_of[i]
+            others = np.flatnonzero(fits)
+            sizes = np.minimum(lengths_of[others], lengths_of[i])
+            for size in np.unique(sizes).tolist():
+                rows, place = folded[size]
+                some = others[sizes == size]
+                apart = np.bitwise_count(rows[place[order[some]]] ^ rows[place[order[i]]]).sum(1, dtype=np.int64)
+                out.extend((int(order[i]), int(order[k])) for k in some[apart * (out_of + top) <= (n[some] + n[i]) * (out_of - top)])
+    return out
+
+
+def _across(top: int, out_of: int):
+    def compare(rows: pa.Table) -> pa.Table:
+        rep, n, label, block = (rows.column(c).to_numpy() for c in ("rep", "n", "label", "block"))
+        found = across(n, label, block, rows.column("sketch").to_pylist(), top, out_of)
+        i, k = (np.array([p[side] for p in found], np.int64) for side in (0, 1))
+        i, k = np.where(rep[i] < rep[k], i, k), np.where(rep[i] < rep[k], k, i)
+        return pa.table({"a": rep[i], "b": rep[k], "na": n[i], "nb": n[k]})
+
+    return compare
+
+
 def _verify(top: int, out_of: int):
     def check(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
         memo, b = WordHashes(), key[0].as_py()
@@ -239,8 +290,11 @@ def near_groups(docs: DataFrame, top: int = TOP, out_of: int = OUT_OF) -> DataFr
     rest = rest.join(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
     sketch = lambda side, name: some.select(F.col("doc_id").alias(side), F.col("sketch").alias(name), F.col("n").alias(f"n{side}"))
     near = rest.join(sketch("a", "sa"), ["a", "na"]).join(sketch("b", "sb"), ["b", "nb"]).select("a", "b", "na", "nb", "sa", "sb")
-    near = near.mapInArrow(lambda x: _near(x, top, out_of), "a long, b long, na long, nb long").distinct()
-    links = first.union(stored(verified(stored(near, "parity-near"), texts, top, out_of), "parity-links"))
+    near = stored(near.mapInArrow(lambda x: _near(x, top, out_of), "a long, b long, na long, nb long").distinct(), "parity-near")
+    links = first.union(stored(verified(near, texts, top, out_of), "parity-links"))
+    done = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).union(near.select("a", "b"))
+    left = stored(unjoined(members, components(links), sketch, top, out_of).join(done, ["a", "b"], "left_anti"), "parity-left")
+    links = links.union(stored(verified(left, texts, top, out_of), "parity-links"))
     label = components(links.union(same))
     both = links.union(links.select("b", "a")).union(same).union(same.select("b", "a")).toDF("doc_id", "to")
     linked = both.groupBy("doc_id").agg(F.count_distinct("to").alias("n_links"))
@@ -248,6 +302,28 @@ def near_groups(docs: DataFrame, top: int = TOP, out_of: int = OUT_OF) -> DataFr
     return out.select("doc_id", "n_shingles", F.coalesce("label", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
+def unjoined(members: DataFrame, label: DataFrame, sketch, top: int, out_of: int) -> DataFrame:
+    """a, b, na, nb: all pairs of members of a key (rep, n, key, m) that lie in different components and pass both bounds."""
+    named = members.join(label.withColumnRenamed("node", "rep"), "rep", "left").select("key", "m", "rep", "n", F.coalesce("label", "rep").alias("label"))
+    parted = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("s1"), F.bit_xor(F.xxhash64(F.lit(1), "rep")).alias("s2"), F.first("m").alias("m")).where("low <> high")
+    # of keys with the same members one will do
+    parted = parted.groupBy("m", "s1", "s2").agg(F.min("key").alias("key")).select("key")
+    named = stored(named.join(parted, "key"), "parity-parted")
+    x, y = (named.where(F.col("m") <= SMALL_GROUP).select("key", *(F.col(c).alias(c + side) for c in ("rep", "n", "label"))) for side in "xy")
+    fits = F.least("nx", "ny") * out_of >= F.greatest("nx", "ny") * top
+    small = x.join(y, "key").where((F.col("repx") < F.col("repy")) & (F.col("labelx") != F.col("labely")) & fits)
+    small = small.select(F.col("repx").alias("a"), F.col("repy").alias("b"), F.col("nx").alias("na"), F.col("ny").alias("nb")).distinct()
+    small = small.join(sketch("a", "sa"), ["a", "na"]).join(sketch("b", "sb"), ["b", "nb"]).select("a", "b", "na", "nb", "sa", "sb")
+    small = small.mapInArrow(lambda r: _near(r, top, out_of), "a long, b long, na long, nb long")
+    large = named.where(F.col("m") > SMALL_GROUP).withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int"))
+    large = large.withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
+    large = large.select("key", "rep", "n", "label", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    large = large.join(sketch("rep", "sketch").withColumnRenamed("nrep", "n").distinct(), ["rep", "n"])
+    large = large.select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "rep", "n", "label", "block", "sketch")
+    large = large.groupBy("key", "lo", "hi").applyInArrow(_across(top, out_of), "a long, b long, na long, nb long")
+    return small.union(large).distinct()
+
+
 def best_partner(hits: DataFrame) -> DataFrame:
     """For each document the partner that it met in most keys as the middle of their members."""
     top = hits.groupBy("a").agg(F.max(F.struct("led", "times", "b", "na", "nb")).alias("t"))
