@@ -122,6 +122,16 @@ def test_quality(spark, make, monkeypatch):
     assert all(keep[k] for k in range(120)) and not any(keep[k] for k in range(120, 132))
 
 
+def test_quality_of_few_trusted(spark, make):
+    """Fewer trusted rows than TRAIN_DOCS: the limits must come from rows that the model has not seen."""
+    r, vocabulary = random.Random(31), words(1000, 32)
+    clean = [" ".join(r.choice(vocabulary) for _ in range(60)) for _ in range(300)]
+    df = make([*clean, *(" ".join(words(60, k, "junk")) for k in range(20))])
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(200)], "doc_id long, quality int, toxic int")
+    keep = {x["doc_id"]: x["keep"] for x in kneser_ney.classify(df, labels).collect()}
+    assert sum(keep[k] for k in range(200, 300)) >= 95 and not any(keep[k] for k in range(300, 320))
+
+
 def test_kneser_ney_sums_to_one(make):
     tables, unknown = kneser_ney.train(make(["a b a c", "b a c a", "a a b c d"]))
     memo = kneser_ney.WordHashes()
