@@ -432,3 +432,11 @@ def test_passages(spark, make):
     assert rows[2, 0]["end_word"] - rows[2, 0]["start_word"] >= 75 and 0.85 < rows[2, 0]["identity"] < 1
     assert {(r["doc_id"], r["src_id"]) for r in chain_dedup.passages(odd(spark)).collect()} == {(5, 4)}
     assert chain_dedup.passages(empty(spark)).count() == 0
+
+
+@pytest.mark.parametrize("gap", [40, 100])
+def test_passages_with_unlike_words_between(make, gap):
+    one, two = words(60, 41), words(60, 42)
+    texts = [" ".join([*one, *words(gap, 50 + k), *two]) for k in range(2)]
+    rows = chain_dedup.passages(make(texts)).orderBy("start_word").collect()
+    assert [(r["doc_id"], r["src_id"], r["start_word"], r["end_word"], r["src_start"], r["src_end"], r["identity"]) for r in rows] == [(1, 0, a, a + 60, a, a + 60, 1.0) for a in (0, 60 + gap)]
