@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,24 +26,46 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or a folder of our own where that is unset."""
+    """The folder for tables between stages: ``spark.checkpoint.dir``, else the warehouse, which a cluster shares too.
+
+    Only a local master, whose driver and executors are one process, gets a temporary folder where the setting is missing.
+    """
     global _own_dir
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        return spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
     if _own_dir is None:
         _own_dir = "file://" + tempfile.mkdtemp(prefix="tidemark-")
+        atexit.register(shutil.rmtree, _own_dir.removeprefix("file://"), ignore_errors=True)
     return _own_dir
 
 
+def run_dir(spark: SparkSession) -> str:
+    """This application's own folder in the shared one."""
+    return f"{shared_dir(spark)}/tidemark-{spark.sparkContext.applicationId}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete all tables that this application stored. Results that read them can't be used afterwards, so write those first."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stored(df: DataFrame, label: str, compression: str = "zstd") -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back; this cuts the lineage and survives lost executors."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{run_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def columns(names: list[str]) -> list[Column]:
+    """The columns of these names, whatever signs are in them."""
+    return [F.col("`" + name.replace("`", "``") + "`") for name in names]
+
+
 def crc32_of(column: str) -> Column:
     """crc32 of the column as text; null counts as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary"))
@@ -103,6 +129,39 @@ def bit_set(keys: DataFrame) -> np.ndarray:
     return out
 
 
+def has_bit(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether the keys' bits are set in a ``bit_set``."""
+    slot = (keys >> np.uint64(64 - SLOT_LOG)).astype(np.int64)
+    return bits[slot >> 5] >> (slot & 31).astype(np.uint32) & np.uint32(1) == 1
+
+
+def least_count(rows: DataFrame, most: int, most_size: int) -> int:
+    """The least count n (rows: n, size) from which on the rows number at most ``most`` and their sizes add up to ``most_size`` at most.
+
+    By a histogram of 16 classes a doubling, so at most about a thousand rows reach the driver.
+    """
+    bins = F.floor(F.log2("n") * 16).alias("bin")
+    classes = rows.groupBy(bins).agg(F.count("*").alias("rows"), F.sum("size").alias("size"), F.min("n").alias("least")).collect()
+    least, have, size = 1 << 62, 0, 0
+    for c in sorted(classes, key=lambda c: -c["bin"]):
+        have, size = have + c["rows"], size + c["size"]
+        if have > most or size > most_size:
+            break
+        least = c["least"]
+    return least
+
+
+def rows_named(bits, key: str):
+    """For mapInArrow: the rows whose ``key`` (a long) has its bit set in the broadcast set."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column(batch.schema.get_field_index(key)).to_numpy(zero_copy_only=False).view(np.uint64)
+            yield batch.filter(pa.array(has_bit(bits.value, keys)))
+
+    return keep
+
+
 def batches_of(rows: Iterable, size, most: int) -> Iterator[list]:
     """Cut an iterable into lists whose sizes add up to about ``most``."""
     out, total = [], 0

@@ -18,22 +18,28 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from math import log10
+from re import compile as pattern
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import arrow_texts, crc32_of, folded, stored, table
+from tidemark.llm.common import arrow_texts, crc32_of, folded, least_count, stored, table
 
 ORDER = 5
+_GAP = pattern(rb"[\x20\x09-\x0D]")
 START, END = 0xFE, 0xFF
 SYMBOLS = 255
 #: Entries of the broadcast tables: 32 MiB of strings; words of up to WORD_BYTES in all.
 STRINGS = 1 << 21
 WORDS = 1 << 17
 WORD_BYTES = 4 << 20
-PIECE = 500_000
+#: Strings that are counted or looked up at a time, distinct ones that a task holds, and bytes of words: what bounds a worker's memory.
+PIECE = 1 << 18
+HELD = 1 << 20
+TEXT_BYTES = 4 << 20
+ROWS = 1 << 16
 
 
 def strings_of(raw: bytes, first: bool, last: bool, before: bytes = b"") -> np.ndarray:
@@ -54,6 +60,16 @@ def pieces_of(text: str | None) -> Iterator[np.ndarray]:
         yield strings_of(raw[at : at + PIECE], at == 0, at + PIECE >= len(raw), head)
 
 
+def word_lists(text: str | None) -> Iterator[list[bytes]]:
+    """The text's lower-cased words, those of about TEXT_BYTES at a time."""
+    raw, at = folded(text), 0
+    while at < len(raw):
+        gap = _GAP.search(raw, min(at + TEXT_BYTES, len(raw)))
+        end = gap.start() if gap else len(raw)
+        yield raw[at:end].split()
+        at = max(end, at + 1)
+
+
 def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     g = np.concatenate([p[0] for p in parts])
     n = np.concatenate([p[1] for p in parts])
@@ -64,40 +80,45 @@ def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
 
 
 def _count_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    parts, held, size = [], [], 0
+    parts, waiting, size = [], [], 0
 
     def close() -> None:
-        if held:
-            parts.append(np.unique(np.concatenate(held), return_counts=True))
-            held.clear()
+        if waiting:
+            parts.append(np.unique(np.concatenate(waiting), return_counts=True))
+            waiting.clear()
 
     for (text,) in arrow_texts(batches, "text"):
         for piece in pieces_of(text):
-            held.append(piece)
+            waiting.append(piece)
             size += len(piece)
-            if size >= 2 * PIECE:
+            if size >= PIECE:
                 close()
                 size = 0
-                if sum(len(p[0]) for p in parts) > 4 * PIECE:
+                if sum(len(p[0]) for p in parts) > HELD:
                     parts[:] = [_merged(parts)]
-                    if len(parts[0][0]) > 3 * PIECE:
-                        yield _string_batch(*parts.pop())
+                    if len(parts[0][0]) > HELD // 2:
+                        yield from _string_batches(*parts.pop())
     close()
     if parts:
-        yield _string_batch(*_merged(parts))
+        yield from _string_batches(*_merged(parts))
 
 
-def _string_batch(g: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), pa.array(n.astype(np.int64))], names=["g", "n"])
+def _string_batches(g: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for at in range(0, len(g), ROWS):
+        yield pa.RecordBatch.from_arrays([pa.array(g[at : at + ROWS].view(np.int64)), pa.array(n[at : at + ROWS].astype(np.int64))], names=["g", "n"])
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: Counter = Counter()
+    size = 0
     for (text,) in arrow_texts(batches, "text"):
-        counts.update(folded(text).split())
-        if len(counts) > 400_000:
-            yield _word_batch(counts)
-            counts.clear()
+        for words in word_lists(text):
+            counts.update(words)
+            size += len(text)
+            if len(counts) >= ROWS or size >= 4 * TEXT_BYTES:
+                yield _word_batch(counts)
+                counts.clear()
+                size = 0
     if counts:
         yield _word_batch(counts)
 
@@ -163,81 +184,79 @@ class Model:
         return walk.select("g", F.when(F.col("done"), F.col("lp")).otherwise(F.col("lp") - F.log10(F.lit(SYMBOLS) - F.col("q"))).alias("lp"))
 
 
-def least_count(rows: DataFrame, most: int, most_size: int) -> int:
-    """The least count n (rows: n, size) from which on the rows number at most ``most`` and their sizes add up to ``most_size`` at most.
-
-    By a histogram of 16 classes a doubling, so at most about a thousand rows reach the driver.
-    """
-    bins = F.floor(F.log2("n") * 16).alias("bin")
-    classes = rows.groupBy(bins).agg(F.count("*").alias("rows"), F.sum("size").alias("size"), F.min("n").alias("least")).collect()
-    least, have, size = 1 << 62, 0, 0
-    for c in sorted(classes, key=lambda c: -c["bin"]):
-        have, size = have + c["rows"], size + c["size"]
-        if have > most or size > most_size:
-            break
-        least = c["least"]
-    return least
+_SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, words array<struct<w:binary,m:long>>, strings array<struct<g:long,m:long>>"
 
 
-_SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, words array<struct<w:binary,m:long>>, strings array<struct<g:long,m:long>>"
+def _lists(ends: np.ndarray, **columns: pa.Array) -> pa.ListArray:
+    """One list of structs for each row, from flat columns and the rows' ends in them."""
+    return pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.StructArray.from_arrays(list(columns.values()), names=list(columns)))
 
 
 def _scoring(shared):
-    pairs = pa.list_(pa.struct([("w", pa.binary()), ("m", pa.int64())]))
-    costs = pa.list_(pa.struct([("g", pa.int64()), ("m", pa.int64())]))
-
-    def flush(rows: list[list], held: list[tuple[int, np.ndarray]]) -> None:
-        """Add the costs of the held pieces (row, strings) to their rows."""
+    def looked_up(held: list[tuple[int, np.ndarray]], scores: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Add the costs of the held pieces (row, strings) to the rows' scores; row, string and number of those without a cost."""
         known, lp, _ = shared.value
-        if not held:
-            return
-        ids = np.unique([r for r, _ in held])
-        place = {int(r): k for k, r in enumerate(ids)}
-        packed = np.concatenate([p << np.uint64(16) | np.uint64(place[r]) for r, p in held])
+        packed = np.concatenate([p << np.uint64(16) | np.uint64(r) for r, p in held])
         packed, n = np.unique(packed, return_counts=True)
         g, of = packed >> np.uint64(16), (packed & np.uint64(0xFFFF)).astype(np.int64)
-        heads = np.flatnonzero(np.append(True, g[1:] != g[:-1]))
-        each = g[heads]
-        at = np.searchsorted(known, each)
+        at = np.searchsorted(known, g)
         at[at == len(known)] = 0
-        found = known[at] == each if len(known) else np.zeros(len(each), bool)
-        cost = np.where(found, lp[at] if len(known) else 0.0, np.nan)
-        cost = np.repeat(cost, np.diff(np.append(heads, len(g))))
-        there = ~np.isnan(cost)
-        for k, total in enumerate(np.bincount(of[there], cost[there] * n[there], minlength=len(ids))):
-            rows[int(ids[k])][5] += float(total)
-        for k, s, m in zip(of[~there].tolist(), g[~there].view(np.int64).tolist(), n[~there].tolist(), strict=True):
-            rows[int(ids[k])][7].append({"g": s, "m": m})
-        held.clear()
-
-    def batch(rows: list[list]) -> pa.RecordBatch:
-        kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pairs, costs)
-        names = ["doc_id", "held_out", "n_tokens", "n_known", "base", "score", "words", "strings"]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+        there = known[at] == g if len(known) else np.zeros(len(g), bool)
+        scores += np.bincount(of[there], lp[at[there]] * n[there], minlength=len(scores)) if len(known) else 0.0
+        return of[~there], g[~there].view(np.int64), n[~there]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = shared.value[2]
-        rows, held, size = [], [], 0
+        most = 1024
+        heads, scores = [], np.zeros(most)
+        held, size, missing, left = [], 0, [], 0
+        rare_words, rare_counts, rare_ends = [], [], []
+
+        def flush() -> None:
+            nonlocal size, left
+            if held:
+                missing.append(looked_up(held, scores))
+                left += len(missing[-1][0])
+            held.clear()
+            size = 0
+
+        def batch() -> pa.RecordBatch:
+            nonlocal left
+            flush()
+            of, g, n = (np.concatenate(c) for c in zip(*missing, strict=True))
+            order = np.argsort(of, kind="stable")
+            ends = np.cumsum(np.bincount(of, minlength=len(heads)))
+            strings = _lists(ends, g=pa.array(g[order]), m=pa.array(n[order].astype(np.int64)))
+            rare = _lists(np.array(rare_ends), w=pa.array(rare_words, pa.binary()), m=pa.array(rare_counts, pa.int64()))
+            kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64())
+            columns = [pa.array(c, t) for c, t in zip(zip(*heads, strict=True), kinds, strict=True)]
+            out = pa.RecordBatch.from_arrays([*columns, pa.array(scores[: len(heads)].copy()), rare, strings], names=["doc_id", "held_out", "n_tokens", "n_known", "base", "score", "words", "strings"])
+            for used in (heads, missing, rare_words, rare_counts, rare_ends):
+                used.clear()
+            scores[:] = 0
+            left = 0
+            return out
+
         for doc_id, held_out, text in arrow_texts(batches, "doc_id", "held_out", "text"):
-            tokens = folded(text).split()
-            logs = list(map(words.get, tokens))
-            rare = Counter(w for w, v in zip(tokens, logs, strict=True) if v is None)
-            total = sum(v for v in logs if v is not None)
-            rows.append([doc_id, held_out, len(tokens) + 1, len(tokens) - rare.total(), total, 0.0, [{"w": w, "m": m} for w, m in rare.items()], []])
+            total, n_tokens, rare = 0.0, 1, Counter()
+            for tokens in word_lists(text):
+                logs = list(map(words.get, tokens))
+                rare.update(w for w, v in zip(tokens, logs, strict=True) if v is None)
+                total += sum(v for v in logs if v is not None)
+                n_tokens += len(tokens)
+            heads.append((doc_id, held_out, n_tokens, n_tokens - 1 - rare.total(), total))
+            rare_words.extend(rare.keys())
+            rare_counts.extend(rare.values())
+            rare_ends.append(len(rare_words))
             for piece in pieces_of(text):
-                held.append((len(rows) - 1, piece))
+                held.append((len(heads) - 1, piece))
                 size += len(piece)
                 if size >= PIECE:
-                    flush(rows, held)
-                    size = 0
-            if not held or len(rows) >= 1024:
-                flush(rows, held)
-                size = 0
-                yield batch(rows)
-                rows = []
-        flush(rows, held)
-        if rows:
-            yield batch(rows)
+                    flush()
+            if len(heads) == most or left >= ROWS * 4 or len(rare_words) >= ROWS:
+                yield batch()
+        if heads:
+            yield batch()
 
     return score
 
