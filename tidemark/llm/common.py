@@ -14,6 +14,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 SHINGLE = 5
 #: Bits of the sets of repeated keys: 8 MiB.
@@ -66,6 +67,11 @@ def columns(names: list[str]) -> list[Column]:
     return [F.col("`" + name.replace("`", "``") + "`") for name in names]
 
 
+def typed(carried: StructField, ddl: str) -> StructType:
+    """A schema of a carried column, whatever names are inside, and those of ``ddl``."""
+    return StructType([carried, *StructType.fromDDL(ddl).fields])
+
+
 def crc32_of(column: str) -> Column:
     """crc32 of the column as text; null counts as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary"))
