@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SHINGLE, WordHashes, arrow_texts, batches_of, gram_hashes, mix64, stored, table, words_of
+from tidemark.llm.common import SHINGLE, WordHashes, arrow_texts, batches_of, bit_set, gram_hashes, has_bit, mix64, stored, table, words_of
 
 TOP, OUT_OF = 75, 100
 SIGNATURE = 20
@@ -99,7 +99,8 @@ def leaks(docs: DataFrame, items: DataFrame, top: int = TOP, out_of: int = OUT_O
 
     ``items``: item_id, text. Items and documents are lower-cased (A-Z) and cut at spaces; an item of fewer than five
     words is one shingle of all its words. Null and empty texts hold nothing and are held by nothing. Repeated rows give
-    equal rows once for each pair of doc_id and item_id with the same figures. Null ids are carried as they are. Other columns are not read.
+    equal rows once for each pair of doc_id and item_id with the same figures. Rows that share an id but not the text are judged
+    each by itself. Null ids are carried as they are. Both ways, by broadcast and by shuffle, give the same rows. Other columns are not read.
     """
     spark = docs.sparkSession
     n_words = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]++")), F.lit(0))
@@ -117,37 +118,52 @@ def leaks(docs: DataFrame, items: DataFrame, top: int = TOP, out_of: int = OUT_O
 
 
 def _leaks_by_shuffle(docs: DataFrame, items: DataFrame, top: int, out_of: int) -> DataFrame:
-    """For items beyond the bound: signatures and documents meet by shingle, candidates by their ids."""
+    """For items beyond the bound: signatures and documents meet by shingle, candidates by their row keys.
 
-    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = WordHashes()
-        for item_id, text in arrow_texts(batches, "item_id", "text"):
-            n, h = item_shingles(text, memo)
-            if n:
-                s = signature(h)
-                yield pa.RecordBatch.from_arrays([pa.array([item_id] * len(s), pa.int64()), pa.array([n] * len(s), pa.int32()), pa.array(s.view(np.int64))], names=["item_id", "n", "gram"])
+    A row's key is a hash of its id and text, so rows that share an id stay apart and null ids take part. Bit sets of fixed size keep
+    shingles that no item has, and documents that are no candidates, out of the shuffles.
+    """
+    keyed = lambda df, name, seed: df.select(F.xxhash64(F.lit(seed), name, "text").alias("row"), name, "text")
+    docs, items = keyed(docs, "doc_id", 1), keyed(items, "item_id", 2)
+    spark = docs.sparkSession
+
+    def grams_of(lengths: list[int] | None, signed: bool = False, rows=None, shingles=None):
+        """row, n, gram of each distinct shingle: of the text's own length or of ``lengths``; all or the signature; whose bits are set."""
 
-    def all_grams(id_name: str, lengths: list[int], own: bool):
         def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             memo = WordHashes()
-            for key, text in arrow_texts(batches, id_name, "text"):
-                words = memo.of(words_of(text))
-                for n in [min(SHINGLE, len(words))] if own else lengths:
-                    g = np.unique(gram_hashes(words, n)) if n else np.empty(0, np.uint64)
-                    if len(g):
-                        yield pa.RecordBatch.from_arrays([pa.array([key] * len(g), pa.int64()), pa.array([n] * len(g), pa.int32()), pa.array(g.view(np.int64))], names=[id_name, "n", "gram"])
+            for part in batches_of(arrow_texts(batches, "row", "text"), lambda r: len(r[1] or ""), 1_000_000):
+                keys, ns, found = [], [], []
+                for key, text in part:
+                    if rows is not None and not has_bit(rows.value, np.array([key], np.int64).view(np.uint64))[0]:
+                        continue
+                    words = memo.of(words_of(text))
+                    for n in [min(SHINGLE, len(words))] if lengths is None else lengths:
+                        g = np.unique(gram_hashes(words, n)) if n else np.empty(0, np.uint64)
+                        g = signature(g) if signed and len(g) else g[has_bit(shingles.value, g)] if shingles is not None else g
+                        keys.append(np.full(len(g), key, np.int64))
+                        ns.append(np.full(len(g), n, np.int32))
+                        found.append(g.view(np.int64))
+                if keys:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (keys, ns, found)], names=["row", "n", "gram"])
 
         return grams
 
-    signs = stored(items.select("item_id", "text").mapInArrow(signed, "item_id long, n int, gram long"), "leak-signs")
+    def bits_of(df: DataFrame, column: str):
+        return spark.sparkContext.broadcast(bit_set(df.select(F.col(column).alias("key"))))
+
+    kind = "row long, n int, gram long"
+    signs = stored(items.mapInArrow(grams_of(None, signed=True), kind).withColumnRenamed("row", "item"), "leak-signs")
+    whole = stored(items.mapInArrow(grams_of(None), kind).distinct().withColumnRenamed("row", "item"), "leak-items")
     lengths = sorted(r["n"] for r in signs.select("n").distinct().collect())  # five at most
-    grams = docs.select("doc_id", "text").mapInArrow(all_grams("doc_id", lengths, False), "doc_id long, n int, gram long")
-    found = stored(signs.join(grams, ["n", "gram"]).select("doc_id", "item_id").distinct(), "leak-candidates")
-    whole = items.select("item_id", "text").mapInArrow(all_grams("item_id", [], True), "item_id long, n int, gram long").distinct()
-    sizes = whole.groupBy("item_id").agg(F.count("*").alias("n_item"))
-    need = found.join(whole, "item_id")
-    both = need.join(grams, ["doc_id", "n", "gram"]).select("doc_id", "item_id", "n", "gram").distinct().groupBy("doc_id", "item_id").agg(F.count("*").alias("n_found"))
-    return both.join(sizes, "item_id").where(F.col("n_found") * out_of >= F.col("n_item") * top).select("doc_id", "item_id", "n_item", "n_found")
+    grams = docs.mapInArrow(grams_of(lengths, shingles=bits_of(signs, "gram")), kind)
+    found = stored(signs.join(grams, ["n", "gram"]).select("row", "item").distinct(), "leak-candidates")
+    held = docs.mapInArrow(grams_of(lengths, rows=bits_of(found, "row"), shingles=bits_of(whole, "gram")), kind).distinct()
+    both = found.join(whole, "item").join(held, ["row", "n", "gram"]).groupBy("row", "item").agg(F.count("*").alias("n_found"))
+    sizes = whole.groupBy("item").agg(F.count("*").alias("n_item"))
+    both = both.join(sizes, "item").where(F.col("n_found") * out_of >= F.col("n_item") * top)
+    both = both.join(docs.select("row", "doc_id").distinct(), "row").join(items.select(F.col("row").alias("item"), "item_id").distinct(), "item")
+    return both.select("doc_id", "item_id", "n_item", "n_found").distinct()
 
 
 def clean(docs: DataFrame, items: DataFrame, **how) -> DataFrame:
