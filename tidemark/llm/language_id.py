@@ -1,8 +1,9 @@
 """Language identification: multinomial naive Bayes over hashed character n-grams.
 
 Counts are gathered by the executors, one row for each (language, bucket) and task, and summed by Spark. The matrix of
-log probabilities (languages x BUCKETS, float32) goes to the executors as one broadcast; its size is bounded by
-MAX_LANGUAGES * BUCKETS * 4 bytes (32 MiB), which is checked. Texts are scored in numpy from their sparse bucket counts.
+log probabilities (languages x BUCKETS, float32) goes to the executors in blocks of at most BLOCK languages, each a broadcast
+of 32 MiB at most. Texts are scored in numpy from their sparse bucket counts, block by block; the best language
+and the sum of all likelihoods are carried along, so any number of languages gives the posterior over all of them.
 """
 
 from __future__ import annotations
@@ -14,11 +15,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import arrow_texts, batches_of, crc32_of, mix64, table
+from tidemark.llm.common import arrow_texts, batches_of, crc32_of, mix64, stored, table, typed
 
 BUCKETS = 1 << 15
 ORDERS = (1, 2, 3)
-MAX_LANGUAGES = 256
+BLOCK = 256
+#: Languages whose counts a task holds at a time, 256 KiB each.
+HELD = 64
 SMOOTHING = 0.5
 UNKNOWN = "und"
 _letters: list[np.ndarray] = []
@@ -58,68 +61,98 @@ def bucket_lists(texts: list[str | None]) -> list[np.ndarray]:
 def _counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: dict[str, np.ndarray] = {}
     docs: dict[str, int] = {}
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        for lang, c in counts.items():
+            at = np.flatnonzero(c)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * (len(at) + 1), pa.string()), pa.array(np.append(at, -1), pa.int32()), pa.array(np.append(c[at], docs[lang]), pa.int64())], names=["lang", "bucket", "n"])
+        counts.clear()
+        docs.clear()
+
     for part in batches_of(arrow_texts(batches, "text", "lang"), lambda r: len(r[0] or ""), 500_000):
         for (_, lang), buckets in zip(part, bucket_lists([r[0] for r in part]), strict=True):
             if lang not in counts:
+                if len(counts) >= HELD:
+                    yield from flush()
                 counts[lang] = np.zeros(BUCKETS, np.int64)
             counts[lang] += np.bincount(buckets, minlength=BUCKETS)
             docs[lang] = docs.get(lang, 0) + 1
-    for lang, c in counts.items():
-        at = np.flatnonzero(c)
-        yield pa.RecordBatch.from_arrays([pa.array([lang] * (len(at) + 1), pa.string()), pa.array(np.append(at, -1), pa.int32()), pa.array(np.append(c[at], docs[lang]), pa.int64())], names=["lang", "bucket", "n"])
-
-
-def train(labelled: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Languages in code point order, log priors and log probabilities (language x bucket), from text and lang of all rows with lang."""
-    rows = labelled.where(F.col("lang").isNotNull()).select("text", "lang")
-    languages = rows.select("lang").distinct().limit(MAX_LANGUAGES + 1).count()
-    if languages > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages: the matrix to broadcast would pass its bound")
-    sums = rows.mapInArrow(_counting, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
-    # at most MAX_LANGUAGES * (BUCKETS + 1) rows
-    names, at = np.unique(sums.column("lang").to_numpy(zero_copy_only=False).astype(str), return_inverse=True)
-    bucket, n = sums.column("bucket").to_numpy(), sums.column("n").to_numpy()
-    counts, docs = np.zeros((len(names), BUCKETS)), np.zeros(len(names))
-    gram = bucket >= 0
-    counts[at[gram], bucket[gram]] = n[gram]
-    docs[at[~gram]] = n[~gram]
-    prior = np.log(docs / max(docs.sum(), 1)) if len(names) else docs
-    return [str(x) for x in names], prior, np.log((counts + SMOOTHING) / (counts.sum(1, keepdims=True) + SMOOTHING * BUCKETS)).astype(np.float32)
-
-
-def identify(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], *keep: str | Column) -> DataFrame:
-    """``keep`` columns and text's lang_pred, score (posterior of the language, 0 to 1), n_grams.
+    yield from flush()
+
+
+class Model:
+    """Blocks of languages in code point order, each a broadcast of names, log priors and log probabilities (bucket x language)."""
+
+    def __init__(self, labelled: DataFrame) -> None:
+        """Learnt from text and lang of all rows with lang."""
+        rows = labelled.where(F.col("lang").isNotNull()).select("text", "lang")
+        sums = stored(rows.mapInArrow(_counting, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")), "language-counts")
+        docs = sums.where("bucket < 0").select("lang", "n").toArrow()  # a row for each language
+        self.docs = dict(sorted(zip(docs.column("lang").to_pylist(), docs.column("n").to_pylist(), strict=True)))
+        self.names, self.blocks = list(self.docs), []
+        for at in range(0, len(self.names), BLOCK):
+            self.blocks.append(labelled.sparkSession.sparkContext.broadcast(self._block(sums, self.names[at : at + BLOCK])))
+
+    def _block(self, sums: DataFrame, names: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        # at most BLOCK * BUCKETS rows
+        got = sums.where((F.col("bucket") >= 0) & F.col("lang").between(names[0], names[-1])).toArrow()
+        place = {name: k for k, name in enumerate(names)}
+        counts = np.zeros((len(names), BUCKETS))
+        of = np.fromiter((place[x] for x in got.column("lang").to_pylist()), np.int64, got.num_rows)
+        counts[of, got.column("bucket").to_numpy()] = got.column("n").to_numpy()
+        prior = np.log(np.array([self.docs[x] for x in names]) / sum(self.docs.values()))
+        logs = np.log((counts + SMOOTHING) / (counts.sum(1, keepdims=True) + SMOOTHING * BUCKETS)).astype(np.float32)
+        return names, prior, np.ascontiguousarray(logs.T)
+
+
+def train(labelled: DataFrame) -> Model:
+    return Model(labelled)
 
-    Null texts, texts without letters and models without languages give `und` and score 0. Between equal posteriors the
-    first language in code point order wins. Only text is read for the prediction; repeated rows get equal results.
-    """
-    names, prior, logs = model
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((names, prior, np.ascontiguousarray(logs.T)))
-    rows = docs.select(F.struct(*keep).alias("row"), "text")
-    kind = rows.schema["row"].dataType.simpleString()
+
+_JUDGED = "lang_pred string, best double, mass double, n_grams long"
+
+
+def _scoring(block):
+    """Of each row the best language so far, its log likelihood, the log of the sum of all likelihoods, and the number of n-grams."""
 
     def scoring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, prior, by_bucket = shared.value
+        names, prior, by_bucket = block.value
         for batch in batches:
-            pred, score, grams = [], [], []
-            texts = (r[0] for r in arrow_texts(iter([batch]), "text"))
-            for part in batches_of(texts, lambda t: len(t or ""), 500_000):
-                for text, buckets in zip(part, bucket_lists(part), strict=True):
+            preds, bests, masses, grams = [], [], [], []
+            for part in batches_of(arrow_texts(iter([batch]), "text", "lang_pred", "best", "mass"), lambda r: len(r[0] or ""), 500_000):
+                for (text, pred, best, mass), buckets in zip(part, bucket_lists([r[0] for r in part]), strict=True):
+                    if len(buckets) and any(map(str.isalpha, text)):
+                        n = np.bincount(buckets, minlength=BUCKETS)
+                        at = np.flatnonzero(n)
+                        total = prior + n[at].astype(np.float64) @ by_bucket[at].astype(np.float64)
+                        top = int(np.argmax(total))
+                        own = float(total[top] + np.log(np.exp(total - total[top]).sum()))
+                        mass = own if mass is None else float(np.logaddexp(mass, own))
+                        if best is None or total[top] > best:
+                            pred, best = names[top], float(total[top])
+                    preds.append(pred)
+                    bests.append(best)
+                    masses.append(mass)
                     grams.append(len(buckets))
-                    if not names or not len(buckets) or not any(map(str.isalpha, text)):
-                        pred.append(UNKNOWN)
-                        score.append(0.0)
-                        continue
-                    n = np.bincount(buckets, minlength=BUCKETS)
-                    at = np.flatnonzero(n)
-                    total = prior + n[at].astype(np.float64) @ by_bucket[at].astype(np.float64)
-                    best = int(np.argmax(total))
-                    pred.append(names[best])
-                    score.append(float(1 / np.exp(total - total[best]).sum()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(grams, pa.int64())], names=["row", "lang_pred", "score", "n_grams"])
-
-    return rows.mapInArrow(scoring, f"row {kind}, lang_pred string, score double, n_grams long").select("row.*", "lang_pred", "score", "n_grams")
+            columns = [pa.array(preds, pa.string()), pa.array(bests, pa.float64()), pa.array(masses, pa.float64()), pa.array(grams, pa.int64())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=["row", "text", "lang_pred", "best", "mass", "n_grams"])
+
+    return scoring
+
+
+def identify(docs: DataFrame, model: Model, *keep: str | Column) -> DataFrame:
+    """``keep`` columns and text's lang_pred, score (posterior of the language, 0 to 1), n_grams.
+
+    Null texts, texts without letters and models without languages give `und` and score 0. Between equal posteriors the
+    first language in code point order wins. Only text is read for the prediction; repeated rows get equal results.
+    """
+    rows = docs.select(F.struct(*keep).alias("row"), "text", F.lit(None).cast("string").alias("lang_pred"), F.lit(None).cast("double").alias("best"), F.lit(None).cast("double").alias("mass"), F.lit(0).cast("long").alias("n_grams"))
+    kind = typed(rows.schema["row"], f"text string, {_JUDGED}")
+    for block in model.blocks:
+        rows = rows.mapInArrow(_scoring(block), kind)
+    # rounding may leave the quotient a little above 1
+    score = F.coalesce(F.least(F.exp(F.col("best") - F.col("mass")), F.lit(1.0)), F.lit(0.0))
+    return rows.select("row.*", F.coalesce("lang_pred", F.lit(UNKNOWN)).alias("lang_pred"), score.alias("score"), "n_grams")
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
