@@ -2,7 +2,7 @@
 
 A payload (a text's UTF-8 bytes, padded with zero bytes to a multiple of 64) is a run of 8-bit samples. A rolling gear
 hash cuts it where its low bits are zero, so equal stretches give equal chunks wherever they lie. A medium is stored as
-an ordered list of chunk digests; each distinct chunk is stored once.
+a head, which lists its chunks' digests and lengths in order, and each distinct chunk is stored once.
 
 The payload bytes never go through a shuffle as a whole. The first scan yields digests only; Spark counts them, and those that
 occur more than once are summed up in a bit set of fixed size. The second scan writes each chunk whose digest is not
@@ -80,6 +80,14 @@ def features(data: bytes) -> str:
     return f"mean={s / n:.6f},std={max(q / n - (s / n) ** 2, 0) ** 0.5:.6f},crossings={int((above[1:] != above[:-1]).sum())},peak={int(x.max())}"
 
 
+def listed(head: bytes) -> list[tuple[bytes, int]]:
+    """Digest and length of each chunk from a stored head."""
+    bits, n = struct.unpack_from("<BI", head, len(MAGIC))
+    if not head.startswith(MAGIC) or bits != 8 or len(head) != len(MAGIC) + 5 + 36 * n:
+        raise ValueError("not the head of a medium")
+    return [(head[k : k + 32], struct.unpack_from("<I", head, k + 32)[0]) for k in range(len(MAGIC) + 5, len(head), 36)]
+
+
 def _slot(d: bytes) -> int:
     return int.from_bytes(d[:3], "big")
 
@@ -115,7 +123,7 @@ _PIECES = pa.list_(pa.struct([("seq", pa.int32()), ("bytes", pa.binary())]))
 
 
 def _local(bits):
-    """Per payload the list of its digests and the chunks that are stored in place."""
+    """Per payload its head, the list of its digests and the chunks that are stored in place."""
 
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = bits.value
@@ -125,9 +133,9 @@ def _local(bits):
                 _, data = payload_of(text)
                 parts = [(digest(c), c) for c in chunks_of(data)]
                 own = [{"seq": k, "bytes": c} for k, (d, c) in enumerate(parts) if not known[_slot(d)]]
-                yield len(data), hashlib.sha256(data).digest(), [d for d, _ in parts], own
+                yield len(data), hashlib.sha256(data).digest(), recipe([(d, len(c)) for d, c in parts]), [d for d, _ in parts], own
 
-        yield from _rows({"sha": pa.binary(), "digests": pa.list_(pa.binary()), "own": _PIECES}, rows())
+        yield from _rows({"sha": pa.binary(), "head": pa.binary(), "digests": pa.list_(pa.binary()), "own": _PIECES}, rows())
 
     return store
 
@@ -155,12 +163,11 @@ def _shared(bits):
 
 def _read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def rows() -> Iterator[tuple]:
-        for sha, digests, pieces in arrow_texts(batches, "sha", "digests", "pieces"):
+        for sha, head, pieces in arrow_texts(batches, "sha", "head", "pieces"):
             chunks = [p["bytes"] for p in sorted(pieces, key=lambda p: p["seq"])]
             data = b"".join(chunks)
-            if [digest(c) for c in chunks] != list(digests) or hashlib.sha256(data).digest() != sha:
+            if [(digest(c), len(c)) for c in chunks] != listed(head) or hashlib.sha256(data).digest() != sha:
                 raise ValueError(f"medium {sha.hex()} can't be put together from the store")
-            head = recipe([(d, len(c)) for d, c in zip(digests, chunks, strict=True)])
             yield 0, sha, zlib.crc32(data[-UNIT:]), len(head) + len(data), hashlib.sha256(head + data).hexdigest(), features(data), len(chunks)
 
     yield from _rows({"sha": pa.binary(), "tail_crc32": pa.int64(), "media_bytes": pa.int64(), "media_sha256": pa.string(), "feature": pa.string(), "n_chunks": pa.int32()}, rows())
@@ -178,14 +185,14 @@ def repeated_slots(lists: DataFrame) -> np.ndarray:
 
 
 def store_media(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Write the chunk store of ``docs``: lists (doc_id, n_bytes, payload_bytes, sha, digests), media (sha, digests, own: seq, bytes), chunks (digest, bytes).
+    """Write the chunk store of ``docs``: lists (doc_id, n_bytes, payload_bytes, sha, digests), media (sha, head, digests, own: seq, bytes), chunks (digest, bytes).
 
     Null texts are empty payloads of UNIT zero bytes. Repeated rows and equal texts share all chunks. Null ids are carried. Other columns are not read.
     """
     rows = docs.select("doc_id", "text")
     lists = stored(rows.mapInArrow(_lists, "doc_id long, n_bytes long, payload_bytes long, sha binary, digests array<binary>"), "media-lists")
     bits = docs.sparkSession.sparkContext.broadcast(repeated_slots(lists))
-    media = stored(rows.select("text").mapInArrow(_local(bits), "sha binary, digests array<binary>, own array<struct<seq:int,bytes:binary>>"), "media-store")
+    media = stored(rows.select("text").mapInArrow(_local(bits), "sha binary, head binary, digests array<binary>, own array<struct<seq:int,bytes:binary>>"), "media-store")
     chunks = rows.select("text").mapInArrow(_shared(bits), "digest binary, bytes binary").groupBy("digest").agg(F.first("bytes").alias("bytes"))
     return lists, media, stored(chunks, "media-chunks")
 
@@ -193,17 +200,20 @@ def store_media(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 def read_media(media: DataFrame, chunks: DataFrame) -> DataFrame:
     """sha, tail_crc32, media_bytes, media_sha256, feature, n_chunks of each distinct medium, from its verified bytes.
 
+    media_bytes and media_sha256 are those of the stored form: the head as it was stored, followed by the chunks as they were.
+
     Raises ValueError if a chunk or a medium does not have its digest.
     """
-    whole = media.where(F.size("own") == F.size("digests")).select("sha", "digests", F.col("own").alias("pieces"))
+    whole = media.where(F.size("own") == F.size("digests")).select("sha", "head", F.col("own").alias("pieces"))
     parts = media.where(F.size("own") < F.size("digests"))
-    lists = parts.groupBy("sha").agg(F.first("digests").alias("digests"), F.first("own").alias("own"))
+    lists = parts.groupBy("sha").agg(F.first("head").alias("head"), F.first("digests").alias("digests"), F.first("own").alias("own"))
     lists = stored(lists, "media-parts")
     here = F.transform("own", lambda p: p["seq"])
-    missing = lists.select("sha", here.alias("here"), F.posexplode("digests").alias("seq", "digest")).where(~F.array_contains("here", F.col("seq")))
+    away = F.array_except(F.sequence(F.lit(0), F.size("digests") - 1), here)
+    missing = lists.select("sha", F.explode(F.transform(away, lambda k: F.struct(k.alias("seq"), F.get("digests", k).alias("digest")))).alias("m")).select("sha", "m.seq", "m.digest")
     fetched = missing.join(chunks, "digest").select("sha", F.struct("seq", "bytes").alias("piece"))
     fetched = fetched.groupBy("sha").agg(F.collect_list("piece").alias("got"))
-    joined = lists.join(fetched, "sha").select("sha", "digests", F.concat("own", "got").alias("pieces"))
+    joined = lists.join(fetched, "sha").select("sha", "head", F.concat("own", "got").alias("pieces"))
     kind = "sha binary, tail_crc32 long, media_bytes long, media_sha256 string, feature string, n_chunks int"
     return whole.union(joined).mapInArrow(_read_back, kind)
 
