@@ -3,12 +3,13 @@
 Every step is a DataFrame operation. Each source is cut into a fixed number of blocks by a hash of its rows, so the
 blocks of a source that holds a third of all rows are as many as those of any other, and no task gets a whole source.
 The mix takes whole passes over a source plus a prefix of its permuted blocks; the block on the edge is cut at the
-row whose running total comes nearest, found by radix refinement of the hash (three levels of 10 bits, then rows).
-The taken blocks of a source are its quota. The tree halves the multiset of all quotas again and again: at each node the
-anonymous tickets of the sources are ranked by a seeded hash and the first half goes left, so the number of each
+row whose running total comes nearest, found by radix refinement of the hash (two levels of 10 bits, then rows).
+The taken blocks of a source are its quota. The tree halves the multiset of all quotas again and again: a node is a run of a random
+order of the sources' anonymous tickets and its first half goes left, so the number of each
 source's tickets on the left is a draw from the multivariate hypergeometric distribution and every quota is kept
-exactly. Each source's permuted blocks are then dealt to the shards by its quotas; within a shard, rows are
-ordered by a seeded hash.
+exactly. The order is that of a seeded hash; a ticket's place in it is the number of tickets in the buckets before its own (the
+hash's first bits) and its place in its bucket, so no task ranks more than one bucket. Each source's permuted blocks are then dealt to the shards by its quotas; the mix is dealt over tasks and, within each,
+ordered by shard and a seeded hash: that is the local shuffle.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored, table
+from tidemark.llm.common import columns, stored, table
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -25,6 +26,7 @@ MOST = 2.0
 BLOCK_BITS = 8
 LOW_BITS = 64 - BLOCK_BITS
 REFINE_BITS = 10
+BUCKET_BITS = 12
 WORD = r"[^\x20\x09-\x0D]++"
 
 
@@ -74,6 +76,16 @@ def _edge(rows: DataFrame, need: DataFrame, key: Column) -> DataFrame:
     return sums.where((F.col("till") - F.col("here") < F.col("rest")) & (F.col("till") >= F.col("rest"))).select("source", "at", (F.col("rest") - (F.col("till") - F.col("here"))).alias("rest"))
 
 
+def placed(tickets: DataFrame) -> DataFrame:
+    """``tickets`` with place (from 0, in the order of spot) and all (how many there are)."""
+    bucket = F.shiftrightunsigned("spot", 64 - BUCKET_BITS).alias("bucket")
+    counts = tickets.groupBy(bucket).agg(F.count("*").alias("here"))  # at most 2 ** BUCKET_BITS rows
+    run = Window.partitionBy(F.lit(0)).orderBy("bucket")
+    counts = counts.withColumn("before", F.sum("here").over(run) - F.col("here")).withColumn("all", F.sum("here").over(Window.partitionBy(F.lit(0))))
+    inside = Window.partitionBy("bucket").orderBy("spot", "source", "ticket")
+    return tickets.withColumn("bucket", bucket).join(counts, "bucket").withColumn("place", F.col("before") + F.row_number().over(inside) - 1)
+
+
 def plan(rows: DataFrame, shard_bits: int = 4, seed: int = 7, **how) -> tuple[DataFrame, DataFrame]:
     """The targets, and the plan of each block: source, block, shards (one for each whole taking), edge_shard, edge_low.
 
@@ -110,11 +122,12 @@ def plan(rows: DataFrame, shard_bits: int = 4, seed: int = 7, **how) -> tuple[Da
     slots = slots.select("source", "block", "permuted", "kind", "passes", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("pass"))
     deal = Window.partitionBy("source").orderBy("pass", "permuted", "block")
     slots = stored(slots.withColumn("ticket", F.row_number().over(deal)), "mix-slots")
-    nodes = slots.select("source", "ticket", F.lit(0).alias("node"))
-    for level in range(shard_bits):
-        draw = Window.partitionBy("node").orderBy(_seeded(seed + 2, F.lit(level), F.col("source"), F.col("ticket")), "source", "ticket")
-        nodes = nodes.withColumn("n", F.row_number().over(draw)).withColumn("all", F.count("*").over(Window.partitionBy("node")))
-        nodes = nodes.select("source", "ticket", (F.col("node") * 2 + (F.col("n") * 2 > F.col("all") + 1).cast("int")).alias("node"))
+    nodes = placed(slots.select("source", "ticket", _seeded(seed + 2, F.col("source"), F.col("ticket")).alias("spot")))
+    nodes = nodes.withColumn("node", F.lit(0))
+    for _ in range(shard_bits):
+        left = F.floor((F.col("all") + 1) / 2)
+        right = F.col("place") >= left
+        nodes = nodes.select("source", "ticket", (F.col("node") * 2 + right.cast("int")).alias("node"), F.when(right, F.col("place") - left).otherwise(F.col("place")).alias("place"), F.when(right, F.col("all") - left).otherwise(left).alias("all"))
     quotas = Window.partitionBy("source").orderBy("node", "ticket")
     dealt = nodes.select("source", F.col("node").alias("shard"), F.row_number().over(quotas).alias("ticket"))
     dealt = slots.alias("s").join(dealt.alias("d"), F.col("s.source").eqNullSafe(F.col("d.source")) & (F.col("s.ticket") == F.col("d.ticket"))).select("s.source", "block", "pass", "passes", "kind", "shard")
@@ -143,16 +156,19 @@ def dealt_rows(docs: DataFrame, shard_bits: int = 4, seed: int = 7, **how) -> Da
 def mix(docs: DataFrame, shard_bits: int = 4, seed: int = 7, **how) -> DataFrame:
     """The mix itself: the columns of ``docs`` and mix_shard, mix_take, mix_key, a row for each taking.
 
-    Write it partitioned by mix_shard and sorted by mix_key within: that is the local shuffle. Edge cases: see dealt_rows.
+    Each partition holds a random part of every shard, in the order of mix_shard and mix_key, a seeded hash; so do the files of a
+    table written from it. Columns of ``docs`` that have these names, in whatever case, are replaced. Other edge cases: see dealt_rows.
     """
     rows = stored(sized(docs, seed), "mix-sizes")
     _, blocks = plan(rows, shard_bits, seed, **how)
     spot = _seeded(seed, F.col("doc_id"), F.col("text"))
     none = F.array().cast("array<int>")
-    d = docs.select(F.struct(*docs.columns).alias("d"), F.col("source").alias("s"), F.shiftrightunsigned(spot, LOW_BITS).cast("int").alias("b"), spot.bitwiseAND(F.lit((1 << LOW_BITS) - 1)).alias("low"))
+    own = [c for c in docs.columns if c.lower() not in ("mix_shard", "mix_take", "mix_key")]
+    d = docs.select(F.struct(*columns(own)).alias("d"), F.col("source").alias("s"), F.shiftrightunsigned(spot, LOW_BITS).cast("int").alias("b"), spot.bitwiseAND(F.lit((1 << LOW_BITS) - 1)).alias("low"))
     taken = F.concat("p.shards", F.when(F.col("edge_shard").isNotNull() & (F.col("low") <= F.col("edge_low")), F.array("edge_shard")).otherwise(none))
     out = d.join(blocks.alias("p"), F.col("s").eqNullSafe(F.col("p.source")) & (F.col("b") == F.col("p.block"))).select("d", "b", "low", F.posexplode(taken).alias("mix_take", "mix_shard"))
-    return out.select("d.*", "mix_shard", "mix_take", _seeded(seed + 3, F.col("b"), F.col("low"), F.col("mix_take")).alias("mix_key"))
+    out = out.select("d.*", "mix_shard", "mix_take", _seeded(seed + 3, F.col("b"), F.col("low"), F.col("mix_take")).alias("mix_key"))
+    return out.repartition("mix_shard", "mix_key").sortWithinPartitions("mix_shard", "mix_key")
 
 
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
