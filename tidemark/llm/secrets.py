@@ -104,10 +104,14 @@ def evidence(token: str, alphabet: str, logs: dict[str, float]) -> float:
 
 def candidates(text: str, base: list[tuple[int, int, int]], logs: dict[str, float]) -> list[tuple[int, int, int, int]]:
     """(start, end, length class, log2 e) of the tokens that no base span touches and that pass the battery."""
-    out = []
+    out, k, reach = [], 0, 0
     for m in CANDIDATE.finditer(text):
         a, b = m.span()
-        if any(s < b and a < e for s, _, e in base):
+        # both are in order; ``reach`` is the furthest end of the base spans that begin before b
+        while k < len(base) and base[k][0] < b:
+            reach = max(reach, base[k][2])
+            k += 1
+        if a < reach:
             continue
         token = m[0].rstrip("=")
         kind = encoding_of(token)
