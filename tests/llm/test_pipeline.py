@@ -26,7 +26,25 @@ def test_stages_keep_columns_on_odd_rows(spark, tmp_path):
     import corpus_pipeline as p
 
     spark.createDataFrame([(1, "nothing of it here at all")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
-    docs = odd(spark)
+    docs = odd(spark).selectExpr("*", "1 AS `mix_shard`", "2 AS `a.b`")
+    columns = docs.columns
     for name, stage in p.STAGES[:-1]:
         docs = p.stored(stage(spark, docs, str(tmp_path)), name)
-        assert docs.columns == odd(spark).columns
+        assert docs.columns == columns
+    name, stage = p.STAGES[-1]
+    out = stage(spark, docs, str(tmp_path))
+    assert set(columns) <= set(out.columns) and out.count() > 0
+
+
+def test_shared_folder(spark, tmp_path, monkeypatch):
+    """Tables lie in the application's own folder below the shared one, and clear() deletes that only."""
+    from tidemark.llm import common
+
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    assert common.shared_dir(spark) == named if named else common.shared_dir(spark).startswith("file:///tmp/tidemark-")
+    monkeypatch.setattr(common, "shared_dir", lambda spark: f"file://{tmp_path}")
+    (tmp_path / "other").mkdir()
+    assert common.stored(spark.range(5), "five").count() == 5
+    assert [p.name for p in tmp_path.iterdir() if p.name != "other"] == [f"tidemark-{spark.sparkContext.applicationId}"]
+    common.clear(spark)
+    assert [p.name for p in tmp_path.iterdir()] == ["other"]
