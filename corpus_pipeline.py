@@ -6,35 +6,50 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, language_id, line_dedup, mixing, parity_join
-from tidemark.llm.common import stored, table
+from tidemark.llm.common import columns, stored, table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Language identification learnt from the documents' own labels; texts without letters and those whose language is no better than a guess go."""
+    """Language identification learnt from the documents' own labels; texts without letters and those whose language is no better than a guess go.
+
+    Null and empty texts have no letters. Repeated rows share their fate; rows without doc_id are judged like all others.
+    """
     model = language_id.train(docs)
-    names = [F.col(c) for c in docs.columns]
+    names = columns(docs.columns)
     judged = language_id.identify(docs, model, F.struct(*names).alias("kept"))
     return judged.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= SURE)).select("kept.*")
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Runs of lines that occurred before are cut out; documents of which nothing is left go."""
+    """Runs of lines, and long lines, that occurred before are cut out; documents of which nothing is left go.
+
+    Null texts and rows without doc_id stay as they are; rows equal in doc_id and text are one document and share its fate.
+    """
     return line_dedup.clean(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the one of smallest doc_id. Documents without doc_id stay."""
+    """One document of each group of near copies stays: the one of smallest doc_id, and of rows equal in doc_id and text one.
+
+    Rows without doc_id stay, all of them; texts without words are near to nothing.
+    """
     groups = parity_join.near_groups(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("copy_id")).distinct()
-    return docs.join(groups, docs["doc_id"] == groups["copy_id"], "left_anti")
+    left = docs.join(groups, docs["doc_id"] == groups["copy_id"], "left_anti")
+    each = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
+    left = left.select(F.struct(*columns(docs.columns)).alias("kept"), F.col("doc_id").alias("of"), F.xxhash64("text").alias("text_hash"), each.alias("each"))
+    return left.dropDuplicates(["of", "text_hash", "each"]).select("kept.*")
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold an item of the benchmark go."""
+    """Documents that hold an item of the benchmark go. Null and empty texts hold none; rows without doc_id stay, as nothing names them."""
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix of what is left: each document as often as its source's target takes it, with its shard and place."""
+    """The mix of what is left: each document as often as its source's target takes it, with its shard and place.
+
+    Rows without source are a source of their own; texts without words are of size 0; repeated rows are taken together.
+    """
     return mixing.mix(docs)
 
 
@@ -46,7 +61,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply all stages to the documents of ``sf_dir``; what lies between two stages is a table in the shared folder."""
+    """Apply all stages to the documents of ``sf_dir``; what lies between two stages is a table in the shared folder.
+
+    An empty table gives none; nulls and repeats are what the stages say. The tables are deleted by ``tidemark.llm.common.clear``.
+    """
     docs = table(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
