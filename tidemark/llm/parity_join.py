@@ -21,8 +21,9 @@ Hamming distance must not pass the greatest possible difference, sort candidates
 their shingles. The first round verifies one candidate a document; the second the candidates that the components of the
 first do not join already. Documents with equal sets are one class all along and never compared.
 
-Pivots only join most of a group cheaply; the third round is exact. In every key whose members lie in more than one component
-all pairs across components are held against the size and sketch bounds (keys of more than SMALL_GROUP members in
+Pivots only join most of a group cheaply; the third round is exact. Keys whose members lie in more than one component are put
+together by their first pivot, each member once, as near copies meet in dozens of keys; in each such cluster
+all pairs across components are held against the size and sketch bounds (clusters of more than SMALL_GROUP members in
 blocks of BLOCK), and all that pass and are not verified yet are verified. So each pair that shares a key is either joined, verified or
 beyond a bound.
 """
@@ -38,7 +39,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SLOT_LOG, WordHashes, arrow_texts, batches_of, bit_set, mix64, shingle_hashes, stored, table, words_of
+from tidemark.llm.common import WordHashes, arrow_texts, batches_of, bit_set, has_bit, mix64, rows_named, shingle_hashes, stored, table, words_of
 from tidemark.llm.components import components
 
 TOP, OUT_OF = 75, 100
@@ -47,14 +48,14 @@ PER_PART = 3.2
 SINGLES = 8
 SMALL_GROUP = 16
 #: Members of a large key that are compared at a time; larger keys are dealt over the pairs of such blocks.
-BLOCK = 2_000
+BLOCK = 4_096
 BAND = 4 / 3
 SKETCH_BITS = 4
 MOST_SKETCH = 1 << 14
 #: Words that are verified in one group at a time; pivots with more partners are dealt over more groups.
 GROUP_WORDS = 200_000
 
-_SETS = "doc_id long, n long, d1 long, d2 long, sketch binary, keys array<long>"
+_SETS = "row long, doc_id long, n long, d1 long, d2 long, sketch binary, keys array<long>"
 
 
 def bands() -> list[int]:
@@ -117,19 +118,19 @@ def _as_long(x: np.ndarray) -> np.ndarray:
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     memo = WordHashes()
-    for part in batches_of(arrow_texts(batches, "doc_id", "text"), lambda r: len(r[1] or ""), 2_000_000):
+    for part in batches_of(arrow_texts(batches, "row", "doc_id", "text"), lambda r: len(r[2] or ""), 2_000_000):
         rows = []
-        for doc_id, text in part:
+        for row, doc_id, text in part:
             h = np.unique(shingle_hashes(memo.of(words_of(text))))
             if len(h):
                 d = np.array([np.bitwise_xor.reduce(mix64(h + np.uint64(1))), mix64(h + np.uint64(2)).sum(dtype=np.uint64)], np.uint64).view(np.int64)
-                rows.append((doc_id, len(h), int(d[0]), int(d[1]), bit_sketch(h), _as_long(band_keys(h))))
+                rows.append((row, doc_id, len(h), int(d[0]), int(d[1]), bit_sketch(h), _as_long(band_keys(h))))
             else:
-                rows.append((doc_id, 0, 0, 0, b"", np.empty(0, np.int64)))
+                rows.append((row, doc_id, 0, 0, 0, b"", np.empty(0, np.int64)))
         cols = list(zip(*rows, strict=True))
-        ends = np.cumsum([0] + [len(k) for k in cols[5]]).astype(np.int32)
-        keys = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(cols[5])))
-        yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:4]), pa.array(cols[4], pa.binary()), keys], names=["doc_id", "n", "d1", "d2", "sketch", "keys"])
+        ends = np.cumsum([0] + [len(k) for k in cols[6]]).astype(np.int32)
+        keys = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(cols[6])))
+        yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:5]), pa.array(cols[5], pa.binary()), keys], names=["row", "doc_id", "n", "d1", "d2", "sketch", "keys"])
 
 
 def _kept_keys(bits):
@@ -140,26 +141,15 @@ def _kept_keys(bits):
         for batch in batches:
             lists = batch.column(batch.schema.get_field_index("keys"))
             keys = lists.flatten().to_numpy(zero_copy_only=False)
-            slot = (keys.view(np.uint64) >> np.uint64(64 - SLOT_LOG)).astype(np.int64)
-            hit = known[slot >> 5] >> (slot & 31).astype(np.uint32) & np.uint32(1) == 1
+            hit = has_bit(known, keys.view(np.uint64))
             row = np.repeat(np.arange(len(lists)), pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False))[hit]
             ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(lists)))]).astype(np.int32)
-            out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.ListArray.from_arrays(pa.array(ends), pa.array(keys[hit]))], names=["doc_id", "n", "keys"])
+            out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.ListArray.from_arrays(pa.array(ends), pa.array(keys[hit]))], names=["at", "row", "n", "keys"])
             yield out.filter(pa.array(np.diff(ends) > 0))
 
     return keep
 
 
-def _named(bits):
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = bits.value
-        for batch in batches:
-            slot = (batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64) >> np.uint64(64 - SLOT_LOG)).astype(np.int64)
-            yield batch.select(["doc_id", "text"]).filter(pa.array(known[slot >> 5] >> (slot & 31).astype(np.uint32) & np.uint32(1) == 1))
-
-    return keep
-
-
 def _near(batches: Iterator[pa.RecordBatch], top: int, out_of: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         c = {n: batch.column(i).to_pylist() for i, n in enumerate(batch.schema.names)}
@@ -232,39 +222,39 @@ def _verify(top: int, out_of: int):
 
 
 def verified(pairs: DataFrame, texts: DataFrame, top: int = TOP, out_of: int = OUT_OF) -> DataFrame:
-    """The pairs (a, b, na, nb) whose documents in ``texts`` (doc_id, text; one row each) reach the similarity: a, b.
+    """The pairs (a, b, na, nb) of rows whose ``texts`` (row, text; equal ones may repeat) reach the similarity: a, b.
 
     The text of b goes once to each group of about GROUP_WORDS words of its partners, so a pivot of many partners spreads.
     """
     deals = pairs.groupBy("b").agg(F.ceil(F.sum(F.col("na") + F.lit(50)) / F.lit(GROUP_WORDS)).alias("deals"))
     dealt = stored(pairs.join(deals, "b").select("a", "b", F.pmod(F.xxhash64("a", "b"), "deals").cast("int").alias("deal")), "verify-pairs")
-    asked = dealt.select(F.col("b").alias("doc_id"), "b", "deal", F.lit(None).cast("long").alias("a")).distinct().union(dealt.select(F.col("a").alias("doc_id"), "b", "deal", "a"))
+    asked = dealt.select(F.col("b").alias("row"), "b", "deal", F.lit(None).cast("long").alias("a")).distinct().union(dealt.select(F.col("a").alias("row"), "b", "deal", "a"))
     # Only texts that a pair may name go through the shuffle; without the bit set it would be all of them.
-    bits = pairs.sparkSession.sparkContext.broadcast(bit_set(asked.select(F.xxhash64("doc_id").alias("key"))))
-    named = texts.select("doc_id", F.xxhash64("doc_id").alias("key"), "text").mapInArrow(_named(bits), "doc_id long, text string")
-    return asked.hint("merge").join(named, "doc_id").select("b", "deal", "a", "text").groupBy("b", "deal").applyInArrow(_verify(top, out_of), "a long, b long")
+    bits = pairs.sparkSession.sparkContext.broadcast(bit_set(asked.select(F.col("row").alias("key"))))
+    named = texts.select("row", "text").mapInArrow(rows_named(bits, "row"), "row long, text string")
+    return asked.hint("merge").join(named, "row").select("b", "deal", "a", "text").groupBy("b", "deal").applyInArrow(_verify(top, out_of), "a long, b long")
 
 
 def near_groups(docs: DataFrame, top: int = TOP, out_of: int = OUT_OF) -> DataFrame:
     """A row for each row of ``docs``: doc_id, n_shingles, component_id, n_links.
 
     component_id is the smallest doc_id that a document reaches over links (100 * intersection >= 75 * union of the
-    shingle sets), itself included; n_links counts the links that were verified for its class and the exact copies it
-    has, not all pairs. Null and empty texts and texts without words have no shingles, are linked with nothing and are
+    shingle sets), itself included; n_links counts the links that were verified for the row's class of equal sets and the other rows of
+    that class, not all pairs. Null and empty texts and texts without words have no shingles, are linked with nothing and are
     their own component. Rows without doc_id are compared with nothing; their component_id is null. Rows with one
-    doc_id are one document with all their sets. Ties play no part; columns other than doc_id and text are not read.
+    doc_id are one document: it is linked with whatever any of its texts is linked with. Ties play no part; columns other than doc_id and text are not read.
     """
-    rows = docs.select("doc_id", "text")
-    sets = stored(rows.mapInArrow(_sets, _SETS), "parity-sets", "lz4")
+    rows = docs.select(F.xxhash64("doc_id", "text").alias("row"), "doc_id", "text")
+    sets = stored(rows.mapInArrow(_sets, _SETS).withColumn("at", F.monotonically_increasing_id()), "parity-sets", "lz4")
     some = sets.where("n > 0 and doc_id is not null")
-    classes = some.groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep"))
-    of = stored(some.select("doc_id", "n", "d1", "d2").join(classes, ["n", "d1", "d2"]).select("doc_id", "rep", "n"), "parity-classes")
+    # Of each class of equal sets one row takes part in what follows; a row's key names its text.
+    classes = stored(some.groupBy("n", "d1", "d2").agg(F.min(F.struct("doc_id", "row", "at")).alias("f"), F.count("*").alias("copies")).select("n", "d1", "d2", F.col("f.row").alias("rep"), F.col("f.doc_id").alias("least"), F.col("f.at").alias("at"), "copies"), "parity-classes")
+    reps = classes.select("at", "rep")
 
     counted = some.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
     bits = docs.sparkSession.sparkContext.broadcast(bit_set(counted))
-    kept = stored(some.select("doc_id", "n", "keys").mapInArrow(_kept_keys(bits), "doc_id long, n long, keys array<long>"), "parity-kept")
-    reps = of.where("doc_id = rep").select("rep").distinct()
-    members = kept.join(reps, kept["doc_id"] == reps["rep"], "left_semi").select(F.col("doc_id").alias("rep"), "n", F.explode("keys").alias("key"))
+    kept = stored(some.select("at", "row", "n", "keys").mapInArrow(_kept_keys(bits), "at long, row long, n long, keys array<long>"), "parity-kept")
+    members = kept.join(reps.select("at"), "at", "left_semi").select(F.col("row").alias("rep"), "n", F.explode("keys").alias("key"))
     weight = members.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
     members = stored(members.join(weight, "key"), "parity-shared")
     common = members.groupBy("rep").agg(F.sum("m").alias("common"))
@@ -273,54 +263,65 @@ def near_groups(docs: DataFrame, top: int = TOP, out_of: int = OUT_OF) -> DataFr
     drawn = F.struct(F.when(small, F.xxhash64("key", "rep")).otherwise(F.xxhash64("rep")).alias("h"), "rep")
     leader = F.struct("common", "rep")
     pivots = members.join(common, "rep").groupBy("key").agg(F.array_compact(F.array(F.max(leader)["rep"], F.min(drawn)["rep"], F.max(F.when(small, drawn))["rep"])).alias("pivots"))
+    pivots = stored(pivots, "parity-pivots")
     hits = members.join(pivots, "key").select("rep", "n", F.posexplode("pivots").alias("kind", "b")).where("rep <> b")
     hits = hits.groupBy("rep", "b").agg(F.first("n").alias("na"), F.count_if(F.col("kind") == 0).alias("led"), F.count("*").alias("times"))
-    sizes = of.select(F.col("rep").alias("b"), F.col("n").alias("nb")).distinct()
+    sizes = classes.select(F.col("rep").alias("b"), F.col("n").alias("nb"))
     fits = (F.least("na", "nb") * out_of >= F.greatest("na", "nb") * top)
     hits = stored(hits.join(sizes, "b").where(fits).select(F.col("rep").alias("a"), "b", "na", "nb", "led", "times"), "parity-hits")
 
     texts = rows.where("doc_id is not null")
     best = best_partner(hits)
     first = stored(verified(best, texts, top, out_of), "parity-links")
-    same = of.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     label = components(first)
     at = lambda side: label.select(F.col("node").alias(side), F.col("label").alias(f"l{side}"))
     rest = hits.join(at("a"), "a", "left").join(at("b"), "b", "left").where(F.coalesce("la", "a") != F.coalesce("lb", "b"))
     rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(F.col("a") < F.col("b"), F.col("na")).otherwise(F.col("nb")).alias("na"), F.when(F.col("a") < F.col("b"), F.col("nb")).otherwise(F.col("na")).alias("nb")).distinct()
     rest = rest.join(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    sketch = lambda side, name: some.select(F.col("doc_id").alias(side), F.col("sketch").alias(name), F.col("n").alias(f"n{side}"))
+    sketches = stored(some.join(reps.select("at"), "at", "left_semi").select("row", "n", "sketch"), "parity-sketches")
+    sketch = lambda side, name: sketches.select(F.col("row").alias(side), F.col("sketch").alias(name), F.col("n").alias(f"n{side}"))
     near = rest.join(sketch("a", "sa"), ["a", "na"]).join(sketch("b", "sb"), ["b", "nb"]).select("a", "b", "na", "nb", "sa", "sb")
     near = stored(near.mapInArrow(lambda x: _near(x, top, out_of), "a long, b long, na long, nb long").distinct(), "parity-near")
     links = first.union(stored(verified(near, texts, top, out_of), "parity-links"))
     done = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).union(near.select("a", "b"))
-    left = stored(unjoined(members, components(links), sketch, top, out_of).join(done, ["a", "b"], "left_anti"), "parity-left")
-    links = links.union(stored(verified(left, texts, top, out_of), "parity-links"))
-    label = components(links.union(same))
-    both = links.union(links.select("b", "a")).union(same).union(same.select("b", "a")).toDF("doc_id", "to")
-    linked = both.groupBy("doc_id").agg(F.count_distinct("to").alias("n_links"))
-    out = sets.select("doc_id", F.col("n").alias("n_shingles")).join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left").join(linked, "doc_id", "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("label", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-
-
-def unjoined(members: DataFrame, label: DataFrame, sketch, top: int, out_of: int) -> DataFrame:
-    """a, b, na, nb: all pairs of members of a key (rep, n, key, m) that lie in different components and pass both bounds."""
-    named = members.join(label.withColumnRenamed("node", "rep"), "rep", "left").select("key", "m", "rep", "n", F.coalesce("label", "rep").alias("label"))
-    parted = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("s1"), F.bit_xor(F.xxhash64(F.lit(1), "rep")).alias("s2"), F.first("m").alias("m")).where("low <> high")
-    # of keys with the same members one will do
-    parted = parted.groupBy("m", "s1", "s2").agg(F.min("key").alias("key")).select("key")
-    named = stored(named.join(parted, "key"), "parity-parted")
-    x, y = (named.where(F.col("m") <= SMALL_GROUP).select("key", *(F.col(c).alias(c + side) for c in ("rep", "n", "label"))) for side in "xy")
+    left = stored(unjoined(members, pivots, components(links), sketch, top, out_of).join(done, ["a", "b"], "left_anti"), "parity-left")
+    links = stored(links.union(stored(verified(left, texts, top, out_of), "parity-links")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "parity-links")
+
+    # Texts of one document are joined by the document; then each component takes its smallest doc_id.
+    of = stored(some.select("at", "doc_id", "n", "d1", "d2").hint("merge").join(classes.drop("at"), ["n", "d1", "d2"]).select("at", "doc_id", "rep", "least", "copies"), "parity-rows")
+    several = of.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a <> z").select("doc_id", "a")
+    own = of.select("doc_id", F.col("rep").alias("b")).join(several, "doc_id").where("a <> b").select("a", "b").distinct()
+    label = components(links.union(own)).withColumnRenamed("node", "rep")
+    reached = classes.select("rep", "least").join(label, "rep").groupBy("label").agg(F.min("least").alias("component"))
+    named = label.join(reached, "label").select("rep", "component")
+    degree = links.select("a").union(links.select("b")).toDF("rep").groupBy("rep").agg(F.count("*").alias("degree"))
+    out = of.hint("merge").join(named, "rep", "left").join(degree, "rep", "left").select("at", F.coalesce("component", "least").alias("component"), (F.coalesce("degree", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    # A document's row without words belongs to the document too.
+    wordless = sets.where("n = 0 and doc_id is not null").select("at", "doc_id").join(of.select("doc_id", F.col("at").alias("other")).groupBy("doc_id").agg(F.min("other").alias("other")), "doc_id")
+    wordless = wordless.join(out.select(F.col("at").alias("other"), "component"), "other").select("at", "component", F.lit(0).cast("long").alias("n_links"))
+    out = sets.select("at", "doc_id", F.col("n").alias("n_shingles")).hint("merge").join(out.union(wordless), "at", "left")
+    return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
+def unjoined(members: DataFrame, pivots: DataFrame, label: DataFrame, sketch, top: int, out_of: int) -> DataFrame:
+    """a, b, na, nb: all pairs of members of a cluster of keys that lie in different components and pass both bounds; a superset of those that share a key."""
+    named = members.join(label.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", "n", F.coalesce("label", "rep").alias("label"))
+    parted = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key")
+    parted = parted.join(pivots.select("key", F.get("pivots", F.lit(0)).alias("cluster")), "key")
+    named = stored(named.join(parted, "key").select("cluster", "rep", "n", "label").distinct(), "parity-parted")
+    named = named.join(stored(named.groupBy("cluster").agg(F.count("*").alias("m")), "parity-clusters"), "cluster")
+    x, y = (named.where(F.col("m") <= SMALL_GROUP).select("cluster", *(F.col(c).alias(c + side) for c in ("rep", "n", "label"))) for side in "xy")
     fits = F.least("nx", "ny") * out_of >= F.greatest("nx", "ny") * top
-    small = x.join(y, "key").where((F.col("repx") < F.col("repy")) & (F.col("labelx") != F.col("labely")) & fits)
+    small = x.join(y, "cluster").where((F.col("repx") < F.col("repy")) & (F.col("labelx") != F.col("labely")) & fits)
     small = small.select(F.col("repx").alias("a"), F.col("repy").alias("b"), F.col("nx").alias("na"), F.col("ny").alias("nb")).distinct()
     small = small.join(sketch("a", "sa"), ["a", "na"]).join(sketch("b", "sb"), ["b", "nb"]).select("a", "b", "na", "nb", "sa", "sb")
     small = small.mapInArrow(lambda r: _near(r, top, out_of), "a long, b long, na long, nb long")
     large = named.where(F.col("m") > SMALL_GROUP).withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int"))
     large = large.withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
-    large = large.select("key", "rep", "n", "label", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    large = large.join(sketch("rep", "sketch").withColumnRenamed("nrep", "n").distinct(), ["rep", "n"])
-    large = large.select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "rep", "n", "label", "block", "sketch")
-    large = large.groupBy("key", "lo", "hi").applyInArrow(_across(top, out_of), "a long, b long, na long, nb long")
+    large = large.select("cluster", "rep", "n", "label", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    large = large.join(sketch("rep", "sketch").withColumnRenamed("nrep", "n"), ["rep", "n"])
+    large = large.select("cluster", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "rep", "n", "label", "block", "sketch")
+    large = large.groupBy("cluster", "lo", "hi").applyInArrow(_across(top, out_of), "a long, b long, na long, nb long")
     return small.union(large).distinct()
 
 
