@@ -14,20 +14,25 @@ def one(spark, column):
 @pytest.mark.parametrize(
     ("display", "machine", "state", "precision", "utc", "day"),
     [
-        ("Sep 15 2026 ", "2026-09-15T12:00:00Z", "parsed", "date", "2026-09-15 12:00:00", "2026-09-15"),
-        ("Sep 29 2026 11:55 PM", "2026-09-30T03:55:00Z", "parsed", "minute", "2026-09-30 03:55:00", "2026-09-29"),
-        ("Sep 15 2026", None, "parsed", "date", None, "2026-09-15"),
-        ("Sep 29 2026 11:55 PM", None, "parsed", "minute", "2026-09-30 03:55:00", "2026-09-29"),
+        ("Mar 03 2027 ", "2027-03-03T12:00:00Z", "parsed", "date", "2027-03-03 12:00:00", "2027-03-03"),
+        ("Mar 30 2027 11:40 PM", "2027-03-31T03:40:00Z", "parsed", "minute", "2027-03-31 03:40:00", "2027-03-30"),
+        ("Mar 03 2027", None, "parsed", "date", None, "2027-03-03"),
+        ("Mar 30 2027 11:40 PM", None, "parsed", "minute", "2027-03-31 03:40:00", "2027-03-30"),
         (None, None, "absent", "unknown", None, None),
-        ("   ", "2026-09-15T12:00:00Z", "absent", "unknown", None, None),
-        ("Sep 31 2026", None, "invalid", "date", None, None),
-        ("September 15 2026", None, "invalid", "date", None, None),
-        ("Closes when filled", None, "unparsed", "unknown", None, None),
-        (None, "later this year", "invalid", "unknown", None, None),
-        ("Sep 15 2026", "2026-13-45T00:00:00Z", "parsed", "date", None, "2026-09-15"),
-        ("Sep 15 2026 02:00 PM", "2026-09-15T14:00:00+02:00", "parsed", "minute", "2026-09-15 12:00:00", "2026-09-15"),
-        ("15 Sep 2026", None, "parsed", "date", None, "2026-09-15"),
-        ("sep 29 2026  11:55pm", None, "parsed", "minute", "2026-09-30 03:55:00", "2026-09-29"),
+        ("   ", "2027-03-03T12:00:00Z", "absent", "unknown", None, None),
+        ("Feb 30 2027", None, "invalid", "date", None, None),
+        ("March 3 2027", None, "invalid", "date", None, None),
+        ("When somebody is found", None, "unparsed", "unknown", None, None),
+        ("When somebody is found", "2027-03-03T12:00:00Z", "unparsed", "unknown", None, None),
+        (None, "one day", "invalid", "unknown", None, None),
+        ("Mar 03 2027", "2027-14-41T00:00:00Z", "parsed", "date", None, "2027-03-03"),
+        ("Mar 03 2027 03:00 PM", "2027-03-03T15:00:00+03:00", "parsed", "minute", "2027-03-03 12:00:00", "2027-03-03"),
+        ("3 Mar 2027", None, "parsed", "date", None, "2027-03-03"),
+        ("Oct\u00a003 2026", None, "parsed", "date", None, "2026-10-03"),
+        ("\tNov 4 2026\n", None, "parsed", "date", None, "2026-11-04"),
+        ("4\u2003nov 2026 1:05 am", None, "parsed", "minute", "2026-11-04 06:05:00", "2026-11-04"),
+        ("2026-12-05", "\u00a02026-12-05T10:00:00Z", "parsed", "date", "2026-12-05 10:00:00", "2026-12-05"),
+        ("mar 30 2027  11:40pm", None, "parsed", "minute", "2027-03-31 03:40:00", "2027-03-30"),
     ],
 )
 def test_source_dates(spark, display, machine, state, precision, utc, day):
@@ -82,7 +87,8 @@ def test_headers_and_durations(spark):
     assert one(spark, S.clean_headers(pairs)) == {"a": "1, 2", "set-cookie": "<redacted>"}
     t = lambda x: F.to_timestamp_ntz(F.lit(x))
     assert one(spark, S.duration_text(t("2024-01-01 00:00:00"), t("2024-01-01 01:02:03"))) == "1h 2m 3s"
-    assert one(spark, S.version_at_least(F.lit("3.51.3"), (3, 51, 2))) and not one(spark, S.version_at_least(F.lit("3.9.9"), (3, 51, 2)))
+    fixed = {v: one(spark, S.version_at_least(F.lit(v).cast("string"))) for v in ("3.51.3", "3.51.2", "3.44.6", "3.44.5", "3.50.7", "3.50.9", "3.45.9", "3.52", "4", "3.9.9", None)}
+    assert fixed == {"3.51.3": True, "3.51.2": False, "3.44.6": True, "3.44.5": False, "3.50.7": True, "3.50.9": True, "3.45.9": False, "3.52": True, "4": True, "3.9.9": False, None: None}
 
 
 @pytest.mark.parametrize(

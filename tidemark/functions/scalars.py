@@ -48,65 +48,87 @@ def duration_text(start: str | Column, end: str | Column) -> Column:
 
 # The ways in which dates are displayed.
 MONTH_DAY_MINUTE = r"^([A-Za-z]{3,9})\s+(\d{1,2})\s+(\d{4})\s+(\d{1,2}):(\d{2})\s*([AaPp][Mm])$"
-DAY_MONTH_MINUTE = r"^(\d{1,2})\s+([A-Za-z]{3,9})\s+(\d{4})\s+(\d{1,2}):(\d{2})\s*([AaPp][Mm])$"
 MONTH_DAY = r"^([A-Za-z]{3,9})\s+(\d{1,2})\s+(\d{4})$"
-DAY_MONTH = r"^(\d{1,2})\s+([A-Za-z]{3,9})\s+(\d{4})$"
 ISO_DAY = r"^(\d{4})-(\d{2})-(\d{2})$"
+# Grouped by day, time and offset, which are read apart.
 MACHINE = r"^(\d{4}-\d{2}-\d{2})[Tt ](\d{2}:\d{2}(?::\d{2})?)(?:\.\d+)?([Zz]|[+-]\d{2}:?\d{2})?$"
 
 
+def squeezed(text: str | Column) -> Column:
+    """White space of any kind, no-break spaces too, as single spaces, and none at the ends."""
+    return F.trim(F.regexp_replace(_col(text), r"(?U)[\s\x1c-\x1f]+", " "))
+
+
+def _once(value: Column, use) -> Column:
+    """``use`` of a value that is worked out once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _month_first(d: Column) -> Column:
+    return F.regexp_replace(d, r"^(\d{1,2}) ([A-Za-z]{3,9}) ", "$2 $1 ")
+
+
+def _precision(d: Column) -> Column:
+    """Of a squeezed date, its month first."""
+    return F.when(d.rlike(MONTH_DAY_MINUTE), "minute").when(d.rlike(MONTH_DAY) | d.rlike(ISO_DAY), "date").otherwise("unknown")
+
+
 def display_precision(display: str | Column) -> Column:
-    d = F.trim(_col(display))
-    minute = d.rlike(MONTH_DAY_MINUTE) | d.rlike(DAY_MONTH_MINUTE)
-    return F.when(minute, "minute").when(d.rlike(MONTH_DAY) | d.rlike(DAY_MONTH) | d.rlike(ISO_DAY), "date").otherwise("unknown")
+    return _once(_month_first(squeezed(display)), _precision)
 
 
-def _displayed(d: Column) -> Column:
-    """The displayed wall time, null where the pattern fits and the date is none (full month names, day 31 of a short month)."""
-    part = lambda pattern, k: F.regexp_extract(d, pattern, k)
-    out = F.when(d.rlike(ISO_DAY), F.try_to_timestamp(d, F.lit("yyyy-MM-dd")))
-    for pattern, month, day in ((MONTH_DAY_MINUTE, 1, 2), (DAY_MONTH_MINUTE, 2, 1)):
-        text = F.concat_ws(" ", F.initcap(part(pattern, month)), part(pattern, day), part(pattern, 3), F.concat(part(pattern, 4), F.lit(":"), part(pattern, 5)), F.upper(part(pattern, 6)))
-        out = out.when(d.rlike(pattern), F.try_to_timestamp(text, F.lit("MMM d yyyy h:mm a")))
-    for pattern, month, day in ((MONTH_DAY, 1, 2), (DAY_MONTH, 2, 1)):
-        text = F.concat_ws(" ", F.initcap(part(pattern, month)), part(pattern, day), part(pattern, 3))
-        out = out.when(d.rlike(pattern), F.try_to_timestamp(text, F.lit("MMM d yyyy")))
-    return out.cast("timestamp_ntz")
+def _displayed(d: Column, precision: Column) -> Column:
+    """The wall time of a squeezed date, its month first; null where the pattern fits and the date is none (full month names, day 31 of a short month)."""
+    minute = F.try_to_timestamp(F.regexp_replace(d, r" ?([AaPp][Mm])$", " $1"), F.lit("MMM d yyyy h:mm a"))
+    day = F.when(F.substring(d, 5, 1) == "-", F.try_to_timestamp(d, F.lit("yyyy-MM-dd"))).otherwise(F.try_to_timestamp(d, F.lit("MMM d yyyy")))
+    return F.when(precision == "minute", minute).when(precision == "date", day).cast("timestamp_ntz")
 
 
 def machine_instant(machine: str | Column) -> Column:
     """UTC instant (without zone) of an ISO timestamp; no offset means UTC; null if it is none."""
-    m = F.trim(_col(machine))
-    zone = F.regexp_extract(m, MACHINE, 3)
-    local = F.try_to_timestamp(F.concat_ws(" ", F.regexp_extract(m, MACHINE, 1), F.rpad(F.regexp_extract(m, MACHINE, 2), 8, ":00")), F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz")
-    sign = F.when(F.substring(zone, 1, 1) == "-", -1).otherwise(1)
-    digits = F.regexp_replace(zone, "[^0-9]", "")
-    shift = F.when(digits == "", 0).otherwise(sign * (F.substring(digits, 1, 2).cast("int") * 60 + F.substring(digits, 3, 2).cast("int")))
-    return F.when(m.rlike(MACHINE), local - F.make_dt_interval(F.lit(0), F.lit(0), shift, F.lit(0)))
+
+    def read(m: Column) -> Column:
+        zone = F.regexp_extract(m, MACHINE, 3)
+        local = F.try_to_timestamp(F.concat_ws(" ", F.regexp_extract(m, MACHINE, 1), F.rpad(F.regexp_extract(m, MACHINE, 2), 8, ":00")), F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz")
+        sign = F.when(F.substring(zone, 1, 1) == "-", -1).otherwise(1)
+        digits = F.regexp_replace(zone, "[^0-9]", "")
+        shift = F.when(digits == "", 0).otherwise(sign * (F.substring(digits, 1, 2).cast("int") * 60 + F.substring(digits, 3, 2).cast("int")))
+        return F.when(m.rlike(MACHINE), local - F.make_dt_interval(F.lit(0), F.lit(0), shift, F.lit(0)))
+
+    return _once(squeezed(machine), read)
 
 
 def source_date(display: str | Column, machine: str | Column, zone: str = ZONE) -> Column:
     """struct(state, precision, utc, local_date) of an advertised date: what is displayed, and a machine-readable value beside it."""
-    shown, other = F.trim(_col(display)), F.nullif(F.trim(_col(machine)), F.lit(""))
-    precision = display_precision(shown)
-    instant = machine_instant(other)
-    blank = _col(display).isNotNull() & (shown == "")
-    read = _displayed(shown)
-    own = F.when(precision == "minute", F.convert_timezone(F.lit(zone), F.lit("UTC"), read))
-    state = (
-        F.when((_col(display).isNull() & other.isNull()) | blank, "absent")
-        .when(instant.isNotNull() & (precision == "unknown"), "unparsed")
-        .when(instant.isNotNull(), "parsed")
-        .when((precision != "unknown") & read.isNull(), "invalid")
-        .when(precision != "unknown", "parsed")
-        .when(other.isNotNull(), "invalid")
-        .otherwise("unparsed")
-    )
-    parsed = state == "parsed"
-    utc = F.when(parsed, F.coalesce(instant, own))
-    date = F.when(parsed & read.isNotNull(), F.to_date(read)).when(parsed, local_date(instant, zone))
-    kept = F.when(state == "absent", "unknown").otherwise(precision)
-    return F.struct(state.alias("state"), kept.alias("precision"), utc.alias("utc"), date.alias("local_date"))
+    texts = F.struct(_month_first(squeezed(display)).alias("shown"), F.nullif(squeezed(machine), F.lit("")).alias("other"))
+
+    def parts(t: Column) -> Column:
+        return _once(F.struct(t["shown"].alias("shown"), t["other"].alias("other"), _precision(t["shown"]).alias("precision"), F.when(t["other"].isNotNull(), machine_instant(t["other"])).alias("instant")), dated)
+
+    def dated(p: Column) -> Column:
+        read = _displayed(p["shown"], p["precision"])
+        return _once(F.struct(*(p[n].alias(n) for n in ("shown", "other", "precision", "instant")), read.alias("read")), judged)
+
+    def judged(p: Column) -> Column:
+        known, read, instant = p["precision"] != "unknown", p["read"], p["instant"]
+        state = (
+            F.when((p["shown"].isNull() & p["other"].isNull()) | (p["shown"] == ""), "absent")
+            .when(instant.isNotNull(), F.when(F.coalesce(known, F.lit(False)), "parsed").otherwise("unparsed"))
+            .when(known, F.when(read.isNull(), "invalid").otherwise("parsed"))
+            .when(p["other"].isNotNull(), "invalid")
+            .otherwise("unparsed")
+        )
+
+        def result(s: Column) -> Column:
+            parsed = s == "parsed"
+            utc = F.when(parsed, F.coalesce(instant, F.when(p["precision"] == "minute", F.convert_timezone(F.lit(zone), F.lit("UTC"), read))))
+            date = F.when(parsed, F.coalesce(local_date(instant, zone), F.to_date(read)))
+            kept = F.when(s == "absent", "unknown").otherwise(p["precision"])
+            return F.struct(s.alias("state"), kept.alias("precision"), utc.alias("utc"), date.alias("local_date"))
+
+        return _once(state, result)
+
+    return _once(texts, parts)
 
 
 # -- digests ----------------------------------------------------------------
@@ -297,6 +319,17 @@ def mib(n: str | Column) -> Column:
     return F.format_string("%.1f MiB", _col(n) / F.lit(1048576.0))
 
 
-def version_at_least(version: str | Column, least: tuple[int, int, int]) -> Column:
-    parts = F.transform(F.split(_col(version), r"\."), lambda p: p.try_cast("int"))
-    return F.array_compact(F.slice(parts, 1, 3)) >= F.array(*map(F.lit, least))
+# The release that has the fix, and the releases that brought it to older series.
+FIXED_IN = (3, 51, 3)
+BACKPORTS = ((3, 44, 6), (3, 50, 7))
+
+
+def version_at_least(version: str | Column, least: tuple[int, int, int] = FIXED_IN, backports: tuple[tuple[int, int, int], ...] = BACKPORTS) -> Column:
+    """Whether a release is ``least`` or later, or within the series of a backport and not before it; missing numbers count as zero."""
+    number = lambda k: F.coalesce(F.get(F.split(_col(version), r"\."), F.lit(k)).try_cast("int"), F.lit(0))
+    own = F.struct(*(number(k).alias(f"n{k}") for k in range(3)))
+    release = lambda v: F.struct(*(F.lit(n).alias(f"n{k}") for k, n in enumerate(v)))
+    out = own >= release(least)
+    for major, minor, patch in backports:
+        out = out | ((own["n0"] == major) & (own["n1"] == minor) & (own["n2"] >= patch))
+    return F.when(_col(version).isNotNull(), out)
