@@ -65,24 +65,32 @@ def test_streaks(spark):
     assert P.recheck_policy(o, listed).first()["tier"] == "daily"
 
 
-PAGES = "scan_id long, page_number int, ok boolean, recognized boolean, unresolved long, signal string, to_listing boolean, status int, signature string, n_ids long, total long, next_url string, bound int"
+PAGES = "scan_id long, page_number long, requested_url string, expected_url string, ok boolean, recognized boolean, empty_validated boolean, unresolved long, signal string, to_listing boolean, status int, n_ids long, signature string, remaining long, next_url string, bound int"
 
 
-def assessed(spark, *pages):
-    return Q.assess(Q.scan_facts(spark.createDataFrame(pages, PAGES))).first()
+def assessed(spark, *pages, rows=None):
+    """Pages of ``page``; rows: job ids of the whole scan, by default all pages' ids are different."""
+    ids = rows if rows is not None else range(sum(p[11] for p in pages))
+    return Q.assess(Q.scan_facts(spark.createDataFrame(list(pages), PAGES), spark.createDataFrame([(1, k) for k in ids], "scan_id long, job_id long"))).first()
 
 
-def page(n, sig, ids=3, total=None, nxt=None, ok=True, signal=None, status=200, recognized=True):
-    return (1, n, ok, recognized, 0, signal, True, status, sig, ids, total, nxt, 30)
+def page(n, sig, ids=3, remaining=None, nxt=None, ok=True, signal=None, status=200, recognized=True, start="u"):
+    return (1, n, start, "u", ok, recognized, recognized and not ids, 0, signal, True, status, ids, sig, remaining, nxt, 30)
 
 
 def test_qualification(spark):
-    assert assessed(spark, page(1, "a", total=5, nxt="u"), page(2, "b", ids=2))["qualified"]
-    r = assessed(spark, page(1, "a", total=10, nxt="u"), page(2, "b", ids=2))
-    assert r["reason"] == "source_count_reconciles failed"
+    assert assessed(spark, page(1, "a", remaining=2, nxt="u"), page(2, "b", ids=2))["qualified"]
+    r = assessed(spark, page(1, "a", remaining=7, nxt="u"), page(2, "b", ids=2))
+    assert (r["reason"], r["total"], r["ids"]) == ("source_count_reconciles failed", 10, 5)
+    # a row that is on two pages is one id: occurrences are never held against the source's total
+    r = assessed(spark, page(1, "a", remaining=1, nxt="u"), page(2, "b", ids=2), rows=[0, 1, 2, 2, 3])
+    assert (r["qualified"], r["occurrences"], r["ids"], r["duplicates"]) == (True, 5, 4, 1)
+    assert assessed(spark, page(1, "a", start="u?category=x"))["reason"] == "scope_unfiltered failed"
     assert "no_pagination_loop failed" in assessed(spark, page(1, "a", nxt="u"), page(2, "a"))["reason"]
     assert "no_access_control_response failed" in assessed(spark, page(1, "a", signal="captcha"))["reason"]
-    assert assessed(spark, page(1, "a", ids=0))["qualified"]
+    r = assessed(spark, page(1, "a", ids=0))
+    assert r["qualified"] and len(r["checks"]) == 12 and [c["name"] for c in r["checks"] if c["passed"] is None] == ["source_count_reconciles"]
+    assert [c["detail"] for c in r["checks"] if c["name"] == "within_page_bound"] == ['{"pages":1,"bound":30}']
     assert not assessed(spark, page(1, "a", ids=0, recognized=False))["qualified"]
 
 
@@ -90,7 +98,7 @@ def test_sets(spark):
     a = spark.createDataFrame([(1, 1), (1, 2)], "g long, m long")
     b = spark.createDataFrame([(1, 2), (1, 3)], "g long, m long")
     r = Q.compare_sets(a, b, "g", "m").first()
-    assert (r["appeared"], r["disappeared"], r["sets_match"], r["counts_match"]) == ("3", "1", False, True)
+    assert (r["n_appeared"], r["n_disappeared"], r["sets_match"], r["counts_match"]) == (1, 1, False, True)
 
 
 def test_rotation_prunes_nothing_while_one_is_verified(spark):

@@ -28,5 +28,5 @@ IDENTITY = ("match", "mismatch", "absent_on_page", "not_observed")
 EVENT_KINDS = ("first_observed", "listed", "absent_qualified", "reappeared", "content_changed")
 RUN_OUTCOMES = ("success", "partial", "failed", "aborted", "lock_contention")
 SCHEDULED_KINDS = ("daily", "retry")
-PRIORITIES = {"new": 10, "retry": 50, "listed": 80, "recheck": 90}
+PRIORITIES = {"new": 10, "listed": 50, "historical_daily": 80, "historical_weekly": 90}
 WEEKLY_AFTER = 3

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.contracts import Contracts
 from tidemark.functions.scalars import spreadsheet_safe
+from tidemark.operators.views import pivot_fields
 
 #: Datasets that can be limited to one posting.
 BY_POSTING = ("postings", "current", "history", "versions", "observations", "links")
@@ -27,6 +30,18 @@ def dataset(frames: dict[str, Callable[[], DataFrame]], name: str, order: list[s
     return df.limit(limit) if limit else df
 
 
+def current(state: DataFrame, values: DataFrame, keys: list[str]) -> DataFrame:
+    """The latest state of each posting with one column a field of its current version; values: entity_id (posting_id, lineage, version), field_key, ordinal, value_text."""
+    fields = pivot_fields(values, keys)
+    own = F.struct(F.col("posting_id"), F.col("content_lineage").alias("lineage"), F.col("content_version").alias("version"))
+    return state.withColumn("entity_id", own).join(fields, "entity_id", "left").drop("entity_id")
+
+
+def links(resource_links: DataFrame, versions: DataFrame, postings: DataFrame) -> DataFrame:
+    """The links of every version of a registered posting."""
+    return resource_links.join(versions.select("version_id", "posting_id"), "version_id").join(postings.select("posting_id"), "posting_id")
+
+
 def provenance(name: str, rows: int, contracts: Contracts, as_of: str, filters: dict | None = None) -> dict:
     return {"dataset": name, "rows": rows, "as_of": as_of, "filters": filters or {}, "contracts": contracts.__dict__}
 
@@ -36,9 +51,19 @@ def safe_cells(df: DataFrame) -> DataFrame:
     return df.select(*(spreadsheet_safe(c).alias(c) if t == "string" else F.col(c) for c, t in df.dtypes))
 
 
-def write_csv(df: DataFrame, path: str) -> None:
+def _beside(df: DataFrame, path: str, told: dict | None) -> None:
+    """The provenance as a file of one JSON line beside the data, which readers of the folder pass over."""
+    if told is not None:
+        df.sparkSession.createDataFrame([(json.dumps(told, ensure_ascii=False, sort_keys=True),)], "value string").coalesce(1).write.text(f"{path}/_provenance")
+
+
+def write_csv(df: DataFrame, path: str, told: dict | None = None) -> None:
+    """Cells that a spreadsheet would run are quoted; ``told``: the provenance."""
     safe_cells(df).write.option("header", True).option("escape", '"').csv(path)
+    _beside(df, path, told)
 
 
-def write_json(df: DataFrame, path: str) -> None:
+def write_json(df: DataFrame, path: str, told: dict | None = None) -> None:
+    """Values as they are; ``told``: the provenance."""
     df.write.option("ignoreNullFields", False).json(path)
+    _beside(df, path, told)

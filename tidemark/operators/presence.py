@@ -6,14 +6,28 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def presence_events(grid: DataFrame, runs: DataFrame, postings: DataFrame) -> DataFrame:
+def _disputed(grid: DataFrame, seen: DataFrame) -> DataFrame:
+    """The grid, with ``elsewhere``: not listed by the pass that absence is read from, but by another qualified one of the same run."""
+    there = seen.select("slot", "posting_id", F.lit(True).alias("there")).distinct()
+    return grid.join(there, ["slot", "posting_id"], "left").withColumn("elsewhere", ~F.col("listed") & F.coalesce("there", F.lit(False))).drop("there")
+
+
+def disagreement_gaps(grid: DataFrame, seen: DataFrame) -> DataFrame:
+    """slot, posting_id, gap_kind of the absences that another qualified pass of the run contradicts."""
+    return _disputed(grid, seen).where("elsewhere").select("slot", "posting_id", F.lit("listing_disagreement_within_run").alias("gap_kind"))
+
+
+def presence_events(grid: DataFrame, runs: DataFrame, postings: DataFrame, seen: DataFrame | None = None) -> DataFrame:
     """slot, posting_id, event_kind, interval_start, interval_end, from the grid of qualified runs.
 
     A listed posting is ``listed``, and besides ``first_observed`` in the run of its discovery or ``reappeared`` if it was
     absent in the qualified run before; else it is ``absent_qualified``, since it was last listed. Only qualified runs take part,
-    so an unqualified one is never evidence of absence.
+    so an unqualified one is never evidence of absence. What another qualified pass of the same run lists (``seen``: slot, posting_id) is no
+    absence either: no event is made of it, and it is a gap (disagreement_gaps).
     """
     bounds = runs.select("slot", "started_at", "ended_at")
+    if seen is not None:
+        grid = _disputed(grid, seen).where("not elsewhere").drop("elsewhere")
     g = grid.join(bounds, "slot").join(postings.select("posting_id", "discovered_at"), "posting_id")
     w = Window.partitionBy("posting_id").orderBy("slot")
     before = w.rowsBetween(Window.unboundedPreceding, -1)

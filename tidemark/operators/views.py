@@ -47,9 +47,14 @@ def posting_history(obs: DataFrame, postings: DataFrame, runs: DataFrame, versio
 def listing_presence(runs: DataFrame, postings: DataFrame, entries: DataFrame) -> DataFrame:
     """Every posting that was known by then in every qualified run, and whether it was listed.
 
-    The grid is runs by postings, which is what the result is; it is joined by key with what was listed.
+    The grid is runs by postings, which is what the result is. Each posting names the days from its discovery to the last run, and those are
+    joined by key with the runs; a run may end on the day after its slot.
     """
-    grid = qualified_scans(runs).select("slot", "ended_at").join(postings.select("posting_id", "discovered_at"), F.col("discovered_at") <= F.col("ended_at"))
+    held = qualified_scans(runs).select("slot", "ended_at")
+    known = postings.select("posting_id", "discovered_at").join(F.broadcast(held.agg(F.max("slot").alias("last"))))
+    since = F.date_sub(F.to_date("discovered_at"), 2)
+    days = known.where(since <= F.col("last")).select("posting_id", "discovered_at", F.explode(F.sequence(since, "last")).alias("slot"))
+    grid = days.join(held, "slot").where("discovered_at <= ended_at")
     return grid.join(entries.select("slot", "posting_id", F.lit(True).alias("there")), ["slot", "posting_id"], "left").select("slot", "posting_id", F.coalesce("there", F.lit(False)).alias("listed"))
 
 

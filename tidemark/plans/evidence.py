@@ -250,7 +250,7 @@ def least_recently_checked(e: Evidence) -> DataFrame:
     return top.withColumn("place", n).select("posting_id", *text("checked_at"), (F.col("place") <= 50).alias("due"), "place")
 
 
-@query("pass_comparison", "SELECT CAST(slot AS VARCHAR) AS slot, count(*) FILTER (x IN (1, 3)) AS n_first, count(*) FILTER (x IN (2, 3)) AS n_second, count(*) AS n_union, count(*) FILTER (x = 2) AS n_appeared, count(*) FILTER (x = 1) AS n_disappeared, coalesce(string_agg(CASE WHEN x = 2 THEN posting_id END, ',' ORDER BY posting_id), '') AS appeared, coalesce(string_agg(CASE WHEN x = 1 THEN posting_id END, ',' ORDER BY posting_id), '') AS disappeared, count(*) FILTER (x <> 3) = 0 AS sets_match, count(*) FILTER (x = 1) = count(*) FILTER (x = 2) AS counts_match FROM (SELECT slot, posting_id, sum(x) AS x FROM (SELECT DISTINCT slot, posting_id, CASE WHEN observation_id % 2 = 0 THEN 1 ELSE 2 END AS x FROM obs WHERE availability = 'content_captured') GROUP BY 1, 2) GROUP BY 1")
+@query("pass_comparison", "SELECT CAST(slot AS VARCHAR) AS slot, count(*) FILTER (x IN (1, 3)) AS n_first, count(*) FILTER (x IN (2, 3)) AS n_second, count(*) AS n_union, count(*) FILTER (x = 2) AS n_appeared, count(*) FILTER (x = 1) AS n_disappeared, count(*) FILTER (x <> 3) = 0 AS sets_match, count(*) FILTER (x = 1) = count(*) FILTER (x = 2) AS counts_match FROM (SELECT slot, posting_id, sum(x) AS x FROM (SELECT DISTINCT slot, posting_id, CASE WHEN observation_id % 2 = 0 THEN 1 ELSE 2 END AS x FROM obs WHERE availability = 'content_captured') GROUP BY 1, 2) GROUP BY 1")
 def pass_comparison(e: Evidence) -> DataFrame:
     own = e.obs.where("availability = 'content_captured'")
     out = Q.compare_sets(own.where("observation_id % 2 = 0"), own.where("observation_id % 2 = 1"), "slot", "posting_id")
@@ -263,32 +263,6 @@ def failed_fetches(e: Evidence) -> DataFrame:
     return bad.groupBy("availability", "identity", "lineage", F.col("slot").cast("string").alias("slot")).agg(F.count("*").alias("n"), F.max("observed_at").cast("string").alias("latest"))
 
 
-@query("unreported_runs", "SELECT CAST(slot AS VARCHAR) AS slot, outcome FROM runs r WHERE outcome <> 'success' AND NOT EXISTS (SELECT 1 FROM obs o WHERE o.slot = r.slot AND o.observation_id % 1000 = 0)")
-def unreported_runs(e: Evidence) -> DataFrame:
-    told = e.obs.where("observation_id % 1000 = 0").select("slot").distinct()
-    return e.runs.where("outcome <> 'success'").join(told, "slot", "left_anti").select(*text("slot"), "outcome")
-
-
-@query("retry_decision", "SELECT CAST(slot AS VARCHAR) AS slot, CASE WHEN bool_or(outcome = 'success') THEN 'done' WHEN count(*) FILTER (kind = 'retry') >= 2 THEN 'exhausted' ELSE 'retry' END AS decision, count(*) FILTER (kind = 'retry') + 2 AS next_attempt FROM runs WHERE kind IN ('daily', 'retry') GROUP BY 1")
-def retry_decision(e: Evidence) -> DataFrame:
-    s = e.runs.where(F.col("kind").isin("daily", "retry")).groupBy("slot").agg(F.bool_or(F.col("outcome") == "success").alias("done"), F.count_if(F.col("kind") == "retry").alias("retries"))
-    return s.select(*text("slot"), F.when(F.col("done"), "done").when(F.col("retries") >= 2, "exhausted").otherwise("retry").alias("decision"), (F.col("retries") + 2).alias("next_attempt"))
-
-
-@query("collection_state", "SELECT CASE WHEN count(*) = 0 THEN 'NEVER_RUN' WHEN date_diff('day', max(slot) FILTER (qualified), max(slot)) >= 2 THEN 'STALE' WHEN arg_max(outcome, slot) = 'success' THEN 'HEALTHY' WHEN arg_max(outcome, slot) = 'partial' THEN 'DEGRADED' WHEN arg_max(outcome, slot) = 'failed' THEN 'FAILED' ELSE 'UNKNOWN' END AS state, arg_max(outcome, slot) AS last_outcome, CAST(max(slot) FILTER (qualified) AS VARCHAR) AS last_qualified FROM runs")
-def collection_state(e: Evidence) -> DataFrame:
-    r = e.runs.agg(F.count("*").alias("n"), F.max("slot").alias("last"), F.max(F.when(F.col("qualified"), F.col("slot"))).alias("q"), F.max_by("outcome", "slot").alias("last_outcome"))
-    o = F.col("last_outcome")
-    state = F.when(F.col("n") == 0, "NEVER_RUN").when(F.date_diff("last", "q") >= 2, "STALE").when(o == "success", "HEALTHY").when(o == "partial", "DEGRADED").when(o == "failed", "FAILED").otherwise("UNKNOWN")
-    return r.select(state.alias("state"), "last_outcome", F.col("q").cast("string").alias("last_qualified"))
-
-
-@query("startup_failures", "SELECT CAST(o.slot AS VARCHAR) AS slot, count(*) AS failures, bool_or(r.outcome IN ('success', 'partial')) AS resolved FROM obs o LEFT JOIN runs r USING (slot) WHERE o.availability = 'retrieval_failed' GROUP BY 1")
-def startup_failures(e: Evidence) -> DataFrame:
-    failures = e.obs.where("availability = 'retrieval_failed'").groupBy("slot").agg(F.count("*").alias("failures"))
-    return failures.join(e.runs.select("slot", "outcome"), "slot", "left").select(*text("slot"), "failures", F.col("outcome").isin("success", "partial").alias("resolved"))
-
-
 @query("fingerprints", "SELECT doc_id, sha256('text' || chr(31) || '1.0.0' || chr(31) || coalesce(text, '') || chr(31)) AS text_fp, sha256('content' || chr(31) || '1.1.0|1.0.0|1.0.0' || chr(31) || coalesce(source, '') || chr(31) || coalesce(text, '') || chr(31)) AS content_fp FROM documents", ctes=False)
 def fingerprints(e: Evidence) -> DataFrame:
     from tidemark.contracts import Contracts

@@ -185,18 +185,6 @@ def version_diff(e: Evidence) -> DataFrame:
 # -- queues, resources, reports ---------------------------------------------
 
 
-@sql("priority_queue", "SELECT o_custkey, CAST(min(CAST(o_orderpriority[1] AS INTEGER) * 10) AS BIGINT) AS priority, arg_min(o_orderkey, (CAST(o_orderpriority[1] AS INTEGER) * 10, o_orderkey)) AS work_key, count(*) AS asked FROM orders WHERE o_orderstatus <> 'F' GROUP BY 1")
-def priority_queue(e: Evidence) -> DataFrame:
-    rank = F.substring("o_orderpriority", 1, 1).cast("long") * 10
-    open_ = e.table("orders").where("o_orderstatus <> 'F'").withColumn("p", rank)
-    return open_.groupBy("o_custkey").agg(F.min("p").alias("priority"), F.min_by("o_orderkey", F.struct("p", "o_orderkey")).alias("work_key"), F.count("*").alias("asked"))
-
-
-@sql("next_work", "SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderstatus = 'O' ORDER BY o_orderpriority, o_orderkey LIMIT 50")
-def next_work(e: Evidence) -> DataFrame:
-    return e.table("orders").where("o_orderstatus = 'O'").orderBy("o_orderpriority", "o_orderkey").limit(50).select("o_orderkey", "o_orderpriority")
-
-
 @sql("queue_summary", "SELECT o_orderstatus AS state, o_orderpriority AS priority, count(*) AS n FROM orders GROUP BY 1, 2")
 def queue_summary(e: Evidence) -> DataFrame:
     return e.table("orders").groupBy(F.col("o_orderstatus").alias("state"), F.col("o_orderpriority").alias("priority")).agg(F.count("*").alias("n"))
@@ -218,51 +206,11 @@ def unlinked_resources(e: Evidence) -> DataFrame:
     return e.table("part").join(e.table("lineitem").where("l_returnflag = 'R'"), F.col("p_partkey") == F.col("l_partkey"), "left_anti").select("p_partkey")
 
 
-@sql("best_address", "SELECT c_nationkey, arg_min(c_custkey, (CASE c_mktsegment WHEN 'BUILDING' THEN 1 WHEN 'MACHINERY' THEN 2 ELSE 3 END, -c_custkey)) AS c_custkey FROM customer GROUP BY 1")
-def best_address(e: Evidence) -> DataFrame:
-    rank = F.when(F.col("c_mktsegment") == "BUILDING", 1).when(F.col("c_mktsegment") == "MACHINERY", 2).otherwise(3)
-    return e.table("customer").groupBy("c_nationkey").agg(F.min_by("c_custkey", F.struct(rank.alias("r"), (-F.col("c_custkey")).alias("k"))).alias("c_custkey"))
-
-
-@sql("worst_component", "SELECT source, CASE max(CASE WHEN n > 4000 THEN 3 WHEN n > 1500 THEN 2 ELSE 1 END) WHEN 3 THEN 'unhealthy' WHEN 2 THEN 'degraded' ELSE 'healthy' END AS health FROM (SELECT source, length(text) AS n FROM documents) GROUP BY 1")
-def worst_component(e: Evidence) -> DataFrame:
-    n = F.length("text")
-    health = F.when(n > 4000, F.struct(F.lit(3), F.lit("unhealthy").alias("h"))).when(n > 1500, F.struct(F.lit(2), F.lit("degraded").alias("h"))).otherwise(F.struct(F.lit(1), F.lit("healthy").alias("h")))
-    return e.table("documents").groupBy("source").agg(F.max(health)["h"].alias("health"))
-
-
-@sql("notification_states", "SELECT state, count(*) AS n FROM (SELECT CASE WHEN o_orderstatus = 'F' THEN 'accepted' WHEN o_orderpriority[1] = '5' THEN 'abandoned' WHEN o_custkey % 7 >= 5 THEN 'abandoned' ELSE 'failed' END AS state FROM orders) GROUP BY 1")
-def notification_states(e: Evidence) -> DataFrame:
-    """The step of delivery: accepted is final; a permanent failure or the last attempt abandons; else failed, to be swept again."""
-    permanent, attempts = F.substring("o_orderpriority", 1, 1) == "5", F.col("o_custkey") % 7
-    state = F.when(F.col("o_orderstatus") == "F", "accepted").when(permanent | (attempts >= 5), "abandoned").otherwise("failed")
-    return e.table("orders").groupBy(state.alias("state")).agg(F.count("*").alias("n"))
-
-
 @sql("retry_sweep", "SELECT o_orderkey, CAST(o_orderdate AS VARCHAR) AS o_orderdate FROM orders WHERE o_orderstatus = 'P' AND o_orderkey <> 1 ORDER BY o_orderdate, o_orderkey LIMIT 20")
 def retry_sweep(e: Evidence) -> DataFrame:
     return e.table("orders").where("o_orderstatus = 'P' AND o_orderkey <> 1").orderBy("o_orderdate", "o_orderkey").limit(20).select("o_orderkey", *text("o_orderdate"))
 
 
-_PAGES = """pages_of AS (SELECT o_custkey AS scan_id, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS page_number, o_orderstatus <> 'P' AS ok, o_orderkey % 97 <> 0 AS recognized,
-  CAST(o_orderkey % 53 = 0 AS BIGINT) AS unresolved, o_orderkey % 61 = 0 AS challenged, o_orderkey % 10 AS n_ids, o_orderkey % 40 AS signature FROM orders)"""
-
-
-@sql("scan_assessment", f"WITH {_PAGES}, f AS (SELECT scan_id, count(*) AS pages, count(*) FILTER (NOT ok) AS failed, count(*) FILTER (NOT recognized) AS odd, CAST(sum(unresolved) AS BIGINT) AS unresolved, count(*) FILTER (challenged) AS challenged, count(*) - count(DISTINCT signature) AS repeats, CAST(sum(n_ids) AS BIGINT) AS ids, arg_max(ok, page_number) AS last_ok, arg_max(recognized, page_number) AS last_rec, arg_max(n_ids, page_number) AS last_ids FROM pages_of GROUP BY 1), " + """
-t AS (SELECT *, CASE WHEN pages > 30 THEN 'max_pages' WHEN NOT last_ok THEN 'fetch_failure' WHEN NOT last_rec AND last_ids > 0 THEN 'structure_unrecognized' WHEN repeats > 0 THEN 'loop_detected' WHEN last_ids = 0 AND last_rec THEN 'empty_validated_page' WHEN last_ids = 0 THEN 'structure_unrecognized' ELSE 'no_more_link' END AS "end" FROM f),
-c AS (SELECT *, concat_ws('; ', CASE WHEN odd > 0 THEN 'structure_recognized failed' END, CASE WHEN failed > 0 THEN 'all_pages_retrieved failed' END, CASE WHEN "end" NOT IN ('no_more_link', 'empty_validated_page') THEN 'legitimate_termination failed' END, CASE WHEN unresolved > 0 THEN 'no_unresolved_identity failed' END,
-  CASE WHEN challenged > 0 THEN 'no_access_control_response failed' END, CASE WHEN failed > 0 THEN 'all_pages_http_200 failed' END, CASE WHEN pages >= 30 THEN 'within_page_bound failed' END, CASE WHEN repeats > 0 THEN 'no_pagination_loop failed' END, CASE WHEN ids = 0 AND "end" <> 'empty_validated_page' THEN 'empty_result_validated failed' END) AS reason FROM t)
-SELECT scan_id, pages, ids, "end", reason = '' AS qualified, reason FROM c""")
-def scan_assessment(e: Evidence) -> DataFrame:
-    k = F.col("o_orderkey")
-    pages = e.table("orders").select(
-        F.col("o_custkey").alias("scan_id"), F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey")).alias("page_number"), (F.col("o_orderstatus") != "P").alias("ok"), (k % 97 != 0).alias("recognized"),
-        (k % 53 == 0).cast("long").alias("unresolved"), F.when(k % 61 == 0, "captcha").alias("signal"), F.lit(True).alias("to_listing"), F.when(F.col("o_orderstatus") == "P", 500).otherwise(200).alias("status"),
-        (k % 40).alias("signature"), (k % 10).alias("n_ids"), F.lit(None).cast("long").alias("total"), F.lit(None).cast("string").alias("next_url"), F.lit(30).alias("bound"),
-    )
-    return Q.assess(Q.scan_facts(pages)).drop("checks")
-
-
 @query("export_postings", "SELECT posting_id, CAST(discovered_at AS VARCHAR) AS discovered_at, observations FROM postings ORDER BY posting_id")
 def export_postings(e: Evidence) -> DataFrame:
     frames = {"postings": lambda: e.postings.select("posting_id", *text("discovered_at"), "observations")}
@@ -292,8 +240,3 @@ def export_runs(e: Evidence) -> DataFrame:
     return e.runs.select(*text("slot"), "kind", "outcome", "pages", "captured", "mismatches").orderBy(F.desc("slot"))
 
 
-@query("run_reports", "SELECT CAST(slot AS VARCHAR) AS slot, CASE WHEN outcome = 'success' THEN '' ELSE concat_ws('; ', CASE WHEN NOT qualified THEN 'no qualified scan' END, CASE WHEN failed > 0 THEN format('{} failed', failed) END, CASE WHEN mismatches > 20 THEN format('{} of another identity', mismatches) END) END AS problem, CASE WHEN outcome = 'failed' THEN 1 WHEN outcome = 'partial' THEN 2 ELSE 0 END::BIGINT AS exit_code FROM runs")
-def run_reports(e: Evidence) -> DataFrame:
-    parts = F.concat_ws("; ", F.when(~F.col("qualified"), "no qualified scan"), F.when(F.col("failed") > 0, F.format_string("%d failed", "failed")), F.when(F.col("mismatches") > 20, F.format_string("%d of another identity", "mismatches")))
-    code = F.when(F.col("outcome") == "failed", 1).when(F.col("outcome") == "partial", 2).otherwise(0).cast("long")
-    return e.runs.select(*text("slot"), F.when(F.col("outcome") == "success", "").otherwise(parts).alias("problem"), code.alias("exit_code"))

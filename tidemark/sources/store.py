@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
 import tempfile
 import tomllib
-from dataclasses import dataclass, fields
+from dataclasses import asdict, dataclass, fields
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 FORMAT_VERSION = 1
@@ -62,6 +63,16 @@ def write_tables(tables: dict[str, DataFrame], path: str) -> None:
     spark.createDataFrame([(FORMAT_VERSION, n) for n in sorted(tables)], "format int, table string").coalesce(1).write.json(f"{path}/_marker")
 
 
+def append(rows: DataFrame, path: str, key: list[str]) -> None:
+    """Add to a table's folder the rows whose key is not there yet; nothing is ever changed. Of equal keys among the rows one is added."""
+    spark = rows.sparkSession
+    new = rows.dropDuplicates(key)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        new = new.join(spark.read.schema(rows.schema).parquet(path).select(*key), key, "left_anti").select(*rows.columns)
+    new.write.mode("append").parquet(path)
+
+
 def open_tables(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     marks = spark.read.schema("format int, table string").json(f"{path}/_marker").collect()
     if any(m["format"] > FORMAT_VERSION for m in marks):
@@ -87,6 +98,50 @@ def restore_check(snapshot: DataFrame, restored: DataFrame) -> DataFrame:
     return a.join(b, "table", "full_outer").select("table", F.coalesce(F.col("r1") == F.col("r2"), F.lit(False)).alias("same_rows"), F.coalesce(F.col("d1") == F.col("d2"), F.lit(False)).alias("same_digest"))
 
 
+def snapshot(tables: dict[str, DataFrame], path: str) -> None:
+    """A copy of the tables with the manifest of what was copied, written last."""
+    write_tables(tables, path)
+    manifest(tables).coalesce(1).write.json(f"{path}/_manifest")
+
+
+def verified_snapshot(spark: SparkSession, path: str) -> DataFrame:
+    """name, passed, detail: that the snapshot opens, has the rows and digests of its manifest, and passes self_check."""
+    tables = open_tables(spark, path)
+    told = spark.read.schema("table string, rows long, digest string").json(f"{path}/_manifest")
+    same = restore_check(told, manifest(tables)).select(F.concat(F.lit("manifest:"), "table").alias("name"), (F.col("same_rows") & F.col("same_digest")).alias("passed"), F.when(~F.col("same_rows"), "rows differ").when(~F.col("same_digest"), "contents differ").otherwise("").alias("detail"))
+    return same.union(self_check(tables))
+
+
+def _check(name: str, bad: DataFrame, passed: Column | None = None) -> DataFrame:
+    return bad.agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), (F.col("n") == 0 if passed is None else passed).alias("passed"), F.format_string("%d", "n").alias("detail"))
+
+
+def self_check(tables: dict[str, DataFrame]) -> DataFrame:
+    """name, passed, detail of what an archive must hold whatever is in it; a check whose tables are missing is left out.
+
+    keys:TABLE: no posting is twice; references: observations and versions of postings that are there; payloads: digests and lengths;
+    histories: there are postings with observations; versions_survived: versions were seen; links: counted only.
+    """
+    t, out = tables, []
+    if "postings" in t:
+        out.append(_check("keys:postings", t["postings"].groupBy("posting_id").count().where("count > 1")))
+        for child in ("observations", "versions"):
+            if child in t:
+                out.append(_check(f"references:{child}", foreign_key_gaps(t[child], t["postings"], "posting_id")))
+    if "payloads" in t:
+        out.append(_check("payloads", damaged(t["payloads"])))
+    if "observations" in t and "postings" in t:
+        out.append(_check("histories", t["postings"].join(t["observations"].select("posting_id"), "posting_id", "left_semi"), F.col("n") > 0))
+    if "versions" in t:
+        out.append(_check("versions_survived", t["versions"].where("observed < 1 or first_seen > last_seen")))
+    if "links" in t:
+        out.append(_check("links", t["links"], F.lit(True)))
+    every = out[0]
+    for one in out[1:]:
+        every = every.union(one)
+    return every
+
+
 def read_journal(spark: SparkSession, path: str, limit: int = 200) -> DataFrame:
     """The newest records of a failure journal; lines that are no records are passed over."""
     df = spark.read.schema("at string, slot string, kind string, detail string").option("mode", "DROPMALFORMED").json(path)
@@ -119,6 +174,11 @@ def load_config(path: str) -> Config:
     return Config(**given)
 
 
+def config_hash(config: Config) -> str:
+    """Digest of all values in the order of their names; a config holds no paths, so it is the same on every machine."""
+    return hashlib.sha256(json.dumps(asdict(config), sort_keys=True).encode()).hexdigest()
+
+
 def write_atomic(path: str, document: dict) -> None:
     """A JSON file that is there whole or not at all, readable by its owner only."""
     target = Path(path)
