@@ -35,9 +35,13 @@ def archive_new_payloads(e: Evidence) -> DataFrame:
     return store.land(d.where("doc_id % 2 = 1"), store.addressed(d.where("doc_id % 2 = 0"), "text"), "text").select("sha256")
 
 
-@sql("archive_damaged", "SELECT sha256(text) AS sha256, CAST(any_value(strlen(text)) AS BIGINT) AS byte_length FROM documents WHERE FALSE GROUP BY 1")
+@sql("archive_damaged", "SELECT sha256(text) AS sha256, CAST(any_value(strlen(text)) AS BIGINT) AS byte_length FROM documents WHERE sha256(text)[1] IN ('0', '7') GROUP BY 1")
 def archive_damaged(e: Evidence) -> DataFrame:
-    return store.damaged(store.addressed(e.table("documents"), "text"))
+    """Payloads whose bytes were changed after they were archived: cut short for one first digit of the digest, swapped at equal length for another."""
+    kept = store.addressed(e.table("documents"), "text")
+    digit = F.substring("sha256", 1, 1)
+    short = F.expr("substring(body, 2)")
+    return store.damaged(kept.withColumn("body", F.when(digit == "0", short).when(digit == "7", F.concat(short, F.unhex(F.lit("00")))).otherwise(F.col("body"))))
 
 
 @sql("archive_storage", "SELECT (SELECT count(*) FROM (SELECT DISTINCT text FROM documents)) AS artifacts, CAST((SELECT sum(strlen(text)) FROM (SELECT DISTINCT text FROM documents)) AS BIGINT) AS bytes_kept, count(*) AS fetches, CAST(sum(strlen(text)) AS BIGINT) AS bytes_fetched, round(sum(strlen(text)) / (SELECT sum(strlen(text)) FROM (SELECT DISTINCT text FROM documents)), 2) AS ratio FROM documents")
@@ -201,9 +205,9 @@ def resource_outcomes(e: Evidence) -> DataFrame:
     return e.table("lineitem").groupBy(F.col("l_returnflag").alias("outcome"), F.col("l_linestatus").alias("state")).agg(F.count("*").alias("n"), F.max("l_orderkey").alias("latest"), F.sum("l_linenumber").alias("total"))
 
 
-@sql("unlinked_resources", "SELECT p_partkey FROM part WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_returnflag = 'R')")
+@sql("unlinked_resources", "SELECT p_partkey FROM part WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_returnflag = 'R' AND l_quantity > 40)")
 def unlinked_resources(e: Evidence) -> DataFrame:
-    return e.table("part").join(e.table("lineitem").where("l_returnflag = 'R'"), F.col("p_partkey") == F.col("l_partkey"), "left_anti").select("p_partkey")
+    return e.table("part").join(e.table("lineitem").where("l_returnflag = 'R' AND l_quantity > 40"), F.col("p_partkey") == F.col("l_partkey"), "left_anti").select("p_partkey")
 
 
 @sql("retry_sweep", "SELECT o_orderkey, CAST(o_orderdate AS VARCHAR) AS o_orderdate FROM orders WHERE o_orderstatus = 'P' AND o_orderkey <> 1 ORDER BY o_orderdate, o_orderkey LIMIT 20")
