@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.contracts import Contracts
-from tidemark.functions.scalars import spreadsheet_safe
+from tidemark.functions.scalars import source_date, spreadsheet_safe
 from tidemark.operators.views import pivot_fields
 
 #: Datasets that can be limited to one posting.
@@ -30,9 +30,15 @@ def dataset(frames: dict[str, Callable[[], DataFrame]], name: str, order: list[s
     return df.limit(limit) if limit else df
 
 
-def current(state: DataFrame, values: DataFrame, keys: list[str]) -> DataFrame:
-    """The latest state of each posting with one column a field of its current version; values: entity_id (posting_id, lineage, version), field_key, ordinal, value_text."""
+def current(state: DataFrame, values: DataFrame, keys: list[str], dated: tuple[str, ...] = ()) -> DataFrame:
+    """The latest state of each posting with one column a field of its current version; values: entity_id (posting_id, lineage, version), field_key, ordinal, value_text.
+
+    ``dated``: fields that are dates; each gets its precision (KEY_precision) and the instant it means (KEY_parsed_utc, null for a mere date) beside it.
+    """
     fields = pivot_fields(values, keys)
+    for key in dated:
+        read = source_date(key, F.lit(None).cast("string"))
+        fields = fields.withColumn(f"{key}_precision", F.when(F.col(key).isNotNull(), read["precision"])).withColumn(f"{key}_parsed_utc", read["utc"])
     own = F.struct(F.col("posting_id"), F.col("content_lineage").alias("lineage"), F.col("content_version").alias("version"))
     return state.withColumn("entity_id", own).join(fields, "entity_id", "left").drop("entity_id")
 

@@ -14,6 +14,12 @@ def listing_inputs(pages: DataFrame, fetches: DataFrame, payloads: DataFrame) ->
     return found.join(payloads.select("sha256", "byte_length"), "sha256").select("scan_id", "page_number", "sha256", "byte_length")
 
 
+def scan_results(asked: DataFrame, scans: DataFrame, walls: DataFrame, key: list[str]) -> DataFrame:
+    """What was asked for with its scan; null and an error where the source's challenge ended it or nothing came of it. One scan's end does not end the run."""
+    out = asked.join(scans.withColumn("there", F.lit(True)), key, "left").join(walls.select(*key, F.lit("challenge_wall").alias("wall")).distinct(), key, "left")
+    return out.withColumn("error", F.when(F.col("there").isNull(), F.coalesce("wall", F.lit("no_scan")))).drop("there", "wall")
+
+
 def known_entries(entries: DataFrame, postings: DataFrame) -> DataFrame:
     """The rows of listings (job_id) with the posting they are of; null for an id that is not registered."""
     return entries.join(postings.select("job_id", "posting_id"), "job_id", "left")

@@ -401,6 +401,15 @@ def status_components(e: Evidence) -> DataFrame:
     return T.status_components(parts).select("component", "health")
 
 
+@query("scan_results", "SELECT CAST(slot AS VARCHAR) AS slot, role, CASE WHEN role = 'verification' AND day(slot) % 4 = 0 THEN NULL ELSE pages END AS pages, CASE WHEN role = 'verification' AND day(slot) % 4 = 0 THEN 'challenge_wall' END AS error FROM runs, (VALUES ('discovery'), ('verification')) t(role)")
+def scan_results(e: Evidence) -> DataFrame:
+    roles = e.runs.select("slot", F.explode(F.array(F.lit("discovery"), F.lit("verification"))).alias("role"))
+    walled = (F.col("role") == "verification") & (F.day("slot") % 4 == 0)
+    scans = roles.join(e.runs.select("slot", "pages"), "slot").where(~walled)
+    walls = roles.where(walled).select("slot", "role")
+    return K.scan_results(roles, scans, walls, ["slot", "role"]).select(*text("slot"), "role", "pages", "error")
+
+
 # -- pages ------------------------------------------------------------------
 
 
@@ -447,17 +456,18 @@ def detail_dates(e: Evidence) -> DataFrame:
 
 
 @query("export_current", """SELECT posting_id, CAST(discovered_at AS VARCHAR) AS discovered_at, CAST(last_listed AS VARCHAR) AS last_listed, CAST(content_at AS VARCHAR) AS last_captured, CAST(checked_at AS VARCHAR) AS last_check, last_availability, freshness, version_count, observations,
-  CASE WHEN content_version IS NOT NULL THEN 'place ' || content_version END AS location, CASE WHEN content_version IS NOT NULL THEN 'kind ' || posting_id % 3 END AS categories, CASE WHEN content_version > 0 THEN 'full time' END AS work_type, CASE WHEN content_version IS NOT NULL THEN 'Sep ' || (content_version + 1) || ' 2026' END AS advertised FROM cur""")
+  CASE WHEN content_version IS NOT NULL THEN 'place ' || content_version END AS location, CASE WHEN content_version IS NOT NULL THEN 'kind ' || posting_id % 3 END AS categories, CASE WHEN content_version > 0 THEN 'full time' END AS work_type, CASE WHEN content_version IS NOT NULL THEN 'Sep ' || (content_version + 1) || ' 2026' END AS advertised,
+  CASE WHEN content_version IS NOT NULL THEN 'date' END AS advertised_precision, CASE WHEN content_version IS NOT NULL THEN 'Oct ' || (content_version + 1) || ' 2026 11:50 PM' END AS applications_close, CASE WHEN content_version IS NOT NULL THEN '2026-10-0' || (content_version + 2) || ' 03:50:00' END AS applications_close_parsed_utc FROM cur""")
 def export_current(e: Evidence) -> DataFrame:
     v = F.col("version").cast("string")
-    fields = (("location", F.concat(F.lit("place "), v)), ("categories", F.concat(F.lit("kind "), (F.col("posting_id") % 3).cast("string"))), ("work_type", F.when(F.col("version") > 0, "full time")), ("advertised", F.concat(F.lit("Sep "), (F.col("version") + 1).cast("string"), F.lit(" 2026"))))
+    fields = (("location", F.concat(F.lit("place "), v)), ("categories", F.concat(F.lit("kind "), (F.col("posting_id") % 3).cast("string"))), ("work_type", F.when(F.col("version") > 0, "full time")), ("advertised", F.concat(F.lit("Sep "), (F.col("version") + 1).cast("string"), F.lit(" 2026"))), ("applications_close", F.concat(F.lit("Oct "), (F.col("version") + 1).cast("string"), F.lit(" 2026 11:50 PM"))))
     rows = F.explode(F.array(*(F.struct(F.lit(k).alias("field_key"), x.alias("value_text")) for k, x in fields)))
     version = F.struct("posting_id", "lineage", "version")
     values = e.versions.select(version.alias("entity_id"), F.lit(0).alias("ordinal"), rows.alias("f")).select("entity_id", "ordinal", "f.*")
-    frames = {"current": lambda: X.current(e.current, values, [k for k, _ in fields])}
+    frames = {"current": lambda: X.current(e.current, values, [k for k, _ in fields], ("advertised", "applications_close"))}
     names = {"content_at": "last_captured", "checked_at": "last_check"}
     out = X.dataset(frames, "current", ["posting_id"])
-    return out.select("posting_id", *(F.col(c).cast("string").alias(names.get(c, c)) for c in ("discovered_at", "last_listed", "content_at", "checked_at")), "last_availability", "freshness", "version_count", "observations", *(k for k, _ in fields))
+    return out.select("posting_id", *(F.col(c).cast("string").alias(names.get(c, c)) for c in ("discovered_at", "last_listed", "content_at", "checked_at")), "last_availability", "freshness", "version_count", "observations", *(k for k, _ in fields), "advertised_precision", *text("applications_close_parsed_utc"))
 
 
 @sql("export_links", "SELECT o_custkey AS posting_id, l_partkey AS resource, l_linenumber AS position, l_returnflag AS classification, CASE WHEN l_returnflag = 'R' THEN 'fetch' ELSE 'exclude' END AS decision FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey WHERE o_custkey % 10 = 1")
