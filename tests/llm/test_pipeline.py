@@ -46,5 +46,9 @@ def test_shared_folder(spark, tmp_path, monkeypatch):
     (tmp_path / "other").mkdir()
     assert common.stored(spark.range(5), "five").count() == 5
     assert [p.name for p in tmp_path.iterdir() if p.name != "other"] == [f"tidemark-{spark.sparkContext.applicationId}"]
+    common.remove_mounted(f"hdfs://{tmp_path}")
+    assert len(list(tmp_path.iterdir())) == 2
     common.clear(spark)
     assert [p.name for p in tmp_path.iterdir()] == ["other"]
+    common.remove_mounted(f"file://{tmp_path}/other")
+    assert not list(tmp_path.iterdir())

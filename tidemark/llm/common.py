@@ -8,6 +8,7 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
+from urllib.parse import urlsplit
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +21,7 @@ SHINGLE = 5
 #: Bits of the sets of repeated keys: 8 MiB.
 SLOT_LOG = 26
 _own_dir: str | None = None
+_run_dirs: set[str] = set()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,8 +46,18 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def run_dir(spark: SparkSession) -> str:
-    """This application's own folder in the shared one."""
-    return f"{shared_dir(spark)}/tidemark-{spark.sparkContext.applicationId}"
+    """This application's own folder in the shared one. Where it is a mounted folder it is deleted when the driver ends; elsewhere ``clear`` does it."""
+    path = f"{shared_dir(spark)}/tidemark-{spark.sparkContext.applicationId}"
+    if path not in _run_dirs:
+        _run_dirs.add(path)
+        atexit.register(remove_mounted, path)
+    return path
+
+
+def remove_mounted(path: str) -> None:
+    parts = urlsplit(path)
+    if parts.scheme in ("", "file"):
+        shutil.rmtree(parts.path, ignore_errors=True)
 
 
 def clear(spark: SparkSession) -> None:
