@@ -38,7 +38,7 @@ def test_listing():
     assert first["summary_html"] == "Files <i>things</i>." and first["unknown_spans"] == [{"css_class": "badge", "text": "New"}, {"css_class": "new", "text": "New"}]
     assert (p["more_url"], p["more_remaining"]) == (BASE + "?page=2&page-items=20", 113)
     assert [x["classification"] for x in p["other_links"]] == ["internal_nav", "mailto", "apply_workflow", "external", "internal_nav"]
-    assert len([w for w in p["warnings"] if "orphan" in w]) == 1 and any("pattern" in w for w in p["warnings"])
+    assert len([w for w in p["warnings"] if "without a row" in w]) == 1 and any("names no job" in w for w in p["warnings"])
 
 
 @pytest.mark.parametrize(
@@ -115,6 +115,7 @@ def test_job_number_from_its_label():
 def test_followed(url, classes, want):
     assert B.followed(url, classes, "example.com", "jobs.example.com")[0] == want
     assert B.followed("https://a.example.com/b.csv", [], "example.com", "jobs.example.com")[1:] == ("fetch", None)
+    assert B.followed("https://x.vendor.net/b.csv", [], "example.com", "jobs.example.com", "vendor.net")[0] == "apply_workflow"
 
 
 def test_as_columns(spark):
