@@ -275,6 +275,7 @@ def test_lines_odd(spark):
     # 5 has the one long line that 4 has
     assert sorted(r["doc_id"] or 0 for r in line_dedup.clean(odd(spark)).collect()) == [0, 1, 2, 3, 4, 4, 6]
     assert line_dedup.clean(empty(spark)).count() == 0
+    assert line_dedup.clean(odd(spark), long=None).count() == 8
     dotted = odd(spark).withColumnRenamed("label", "a.b")
     assert line_dedup.clean(dotted).columns == dotted.columns
 

@@ -40,7 +40,7 @@ def winnow(hashes: np.ndarray, window: int) -> np.ndarray:
     return np.arange(len(turned)) + window - 1 - turned.argmin(1)
 
 
-def _fingerprints(window: int, long: int):
+def _fingerprints(window: int, long: int | None):
     """doc_id, tid, fp (selected hash), start (first line of the first run), lines (of a run), runs (hashes of consecutive runs that selected it)."""
     names = ("doc_id", "tid", "fp", "start", "lines", "runs")
     kinds = (*[pa.int64()] * 3, *[pa.int32()] * 2, pa.list_(pa.binary()))
@@ -53,7 +53,7 @@ def _fingerprints(window: int, long: int):
                 digests = [xxhash.xxh3_128_digest(s.encode("utf-8", "surrogatepass")) for s in lines]
                 hashes = np.frombuffer(b"".join(digests), np.int64)[::2]
                 for k, s in enumerate(lines):
-                    if len(s) >= 2 * long - 1 and len(s.encode("utf-8", "surrogatepass").split()) >= long:
+                    if long is not None and len(s) >= 2 * long - 1 and len(s.encode("utf-8", "surrogatepass").split()) >= long:
                         rows.append((doc_id, tid, int(hashes[k]) ^ 1, k, 1, [digests[k]]))
                 at = winnow(hashes, window)
                 if len(at):
@@ -66,7 +66,7 @@ def _fingerprints(window: int, long: int):
     return select
 
 
-def repeated_runs(docs: DataFrame, window: int = WINDOW, long: int = LONG) -> DataFrame:
+def repeated_runs(docs: DataFrame, window: int = WINDOW, long: int | None = LONG) -> DataFrame:
     """doc_id, tid (hash of the text), runs (array of start, lines): the runs, among the lines that are not blank, that occurred before."""
     rows = docs.where("doc_id is not null").select("doc_id", F.xxhash64("text").alias("tid"), "text")
     marks = stored(rows.mapInArrow(_fingerprints(window, long), "doc_id long, tid long, fp long, start int, lines int, runs array<binary>"), "winnow-marks")
@@ -103,9 +103,10 @@ def _delete(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column(at["rest"]), pa.array(texts, pa.string()), pa.array(total, pa.int64()), pa.array(gone, pa.list_(pa.int32()))], names=["rest", "text", "n_lines", "removed"])
 
 
-def without_repeats(docs: DataFrame, window: int = WINDOW, long: int = LONG) -> DataFrame:
+def without_repeats(docs: DataFrame, window: int = WINDOW, long: int | None = LONG) -> DataFrame:
     """rest (struct of the columns other than text), text (repeated runs deleted), n_lines, removed (numbers of the deleted lines, from 0).
 
+    ``long``: words from which on a line is a run of its own; None: lines are never so.
     Null text stays null with no lines; texts of fewer than ``window`` lines lose long lines only. Blank lines are never deleted and
     do not part a run. Rows equal in doc_id and text are one document and share its fate; rows with a null doc_id are left
     as they are and take no part. Columns may have any names; an empty table gives no rows.
@@ -117,7 +118,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, long: int = LONG) ->
     return joined.mapInArrow(_delete, typed(rows.schema["rest"], "text string, n_lines long, removed array<int>"))
 
 
-def clean(docs: DataFrame, window: int = WINDOW, long: int = LONG) -> DataFrame:
+def clean(docs: DataFrame, window: int = WINDOW, long: int | None = LONG) -> DataFrame:
     """The columns of ``docs`` with repeated runs deleted from text; documents that lose all their words are dropped. n_chars, if there, is brought up to date."""
     out = without_repeats(docs, window, long)
     kept = out.where((F.size("removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
