@@ -21,11 +21,12 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Runs of lines, and long lines, that occurred before are cut out; documents of which nothing is left go.
+    """Runs of three lines or more that occurred before are cut out; documents of which nothing is left go.
 
+    Single long lines stay here: near copies would lose the lines that were not changed in them, and the next stage could not tell them any more.
     Null texts and rows without doc_id stay as they are; rows equal in doc_id and text are one document and share its fate.
     """
-    return line_dedup.clean(docs)
+    return line_dedup.clean(docs, long=None)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
