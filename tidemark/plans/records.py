@@ -89,7 +89,7 @@ def page_hosts(e: Evidence) -> DataFrame:
     return e.table("pages").select("page_id", S.host_of("url").alias("host"), scheme.isin("http", "https").alias("web"), F.try_parse_url("url", F.lit("PATH")).alias("path"))
 
 
-@sql("payload_decoding")
+@sql("payload_decoding", "SELECT page_id, CASE WHEN starts_with(html, chr(65279)) THEN 'utf-8-sig' ELSE 'utf-8' END AS encoding, CAST(0 AS INTEGER) AS replaced, CAST(length(html) - CASE WHEN starts_with(html, chr(65279)) THEN 1 ELSE 0 END AS INTEGER) AS n_chars FROM pages")
 def payload_decoding(e: Evidence) -> DataFrame:
     d = e.table("pages").select("page_id", M.html_decode(F.col("html").cast("binary"), F.lit("utf-8")).alias("d"))
     return d.select("page_id", "d.encoding", "d.replaced", F.length("d.text").alias("n_chars"))
