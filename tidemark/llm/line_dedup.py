@@ -129,6 +129,19 @@ def clean(docs: DataFrame, window: int = WINDOW, long: int | None = LONG) -> Dat
     return kept.select(*(name[c] for c in docs.columns))
 
 
+OP4_SQL = r"""
+WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS k FROM documents WHERE text IS NOT NULL),
+c AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY k) AS p FROM (SELECT doc_id, k, trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS s FROM l) WHERE s <> ''),
+r AS (SELECT doc_id, p, 3 AS n, s || chr(10) || lead(s, 1) OVER w || chr(10) || lead(s, 2) OVER w AS run FROM c WINDOW w AS (PARTITION BY doc_id ORDER BY p)
+  UNION ALL SELECT doc_id, p, 1, s FROM c WHERE len(regexp_extract_all(s, '[^\x20\x09-\x0D]+')) >= 10),
+f AS (SELECT *, row_number() OVER (PARTITION BY n, run ORDER BY doc_id, p) AS place FROM r WHERE run IS NOT NULL),
+gone AS (SELECT DISTINCT c.doc_id, c.k FROM f JOIN c ON c.doc_id = f.doc_id AND c.p BETWEEN f.p AND f.p + f.n - 1 WHERE f.place > 1),
+cut AS (SELECT doc_id, count(g.k) AS n_removed, string_agg(g.k, ',' ORDER BY l.k) AS removed, string_agg(CASE WHEN g.k IS NULL THEN line END, chr(10) ORDER BY l.k) AS text FROM l LEFT JOIN gone g USING (doc_id, k) GROUP BY doc_id)
+SELECT d.doc_id, CAST(CASE WHEN coalesce(d.text, '') = '' THEN 0 ELSE len(string_split(d.text, chr(10))) END AS BIGINT) AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(removed, '') AS removed, CASE WHEN n_removed > 0 THEN coalesce(cut.text, '') ELSE d.text END AS text
+FROM documents d LEFT JOIN cut USING (doc_id)
+"""
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = without_repeats(table(spark, sf_dir, "documents"))
-    return out.select("rest.doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), "removed", "text")
+    return out.select("rest.doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed"), "text")

@@ -20,4 +20,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op7_source_mix": mixing.op7_source_mix,
 }
-ORACLE_SQL: dict[str, str] = {"op5_decontaminate": decontaminate.OP5_SQL, "op9_parity_join": parity_join.OP9_SQL}
+ORACLE_SQL: dict[str, str] = {"op4_line_dedup": line_dedup.OP4_SQL, "op5_decontaminate": decontaminate.OP5_SQL, "op9_parity_join": parity_join.OP9_SQL}
