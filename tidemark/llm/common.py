@@ -20,6 +20,8 @@ from pyspark.sql.types import StructField, StructType
 SHINGLE = 5
 #: Bits of the sets of repeated keys: 8 MiB.
 SLOT_LOG = 26
+BATCH_ROWS = 2_000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _own_dir: str | None = None
 _run_dirs: set[str] = set()
 
@@ -67,10 +69,18 @@ def clear(spark: SparkSession) -> None:
 
 
 def stored(df: DataFrame, label: str, compression: str = "zstd") -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it back; this cuts the lineage and survives lost executors."""
+    """Write ``df`` as a table in the shared folder and read it back; this cuts the lineage and survives lost executors.
+
+    Meanwhile rows go to the Python workers in batches of BATCH_ROWS, as each batch of texts is held by the executor and by its worker.
+    """
     spark = df.sparkSession
     path = f"{run_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", compression).parquet(path)
+    rows = spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, min(int(rows), BATCH_ROWS) if int(rows) > 0 else BATCH_ROWS)
+    try:
+        df.write.option("compression", compression).parquet(path)
+    finally:
+        spark.conf.set(_BATCH, rows)
     return spark.read.schema(df.schema).parquet(path)
 
 
