@@ -19,6 +19,7 @@ COLUMNS = {
     "op6_media_chunks": "doc_id bigint, n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string",
     "op7_source_mix": "doc_id bigint, size bigint, source_size bigint, target double, taken bigint", "op8_secrets": "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string",
     "op9_parity_join": "doc_id bigint, n_shingles bigint, component_id bigint", "op10_chain_dedup": "doc_id bigint, src_id bigint, start_word bigint, end_word bigint, identity double",
+    "op13_simhash": "doc_id bigint, fingerprint string, component_id bigint",
 }
 LONG = words(60_000, 91)
 
@@ -75,6 +76,9 @@ def test_query(spark, tables, name):
     if name == "op9_parity_join":
         found = {r["doc_id"]: r["component_id"] for r in rows}
         assert (found[101], found[103], found[5], found[None]) == (100, 102, 4, None)
+    if name == "op13_simhash":
+        found = {r["doc_id"]: r["component_id"] for r in rows}
+        assert (found[2], found[5], found[103], found[None]) == (1, 4, 102, None)
     if name == "op10_chain_dedup":
         got = {(r["doc_id"], r["src_id"]): (r["start_word"], r["end_word"], r["identity"]) for r in rows}
         assert set(got) == {(5, 4), (101, 100)} and got[101, 100][1] - got[101, 100][0] > 59_000 and got[101, 100][2] > 0.99
