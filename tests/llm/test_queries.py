@@ -19,6 +19,7 @@ COLUMNS = {
     "op6_media_chunks": "doc_id bigint, n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string",
     "op7_source_mix": "doc_id bigint, size bigint, source_size bigint, target double, taken bigint", "op8_secrets": "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string",
     "op9_parity_join": "doc_id bigint, n_shingles bigint, component_id bigint", "op10_chain_dedup": "doc_id bigint, src_id bigint, start_word bigint, end_word bigint, identity double",
+    "op11_divergence": "lang string, source string, part string, item string, value bigint, rank int",
     "op12_spelling": "word string, form string, root string, n bigint, n_near bigint, form_n bigint", "op13_simhash": "doc_id bigint, fingerprint string, component_id bigint",
 }
 LONG = words(60_000, 91)
@@ -76,6 +77,10 @@ def test_query(spark, tables, name):
     if name == "op9_parity_join":
         found = {r["doc_id"]: r["component_id"] for r in rows}
         assert (found[101], found[103], found[5], found[None]) == (100, 102, 4, None)
+    if name == "op11_divergence":
+        assert {(r["lang"], r["source"], r["item"]) for r in rows if r["part"] == "pair"} >= {("", "", "t"), ("", "t", ""), ("en", "", "long")} and all(r["value"] == 0 for r in rows)
+    if name == "op12_spelling":
+        assert all(r["n"] >= 5 and len(r["word"]) >= 6 for r in rows) and any(r["word"] == "edited" for r in rows)
     if name == "op13_simhash":
         found = {r["doc_id"]: r["component_id"] for r in rows}
         assert (found[2], found[5], found[103], found[None]) == (1, 4, 102, None)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import chain_dedup, decontaminate, kneser_ney, language_id, line_dedup, media_chunks, mixing, parity_join, ppm_score, secrets, simhash, spelling
+from tidemark.llm import chain_dedup, decontaminate, divergence, kneser_ney, language_id, line_dedup, media_chunks, mixing, parity_join, ppm_score, secrets, simhash, spelling
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_chain_dedup": chain_dedup.op10_chain_dedup,
@@ -19,7 +19,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_line_dedup": line_dedup.op4_line_dedup,
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op7_source_mix": mixing.op7_source_mix,
+    "op11_divergence": divergence.op11_divergence,
     "op12_spelling": spelling.op12_spelling,
     "op13_simhash": simhash.op13_simhash,
 }
-ORACLE_SQL: dict[str, str] = {"op4_line_dedup": line_dedup.OP4_SQL, "op5_decontaminate": decontaminate.OP5_SQL, "op9_parity_join": parity_join.OP9_SQL, "op12_spelling": spelling.OP12_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op4_line_dedup": line_dedup.OP4_SQL,
+    "op5_decontaminate": decontaminate.OP5_SQL,
+    "op9_parity_join": parity_join.OP9_SQL,
+    "op11_divergence": divergence.OP11_SQL,
+    "op12_spelling": spelling.OP12_SQL,
+}
