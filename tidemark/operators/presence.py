@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -29,14 +29,21 @@ def presence_events(grid: DataFrame, runs: DataFrame, postings: DataFrame, seen:
     if seen is not None:
         grid = _disputed(grid, seen).where("not elsewhere").drop("elsewhere")
     g = grid.join(bounds, "slot").join(postings.select("posting_id", "discovered_at"), "posting_id")
+    return _events(g, {"was": F.lit(None), "last_listed": F.lit(None), "last_absent": F.lit(None)})
+
+
+def _events(g: DataFrame, earlier: dict[str, Column]) -> DataFrame:
+    """The events of grid rows with their runs' bounds; ``earlier``: what was known of the posting before its first row."""
     w = Window.partitionBy("posting_id").orderBy("slot")
     before = w.rowsBetween(Window.unboundedPreceding, -1)
-    g = g.withColumn("was", F.lag("listed").over(w))
-    g = g.withColumn("last_listed", F.max(F.when(F.col("listed"), F.col("ended_at"))).over(before)).withColumn("last_absent", F.max(F.when(~F.col("listed"), F.col("ended_at"))).over(before))
+    listed = F.col("listed")
+    known = {
+        "was": F.lag("listed").over(w), "last_listed": F.max(F.when(listed, F.col("ended_at"))).over(before), "last_absent": F.max(F.when(~listed, F.col("ended_at"))).over(before),
+    }
+    g = g.select("slot", "posting_id", "listed", "started_at", "ended_at", "discovered_at", *(F.coalesce(c, earlier[name]).alias(name) for name, c in known.items()))
     first = F.col("discovered_at").between(F.col("started_at"), F.col("ended_at"))
     event = lambda kind, start, when: F.when(when, F.struct(F.lit(kind).alias("event_kind"), start.alias("interval_start")))
     none = F.lit(None).cast("timestamp_ntz")
-    listed = F.col("listed")
     kinds = F.array_compact(F.array(
         event("first_observed", none, listed & first), event("listed", F.col("last_listed"), listed),
         event("reappeared", F.col("last_absent"), listed & ~first & ~F.coalesce("was", F.lit(True))), event("absent_qualified", F.col("last_listed"), ~listed),
@@ -44,6 +51,44 @@ def presence_events(grid: DataFrame, runs: DataFrame, postings: DataFrame, seen:
     return g.select("slot", "posting_id", F.explode(kinds).alias("e"), F.col("ended_at").alias("interval_end")).select("slot", "posting_id", "e.event_kind", "e.interval_start", "interval_end")
 
 
+def presence_state(grid: DataFrame, runs: DataFrame, state: DataFrame | None = None) -> DataFrame:
+    """What later runs need to know of each posting: posting_id, last_slot, was (listed in its last qualified run), last_listed, last_absent.
+
+    ``state``: that of the runs before those of the grid. A posting that the grid has no row of keeps its state.
+    """
+    listed = F.col("listed")
+    new = grid.join(runs.select("slot", "ended_at"), "slot").groupBy("posting_id").agg(
+        F.max("slot").alias("last_slot"), F.max_by("listed", "slot").alias("was"), F.max(F.when(listed, F.col("ended_at"))).alias("last_listed"), F.max(F.when(~listed, F.col("ended_at"))).alias("last_absent"),
+    )
+    if state is None:
+        return new
+    old = state.select(*(F.col(c).alias(c if c == "posting_id" else f"old_{c}") for c in state.columns))
+    return old.join(new, "posting_id", "full_outer").select("posting_id", *(F.coalesce(c, f"old_{c}").alias(c) for c in state.columns if c != "posting_id"))
+
+
+def later_runs(runs: DataFrame, state: DataFrame) -> DataFrame:
+    """The qualified runs after all that the state has taken in."""
+    last = state.agg(F.max("last_slot").alias("last"))
+    return runs.where("qualified").join(F.broadcast(last)).where(F.col("last").isNull() | (F.col("slot") > F.col("last"))).drop("last")
+
+
+def late_runs(runs: DataFrame, state: DataFrame, taken: DataFrame) -> DataFrame:
+    """Qualified runs that came after later ones were taken in (``taken``: slot): their events would change those that are there, so the state from before them has to be gone on from."""
+    last = state.agg(F.max("last_slot").alias("last"))
+    return runs.where("qualified").join(F.broadcast(last)).where(F.col("slot") <= F.col("last")).drop("last").join(taken.select("slot"), "slot", "left_anti")
+
+
+def later_events(grid: DataFrame, runs: DataFrame, postings: DataFrame, state: DataFrame) -> DataFrame:
+    """presence_events of the grid of later runs, from the state instead of the runs before them: the same rows as of the whole grid, whatever the runs are cut into.
+
+    Rows of runs that the state has taken in already give no events, so a replay adds nothing.
+    """
+    g = grid.join(runs.select("slot", "started_at", "ended_at"), "slot").join(postings.select("posting_id", "discovered_at"), "posting_id")
+    old = state.select("posting_id", *(F.col(c).alias(f"old_{c}") for c in ("last_slot", "was", "last_listed", "last_absent")))
+    g = g.join(old, "posting_id", "left").where(F.col("old_last_slot").isNull() | (F.col("slot") > F.col("old_last_slot")))
+    return _events(g, {c: F.col(f"old_{c}") for c in ("was", "last_listed", "last_absent")})
+
+
 def repeatedly_unlisted(grid: DataFrame, days: int = 2) -> DataFrame:
     """Since each posting was last listed: the distinct days of qualified absence, the rule, and the days between without a qualified run."""
     w = Window.partitionBy("posting_id")

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import difflib
-
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions import linediff as D
 from tidemark.functions import markup as M
 from tidemark.functions import scalars as S
 from tidemark.operators import export as X
@@ -173,17 +171,13 @@ def latest_document_versions(e: Evidence) -> DataFrame:
     return e.table("documents").groupBy("source").agg(F.max("doc_id").alias("doc_id"), F.count_distinct(F.sha2("text", 256)).alias("versions"), F.count("*").alias("observations"))
 
 
-def _line_diff(old: pd.Series, new: pd.Series) -> pd.Series:
-    return pd.Series(["\n".join(difflib.unified_diff((a or "").split("\n"), (b or "").split("\n"), lineterm="", n=1)) for a, b in zip(old, new, strict=True)])
-
-
 @sql("version_diff")
 def version_diff(e: Evidence) -> DataFrame:
     """Unified line diff of each source's two newest documents."""
     w = Window.partitionBy("source").orderBy(F.desc("doc_id"))
     two = e.table("documents").withColumn("n", F.row_number().over(w)).where("n <= 2").groupBy("source").agg(F.max(F.when(F.col("n") == 1, F.col("text"))).alias("new"), F.max(F.when(F.col("n") == 2, F.col("text"))).alias("old"))
 
-    return two.select("source", F.pandas_udf(_line_diff, "string")("old", "new").alias("diff"), (~F.col("old").eqNullSafe(F.col("new"))).alias("changed"))
+    return two.select("source", D.unified(D.line_diff("old", "new")).alias("diff"), (~F.col("old").eqNullSafe(F.col("new"))).alias("changed"))
 
 
 # -- queues, resources, reports ---------------------------------------------
