@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import boards as B
 from tidemark.functions import markup as M
+from tidemark.functions import tape as T
 
 BASE = "https://jobs.example.com/en-us/listing/"
 HEAD = "<h2>Search results</h2><table><thead><tr><th>Position</th><th>Location</th><th>Closes</th></tr></thead>"
@@ -27,7 +30,7 @@ LISTING = f"""<html><body>{HEAD}
 
 
 def test_listing():
-    p = B.parse_listing(LISTING, BASE, "jobs.example.com")
+    p = B.parse_listing(LISTING, BASE)
     assert (p["status"], p["structure_recognized"], p["empty_validated"], p["sections"]) == ("ok", True, False, ["search-results", "recent-jobs"])
     assert [(e["section"], e["position"], e["job_id"], e["state"], e["title"], e["summary"]) for e in p["entries"]] == [
         ("search-results", 1, "101", "resolved", "Clerk & Aide", "Files things."), ("search-results", 2, None, "unresolved_id", "Odd", None),
@@ -37,8 +40,8 @@ def test_listing():
     assert (first["href_resolved"], first["location"], first["closes"], first["closes_machine"]) == ("https://jobs.example.com/en-us/job/101/clerk", "Hill, Ohio", "Sep 30 2026", "2026-10-01T03:59:00Z")
     assert first["summary_html"] == "Files <i>things</i>." and first["unknown_spans"] == [{"css_class": "badge", "text": "New"}, {"css_class": "new", "text": "New"}]
     assert (p["more_url"], p["more_remaining"]) == (BASE + "?page=2&page-items=20", 113)
-    assert [x["classification"] for x in p["other_links"]] == ["internal_nav", "mailto", "apply_workflow", "external", "internal_nav"]
-    assert len([w for w in p["warnings"] if "without a row" in w]) == 1 and any("names no job" in w for w in p["warnings"])
+    assert [x["link_text"] for x in p["other_links"]] == ["More  113", "m", "a", "w", "h"]
+    assert [n for n in p["notes"]] == [B.Note("link_without_job", 2, "/en-us/job/x"), B.Note("summary_without_row", 6, "search-results")]
 
 
 @pytest.mark.parametrize(
@@ -49,28 +52,28 @@ def test_listing():
     ],
 )
 def test_empty_listings(html, recognized, empty):
-    p = B.parse_listing(html, BASE, "jobs.example.com")
+    p = B.parse_listing(html, BASE)
     assert (p["structure_recognized"], p["empty_validated"], p["entries"], p["more_url"]) == (recognized, empty, [], None)
 
 
 def test_more_links():
-    more = lambda inner: B.parse_listing(f"<a class='x more-link' href='?page=3'>{inner}</a>", BASE, "jobs.example.com")
-    assert more("More")["more_remaining"] is None and "without a count" in more("More")["warnings"][-1]
+    more = lambda inner: B.parse_listing(f"<a class='x more-link' href='?page=3'>{inner}</a>", BASE)
+    assert more("More")["more_remaining"] is None and more("More")["notes"][-1].code == "next_page_without_count"
     assert more("<span class=count>many</span>")["more_remaining"] is None and more("<span class=count>7 left</span>")["more_remaining"] == 7
 
 
 DETAIL = """<html><body><ul id="message-list"></ul><div id="job"><div id="job-content"><h2>Night <em>Clerk</em></h2>
 <p><b>Job no:</b> <span class="job-externalJobNo"> 501 </span><br><b>Location:</b> Hill, Ohio; Vale, Ohio<br><b>Categories:</b><br><b>Shoe size:</b> 44 <b>not a label</b> wide<br></p>
-<div id="job-details"><p><b>Summary:</b> Parking permits are no longer available.</p><p>See <a href="/files/a.PDF">the form</a>, <a href="mailto:x@y.z">us</a> and <a href="/files/a.PDF">again</a>.</p></div>
+<div id="job-details"><p><b>Summary:</b> Evening lifts have been filled with oats.</p><p>See <a href="/files/a.PDF">the form</a>, <a href="mailto:x@y.z">us</a> and <a href="/files/a.PDF">again</a>.</p></div>
 <p><b>Advertised:</b> <span class="open-date"><time datetime="2026-09-15T04:00:00Z">Sep 15 2026 </time></span> Eastern Time<br><b>Applications close:</b> <span>until filled</span><br><b>Location:</b> Second</p>
 <a class="apply-link" href="/en-us/apply/501">Apply</a></div></div></body></html>"""
 
 
 def test_detail():
-    p = B.parse_detail(DETAIL, "https://jobs.example.com/en-us/job/501", "example.com", "jobs.example.com")
+    p = B.parse_detail(DETAIL, "https://jobs.example.com/en-us/job/501")
     assert (p["status"], p["title"], p["job_id"], p["html_kind"], p["closure"]) == ("ok", "Night Clerk", "501", "source-substring", None)
-    assert p["description_html"].startswith("<p><b>Summary:</b> Parking") and p["description_html"].endswith("again</a>.</p>")
-    assert p["description_text"] == "Summary: Parking permits are no longer available.\n\nSee the form, us and again."
+    assert p["description_html"].startswith("<p><b>Summary:</b> Evening") and p["description_html"].endswith("again</a>.</p>")
+    assert p["description_text"] == "Summary: Evening lifts have been filled with oats.\n\nSee the form, us and again."
     f = {(x["field_key"], x["ordinal"]): x for x in p["fields"]}
     assert list(f) == [("job_no", 0), ("location", 0), ("categories", 0), ("shoe_size", 0), ("advertised", 0), ("applications_close", 0), ("location", 1)]
     assert f["location", 0]["parts"] == ["Hill, Ohio", "Vale, Ohio"] and f["categories", 0]["field_state"] == "absent" and f["shoe_size", 0]["value_text"] == "44 not a label wide"
@@ -78,44 +81,88 @@ def test_detail():
     a = f["advertised", 0]
     assert (a["is_date"], a["date_display"], a["date_machine"], a["date_zone"]) == (True, "Sep 15 2026", "2026-09-15T04:00:00Z", "Eastern Time")
     assert f["applications_close", 0]["date_display"] == "until filled"
-    assert [(x["parent_kind"], x["classification"], x["decision"], x["position"]) for x in p["links"]] == [
-        ("posting_description", "job_document", "fetch", 1), ("posting_description", "mailto", "exclude", 2), ("job_content", "job_document", "fetch", 3), ("job_content", "mailto", "exclude", 4), ("job_content", "apply_workflow", "exclude", 5),
+    assert [(x["parent_kind"], x["url_raw"], x["position"]) for x in p["links"]] == [
+        ("posting_description", "/files/a.PDF", 1), ("posting_description", "mailto:x@y.z", 2), ("job_content", "/files/a.PDF", 3), ("job_content", "mailto:x@y.z", 4), ("job_content", "/en-us/apply/501", 5),
     ]
+    assert [n.code for n in p["notes"]] == ["unknown_label"]
 
 
 @pytest.mark.parametrize(
     ("html", "status", "closure"),
     [
-        ("<p>nothing</p>", "failed", None), (None, "failed", None), ("<div id=job-content> </div>", "ok", "empty-job-content"), ("<div id=job style='display: NONE'><div id=job-content>x</div></div>", "ok", "empty-job-content"),
-        ("<div id=job-content><h1>t</h1>This position is no longer open</div>", "partial", "closure phrase: 'position is no longer'"), ("<ul id=message-list><li>Job not found</ul><div id=job-content>x</div>", "partial", "message-list: Job not found"),
+        ("<p>nothing</p>", "failed", None), (None, "failed", None), ("<div id=job-content> </div>", "ok", ("empty-job-content", None)), ("<div id=job style='display: NONE'><div id=job-content>x</div></div>", "ok", ("empty-job-content", None)),
+        ("<div id=job-content><h1>t</h1>This position is no longer open</div>", "partial", ("content", "position is no longer")), ("<ul id=message-list><li>Job not found</ul><div id=job-content>x</div>", "partial", ("messages", "job not found")),
         ("<ul id=message-list><li>Cookies!</ul><div id=job-content>x<div id=job-details>has been filled</div></div>", "ok", None),
     ],
 )
 def test_closures(html, status, closure):
-    p = B.parse_detail(html, BASE, "example.com", "jobs.example.com")
-    assert (p["status"], p["closure"]) == (status, closure)
+    p = B.parse_detail(html, BASE)
+    assert (p["status"], p["closure"] and (p["closure"]["place"], p["closure"]["phrase"])) == (status, closure)
 
 
 def test_description_written_anew():
     """What has the id in a script or comment is no element; what is open to the end can't be cut."""
     html = "<div id=job-content><h1>t</h1><script>var x = '<div id=job-details>no</div>'</script><!-- <div id=job-details>no</div> --><div id=job-details>a &amp; <b>b</b><br>c</div></div>"
-    p = B.parse_detail(html, BASE, "example.com", "jobs.example.com")
+    p = B.parse_detail(html, BASE)
     assert p["html_kind"] == "source-substring" and p["description_html"] == "a &amp; <b>b</b><br>c"
-    p = B.parse_detail("<div id=job-content><div id=job-details>open <b>end", BASE, "example.com", "jobs.example.com")
-    assert p["html_kind"] == "reserialized" and p["description_html"] == "open <b>end</b>" and any("anew" in w for w in p["warnings"])
+    p = B.parse_detail("<div id=job-content><div id=job-details>open <b>end", BASE)
+    assert p["html_kind"] == "reserialized" and p["description_html"] == "open <b>end</b>" and B.Note("description_written_anew", 2) in p["notes"]
 
 
 def test_job_number_from_its_label():
-    p = B.parse_detail("<div id=job-content><b>Job no:</b> 77<br></div>", BASE, "example.com", "jobs.example.com")
+    p = B.parse_detail("<div id=job-content><b>Job no:</b> 77<br></div>", BASE)
     assert p["job_id"] == "77"
     assert B.job_id("https://x.example/en-us/job/12/some/slug") == "12" and B.job_id("/job/12") is None and B.job_id("http://[bad") is None
 
 
-@pytest.mark.parametrize(("url", "classes", "want"), [("#top", [], "anchor"), ("javascript:x", [], "anchor"), ("https://other.org/a.docx", [], "job_document"), ("https://a.example.com/b.csv", [], "job_document"), ("https://x.example.com/", ["employee-referral-link"], "apply_workflow"), ("https://jobs.example.com/", [], "internal_nav"), ("http://[bad", [], "external")])
-def test_followed(url, classes, want):
-    assert B.followed(url, classes, "example.com", "jobs.example.com")[0] == want
-    assert B.followed("https://a.example.com/b.csv", [], "example.com", "jobs.example.com")[1:] == ("fetch", None)
-    assert B.followed("https://x.vendor.net/b.csv", [], "example.com", "jobs.example.com", "vendor.net")[0] == "apply_workflow"
+def test_links_as_columns(spark):
+    page = DETAIL.replace("</body>", "").replace("<a class=\"apply-link\"", "<a href='http://[bad'>b</a><a href='#top'>t</a><a href='/b.csv' class='x employee-referral-link'>r</a><a class=\"apply-link\"")
+    df = spark.createDataFrame([(page, LISTING)], "d string, l string")
+    links = df.select(F.explode(B.detail("d", F.lit("https://jobs.example.com/en-us/job/501"), "example.com", "jobs.example.com")["links"]).alias("x")).select("x.*").collect()
+    assert [(r["classification"], r["decision"], r["reason"]) for r in links] == [
+        ("job_document", "fetch", None), ("mailto", "exclude", "address_of_mail"), ("job_document", "fetch", None), ("mailto", "exclude", "address_of_mail"), ("external", "exclude", "another_site"),
+        ("internal_nav", "exclude", "way_around_the_board"), ("apply_workflow", "exclude", "application"), ("apply_workflow", "exclude", "application"),
+    ]
+    others = df.select(F.explode(B.listing("l", F.lit(BASE), "jobs.example.com")["other_links"]).alias("x")).select("x.classification").collect()
+    assert [r[0] for r in others] == ["internal_nav", "mailto", "apply_workflow", "external", "internal_nav"]
+
+
+def test_a_page_is_read_once(spark):
+    df = spark.createDataFrame([(DETAIL,)], "d string").select(B.detail("d", F.lit(BASE), "example.com", "jobs.example.com").alias("p"))
+    rows = df.select("p.title", "p.job_id", F.explode("p.fields").alias("f")).select("title", "f.field_key")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and rows.count() == 7
+
+
+DEEP = 30_000
+
+
+@pytest.mark.parametrize("body", ["<span>" * 100_000 + "end", "<div>" * 100_000 + "end" + "</div>" * 100_000, "<p> " * DEEP, "<br> " * DEEP, "<b>A:</b>" * (DEEP // 4), "<b>" * DEEP + "A:", "<li>x<span>" * (DEEP // 2), "<a href=x>" * (DEEP // 2), "</b>" * DEEP, "<ul>" + "<span>" * DEEP + "<li>y</li>" * DEEP, "<table>" + "<tr><td>" * (DEEP // 4)])
+def test_hostile_pages_take_linear_time(body):
+    began = time.monotonic()
+    p = B.parse_detail(f"<div id=job-content><h1>t</h1><div id=job-details>{body}</div></div>", BASE)
+    assert p["status"] == "ok" and p["title"] == "t"
+    B.parse_detail(f"<div id=job-content><h1>t</h1>{body}</div>", BASE)
+    M.markup_text(body)
+    T.slice_by_id(f"<i id=q>{body}</i>", "q")
+    assert time.monotonic() - began < 60
+
+
+def test_tangled_pages_fail_and_say_so(spark):
+    nested = "<div id=job-content><h1>t</h1>" + "<div><b>A:</b> x " * 4_000
+    rows = "<tbody id=search-results-content>" + "<tr><td>x<table>" * 4_000
+    df = spark.createDataFrame([(nested, rows), (DETAIL, LISTING)], "d string, l string")
+    got = df.select(B.detail("d", F.lit(BASE), "example.com", "jobs.example.com").alias("d"), B.listing("l", F.lit(BASE), "jobs.example.com").alias("l")).select("d.status", "d.failure", F.col("l.status").alias("ls"), F.col("l.failure").alias("lf")).collect()
+    assert (got[0]["status"], got[0]["failure"]) == ("failed", "Tangled: its parts overlap too often") and (got[0]["ls"], got[0]["lf"]) == ("failed", "Tangled: its parts overlap too often")
+    assert (got[1]["status"], got[1]["failure"], got[1]["ls"], got[1]["lf"]) == ("ok", None, "ok", None)
+
+
+def test_slices():
+    assert T.slice_by_id("<p><img id=a src=x>y", "a") == "<img id=a src=x>" and T.slice_by_id("<i id='a' />", "a") == "<i id='a' />"
+    assert T.slice_by_id("a\0\n<b id=x>c\0d</b >e", "x") == "<b id=x>c\0d</b >" and T.slice_by_id("<b id=x>open", "x") is None and T.slice_by_id(None, "x") is None
+    page = T.Page("<div id=a>x &lt; <p>y<p>z</div>\n<ul><li id=b>1<li id=c>2</ul>")
+    assert page.inner_source(page.by_id("a")) == "x &lt; <p>y<p>z" and page.inner_source(page.by_id("b")) is None and page.text(page.by_id("b")) == "1"
+    assert page.outer_source(page.by_id("a")).endswith("z</div>") and page.raw_text(0) == "x < yz\n12"
 
 
 def test_as_columns(spark):

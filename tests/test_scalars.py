@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import markup as M
+from tidemark.functions.tape import slice_by_id
 from tidemark.functions import scalars as S
 
 
@@ -66,7 +67,7 @@ def test_access_control(spark, status, headers, body, signal):
     ],
 )
 def test_links(spark, url, css, expected):
-    assert tuple(one(spark, S.link_class(F.lit(url), "example.com", "jobs.example.com", "vendor.net", F.lit(css)))) == expected
+    assert tuple(one(spark, S.link_class(F.lit(url), "example.com", "jobs.example.com", "vendor.net", F.lit(css))))[:2] == expected
 
 
 def test_digest_ends_every_part(spark):
@@ -110,8 +111,8 @@ def test_decoding():
 
 
 def test_slicing():
-    assert M.slice_by_id('<div id="a"><!-- </div> --><div>x</div><p title="</div>">y</p></div><p>', "a").endswith("y</p></div>")
-    assert M.slice_by_id("<div>", "a") is None
+    assert slice_by_id('<div id="a"><!-- </div> --><div>x</div><p title="</div>">y</p></div><p>', "a").endswith("y</p></div>")
+    assert slice_by_id("<div>", "a") is None
 
 
 def test_small_rules(spark):

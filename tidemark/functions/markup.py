@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import codecs
 import re
-from itertools import groupby
+from collections.abc import Iterator
 from html.parser import HTMLParser
+from itertools import groupby
 from urllib.parse import urljoin
 
 import pandas as pd
@@ -23,65 +24,74 @@ VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 #: Elements that an opening tag closes, and where the search for them stops.
 CLOSED_BY = {"li": ({"li"}, {"ul", "ol"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "tr": ({"tr", "td", "th"}, {"table"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"})}
 _BREAKS_P = BLOCKS - {"tr", "thead", "tbody", "tfoot"}
+_HOLDS_P = {"td", "th", "li", "blockquote", "div", "table"}
 _SPACES = re.compile(r"[ \t\r\n]+")
 
 
+class OpenElements:
+    """The open elements of a page, with the depths at which each tag is open, so that the nearest one is known without a search."""
+
+    def __init__(self) -> None:
+        self.stack: list[str] = []
+        self._depths: dict[str, list[int]] = {}
+
+    def push(self, tag: str) -> None:
+        self._depths.setdefault(tag, []).append(len(self.stack))
+        self.stack.append(tag)
+
+    def nearest(self, tags: set[str], stop: set[str]) -> int:
+        """Depth of the innermost open element of ``tags``, or -1 if there is none or one of ``stop`` is nearer."""
+        depth = lambda names: max((self._depths[t][-1] for t in names if self._depths.get(t)), default=-1)
+        own = depth(tags)
+        return own if own > depth(stop) else -1
+
+    def down_to(self, depth: int) -> Iterator[str]:
+        """Close what is open at ``depth`` and inside it, innermost first."""
+        while len(self.stack) > depth:
+            tag = self.stack.pop()
+            self._depths[tag].pop()
+            yield tag
+
+
 class TextRenderer(HTMLParser):
-    """Writes text as the events come; open elements are kept on a stack, so that unclosed ones end with their parents."""
+    """Writes text as the events come. The line ends since the last visible word are counted as they are written."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         #: Pieces of text, and whether each is kept to the letter.
         self.parts: list[tuple[str, bool]] = []
-        self.stack: list[str] = []
+        self.open = OpenElements()
         self.cells: list[int] = []
-        self.dropped = self.pre = 0
+        self.dropped = self.pre = self.line_ends = 0
         self.links: list[dict] = []
-        self._anchor: dict | None = None
+        self._anchor: list[str] | None = None
 
     def _gap(self, lines: int) -> None:
         """At least so many line ends before what comes, counting those that are there."""
-        have = 0
-        for part, verbatim in reversed(self.parts):
-            if verbatim:
-                break
-            if part.strip(" \t"):
-                have += len(part) - len(part.rstrip("\n")) if part.strip(" \t\n") else part.count("\n")
-                if part.strip(" \t\n"):
-                    break
-        if self.parts and have < lines:
-            self.parts.append(("\n" * (lines - have), False))
-
-    def _close(self, tag: str) -> None:
-        if tag in DROPPED:
-            self.dropped -= 1
-        if tag == "pre":
-            self.pre -= 1
-        if tag == "tr" and self.cells:
-            self.cells.pop()
-        if tag in BLOCKS and not self.dropped:
-            self._gap(2)
-        if tag == "a":
-            self._anchor = None
-
-    def _close_to(self, tags: set[str], stop: set[str]) -> None:
-        for k in range(len(self.stack) - 1, -1, -1):
-            if self.stack[k] in tags:
-                while len(self.stack) > k:
-                    self._close(self.stack.pop())
-                return
-            if self.stack[k] in stop:
-                return
+        if self.parts and self.line_ends < lines:
+            self.parts.append(("\n" * (lines - self.line_ends), False))
+            self.line_ends = lines
+
+    def _close_to(self, depth: int) -> None:
+        for tag in self.open.down_to(depth) if depth >= 0 else ():
+            self.dropped -= tag in DROPPED
+            self.pre -= tag == "pre"
+            if tag == "tr" and self.cells:
+                self.cells.pop()
+            if tag in BLOCKS and not self.dropped:
+                self._gap(2)
+            if tag == "a":
+                self._anchor = None
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in CLOSED_BY:
-            self._close_to(*CLOSED_BY[tag])
-        if tag in _BREAKS_P and "p" in self.stack:
-            self._close_to({"p"}, {"td", "th", "li", "blockquote", "div", "table"})
+            self._close_to(self.open.nearest(*CLOSED_BY[tag]))
+        if tag in _BREAKS_P:
+            self._close_to(self.open.nearest({"p"}, _HOLDS_P))
         if tag in DROPPED:
             if tag not in VOID:
                 self.dropped += 1
-                self.stack.append(tag)
+                self.open.push(tag)
             return
         if not self.dropped:
             if tag == "br":
@@ -95,10 +105,10 @@ class TextRenderer(HTMLParser):
                     self.parts.append(("\t", False))
                 self.cells[-1] += 1
             if tag == "a" and (href := dict(attrs).get("href")):
-                self._anchor = {"url_raw": href, "rel": dict(attrs).get("rel"), "css_class": dict(attrs).get("class"), "link_text": ""}
-                self.links.append(self._anchor)
+                self._anchor = []
+                self.links.append({"url_raw": href, "rel": dict(attrs).get("rel"), "css_class": dict(attrs).get("class"), "link_text": self._anchor})
         if tag not in VOID:
-            self.stack.append(tag)
+            self.open.push(tag)
             self.pre += tag == "pre"
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
@@ -107,20 +117,24 @@ class TextRenderer(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag: str) -> None:
-        if tag in self.stack:
-            self._close_to({tag}, set())
+        self._close_to(self.open.nearest({tag}, set()))
 
     def handle_data(self, data: str) -> None:
         if self.dropped:
             return
         if self._anchor is not None:
-            self._anchor["link_text"] += data
-        self.parts.append((data, True) if self.pre else (_SPACES.sub(" ", data), False))
+            self._anchor.append(data)
+        if not self.pre:
+            data = _SPACES.sub(" ", data)
+        if self.pre or data.strip(" "):
+            self.line_ends = 0
+        self.parts.append((data, self.pre > 0))
 
     def finish(self) -> None:
         """End the elements that are still open."""
-        while self.stack:
-            self._close(self.stack.pop())
+        self._close_to(0)
+        for link in self.links:
+            link["link_text"] = "".join(link["link_text"])
 
     def text(self) -> str:
         """The text: stretches between verbatim pieces are tidied, and the blanks at both ends of the whole go."""
@@ -197,31 +211,6 @@ def _html_decode(data: pd.Series, declared: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([decode_bytes(d, c) for d, c in zip(data, declared, strict=True)], columns=["text", "encoding", "replaced"])
 
 
-def slice_by_id(markup: str, wanted: str) -> str | None:
-    """The balanced element with the id, as written; comments, raw text and quoted attributes are passed over."""
-    token = re.compile(r"<!--.*?-->|<(script|style|textarea|title)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?</\1\s*>|<(/?)([A-Za-z][A-Za-z0-9-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.IGNORECASE | re.DOTALL)
-    has = re.compile(rf"(?:^|\s)id\s*=\s*(?:\"{re.escape(wanted)}\"|'{re.escape(wanted)}'|{re.escape(wanted)}(?=[\s/>]|$))", re.IGNORECASE)
-    start, tag, depth = -1, "", 0
-    for m in token.finditer(markup or ""):
-        if not m[3]:
-            continue
-        name, closing = m[3].lower(), m[2] == "/"
-        if start < 0:
-            if not closing and has.search(m[4] or ""):
-                start, tag, depth = m.start(), name, 1
-                if name in VOID or m[4].rstrip().endswith("/"):
-                    return m[0]
-        elif name == tag:
-            depth += -1 if closing else 0 if m[4].rstrip().endswith("/") else 1
-            if not depth:
-                return markup[start : m.end()]
-    return None
-
-
-def _html_slice(markup: pd.Series, wanted: pd.Series) -> pd.Series:
-    return pd.Series([slice_by_id(m, w) if m else None for m, w in zip(markup, wanted, strict=True)], dtype=object)
-
-
 def html_text(markup: str | Column) -> Column:
     return F.pandas_udf(_html_text, "string")(markup)
 
@@ -232,7 +221,3 @@ def html_links(markup: str | Column, base: str | Column) -> Column:
 
 def html_decode(data: str | Column, declared: str | Column) -> Column:
     return F.pandas_udf(_html_decode, "struct<text:string,encoding:string,replaced:int>")(data, declared)
-
-
-def html_slice(markup: str | Column, wanted: str | Column) -> Column:
-    return F.pandas_udf(_html_slice, "string")(markup, wanted)

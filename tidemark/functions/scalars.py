@@ -215,24 +215,34 @@ def job_id_of(url: str | Column) -> Column:
 
 # The suffixes of attached documents, and the classes of links into the application workflow.
 DOCUMENT_SUFFIXES = ("pdf", "doc", "docx", "rtf", "odt", "xls", "xlsx", "csv", "txt", "ppt", "pptx")
+APPLY_PATH, REFERRAL = "/apply/", "employee-referral"
 APPLY_CLASSES = ("apply-link", "employee-referral-link")
 
 
-def link_class(url: str | Column, own_domain: str, career_host: str, vendor_host: str, css_class: str | Column | None = None) -> Column:
-    """struct(class, decision) of a resolved link, first match wins; only documents of the own domain are fetched."""
+def link_class(url: str | Column, own_domain: str, career_host: str, vendor_host: str | None = None, css_class: str | Column | None = None, documents: bool = True) -> Column:
+    """struct(class, decision, reason) of a resolved link by the first rule that fits; only documents of the own domain are fetched.
+
+    Each rule is its class, its decision, why a link is left, and when it holds. A listing's links (``documents`` false) are no documents of a job.
+    """
     u = F.lower(_col(url))
     host, path = F.coalesce(host_of(url), F.lit("")), F.lower(F.coalesce(F.try_parse_url(_col(url), F.lit("PATH")), F.lit("")))
-    named = F.lit(False) if css_class is None else F.coalesce(F.arrays_overlap(F.split(_col(css_class), r"\s+"), F.array(*map(F.lit, APPLY_CLASSES))), F.lit(False))
-    kind = (
-        F.when(u.startswith("mailto:"), "mailto")
-        .when(u.startswith("#") | u.startswith("javascript:"), "anchor")
-        .when(named | F.contains(u, F.lit("/apply/")) | F.contains(host, F.lit(vendor_host)), "apply_workflow")
-        .when(path.rlike(rf"\.({'|'.join(DOCUMENT_SUFFIXES)})$"), "job_document")
-        .when(host.endswith(career_host), "internal_nav")
-        .otherwise("external")
+    no = F.lit(False)
+    marked = no if css_class is None else F.coalesce(F.arrays_overlap(F.split(_col(css_class), r"\s+"), F.array(*map(F.lit, APPLY_CLASSES))), no)
+    applying = marked | F.contains(u, F.lit(APPLY_PATH)) | (no if vendor_host is None else F.contains(host, F.lit(vendor_host)))
+    document = path.rlike(rf"\.({'|'.join(DOCUMENT_SUFFIXES)})$") if documents else no
+    rules = (
+        ("mailto", "exclude", "address_of_mail", u.startswith("mailto:")),
+        ("anchor", "exclude", "within_the_page", u.startswith("#") | u.startswith("javascript:")),
+        ("apply_workflow", "exclude", "application", applying if documents else applying | F.contains(u, F.lit(REFERRAL))),
+        ("job_document", "fetch", None, document & ((host == own_domain) | host.endswith(f".{own_domain}"))),
+        ("job_document", "exclude", "document_of_another_host", document),
+        ("internal_nav", "exclude", "way_around_the_board", host.endswith(career_host)),
+        ("external", "exclude", "another_site", F.lit(True)),
     )
-    own = (host == own_domain) | host.endswith(f".{own_domain}")
-    return F.struct(kind.alias("class"), F.when((kind == "job_document") & own, "fetch").otherwise("exclude").alias("decision"))
+    found = F.lit(None)
+    for kind, decision, reason, holds in reversed(rules):
+        found = F.when(holds, F.struct(F.lit(kind).alias("class"), F.lit(decision).alias("decision"), F.lit(reason).cast("string").alias("reason"))).otherwise(found)
+    return found
 
 
 def redirect_class(requested: str | Column, final: str | Column, hops: str | Column) -> Column:

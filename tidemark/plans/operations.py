@@ -17,6 +17,7 @@ from tidemark.operators import status as T
 from tidemark.operators import views as V
 from tidemark.plans.evidence import Evidence, query, text
 from tidemark.sources import store
+from tidemark.sources.stages import spread
 
 
 def sql(name: str, statement: str | None = None):
@@ -246,10 +247,10 @@ def resource_captures(e: Evidence) -> DataFrame:
     return W.first_captures(uses)[0]
 
 
-@sql("reprocess_inputs", "SELECT o.o_orderkey AS observation_id, CASE WHEN o.o_custkey % 5 > 0 THEN o.o_custkey END AS posting_id, sha256(d.text) AS sha256, CAST(strlen(d.text) AS BIGINT) AS byte_length FROM orders o JOIN documents d ON d.doc_id = o.o_orderkey % 300")
+@sql("reprocess_inputs", "SELECT o.o_orderkey AS observation_id, CASE WHEN o.o_custkey % 5 > 0 THEN o.o_custkey END AS posting_id, sha256(d.text) AS sha256, CAST(strlen(d.text) AS BIGINT) AS byte_length FROM orders o JOIN documents d ON d.doc_id = o.o_orderkey % (SELECT count(*) FROM documents)")
 def reprocess_inputs(e: Evidence) -> DataFrame:
     docs = e.table("documents")
-    obs = e.table("orders").select(F.col("o_orderkey").alias("observation_id"), F.col("o_custkey").alias("posting_id"), (F.col("o_orderkey") % 300).alias("fetch_id"))
+    obs = e.table("orders").select(F.col("o_orderkey").alias("observation_id"), F.col("o_custkey").alias("posting_id"), (F.col("o_orderkey") % docs.count()).alias("fetch_id"))
     fetches = docs.select(F.col("doc_id").alias("fetch_id"), F.sha2("text", 256).alias("sha256"))
     known = e.table("customer").where("c_custkey % 5 > 0").select(F.col("c_custkey").alias("posting_id"))
     return W.reprocess_inputs(obs, fetches, store.addressed(docs, "text"), known)
@@ -335,10 +336,10 @@ def scan_assessment(e: Evidence) -> DataFrame:
 # -- lookups ----------------------------------------------------------------
 
 
-@sql("listing_inputs", "SELECT o.o_custkey AS scan_id, CAST(o.o_orderkey % 9 AS BIGINT) AS page_number, sha256(d.text) AS sha256, CAST(strlen(d.text) AS BIGINT) AS byte_length FROM orders o JOIN documents d ON d.doc_id = o.o_orderkey % 300")
+@sql("listing_inputs", "SELECT o.o_custkey AS scan_id, CAST(o.o_orderkey % 9 AS BIGINT) AS page_number, sha256(d.text) AS sha256, CAST(strlen(d.text) AS BIGINT) AS byte_length FROM orders o JOIN documents d ON d.doc_id = o.o_orderkey % (SELECT count(*) FROM documents)")
 def listing_inputs(e: Evidence) -> DataFrame:
     docs = e.table("documents")
-    pages = e.table("orders").select(F.col("o_custkey").alias("scan_id"), (F.col("o_orderkey") % 9).alias("page_number"), (F.col("o_orderkey") % 300).alias("fetch_id"))
+    pages = e.table("orders").select(F.col("o_custkey").alias("scan_id"), (F.col("o_orderkey") % 9).alias("page_number"), (F.col("o_orderkey") % docs.count()).alias("fetch_id"))
     return K.listing_inputs(pages, docs.select(F.col("doc_id").alias("fetch_id"), F.sha2("text", 256).alias("sha256")), store.addressed(docs, "text"))
 
 
@@ -438,17 +439,17 @@ def detail_fields(e: Evidence) -> DataFrame:
         "<div id=job><div id='job-content'><h2>", F.col("p_name"), "</h2><p><b>Job no:</b> <span class='job-externalJobNo'>", key, "</span><br><b>Location:</b> <span>", F.col("p_brand"), "</span><br><strong>Shelf:</strong> ", F.col("p_size").cast("string"),
         "<br></p><div id='job-details'><b>Summary:</b><p>About ", F.col("p_type"), ".</p></div><p><b>Advertised:</b> <time datetime='2026-09-15T04:00:00Z'>Sep 15 2026</time> Eastern</p></div></div>",
     )
-    parsed = e.table("part").select(F.col("p_partkey").alias("page"), B.detail(html, F.lit("https://jobs.example.com/"), "example.com", "jobs.example.com").alias("p"))
+    parsed = spread(e.table("part")).select(F.col("p_partkey").alias("page"), B.detail(html, F.lit("https://jobs.example.com/"), "example.com", "jobs.example.com").alias("p"))
     rows = parsed.select("page", "p.title", "p.job_id", "p.html_kind", F.regexp_replace(F.regexp_replace("p.description_text", r"^Summary:\s*", ""), r"\s+", " ").alias("description"), F.explode("p.fields").alias("f"))
     return rows.select("page", "f.field_key", "f.ordinal", "f.value_text", "f.known_label", "title", "job_id", "html_kind", "description")
 
 
-@sql("detail_dates", "SELECT o_orderkey AS page, 'parsed' AS state, 'date' AS precision, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS local_date FROM orders WHERE o_orderkey % 10 = 1")
+@sql("detail_dates", "SELECT o_orderkey AS page, 'parsed' AS state, 'date' AS precision, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS local_date FROM orders")
 def detail_dates(e: Evidence) -> DataFrame:
     """Dates of detail pages, read by the parser and interpreted by the rules of dates."""
     shown = F.date_format(F.to_date("o_orderdate"), "MMM d yyyy")
     html = _cell("<div id=job-content><h1>x</h1><p><b>Applications close:</b> <span><time>", shown, " </time></span> Eastern</p><div id=job-details>y</div></div>")
-    rows = e.table("orders").where("o_orderkey % 10 = 1").select(F.col("o_orderkey").alias("page"), F.explode(B.detail(html, F.lit("https://jobs.example.com/"), "example.com", "jobs.example.com")["fields"]).alias("f"))
+    rows = spread(e.table("orders")).select(F.col("o_orderkey").alias("page"), F.explode(B.detail(html, F.lit("https://jobs.example.com/"), "example.com", "jobs.example.com")["fields"]).alias("f"))
     return rows.select("page", S.source_date("f.date_display", "f.date_machine").alias("d")).select("page", "d.state", "d.precision", F.col("d.local_date").cast("string").alias("local_date"))
 
 
@@ -470,9 +471,9 @@ def export_current(e: Evidence) -> DataFrame:
     return out.select("posting_id", *(F.col(c).cast("string").alias(names.get(c, c)) for c in ("discovered_at", "last_listed", "content_at", "checked_at")), "last_availability", "freshness", "version_count", "observations", *(k for k, _ in fields), "advertised_precision", *text("applications_close_parsed_utc"))
 
 
-@sql("export_links", "SELECT o_custkey AS posting_id, l_partkey AS resource, l_linenumber AS position, l_returnflag AS classification, CASE WHEN l_returnflag = 'R' THEN 'fetch' ELSE 'exclude' END AS decision FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey WHERE o_custkey % 10 = 1")
+@sql("export_links", "SELECT o_custkey AS posting_id, l_partkey AS resource, l_linenumber AS position, l_returnflag AS classification, CASE WHEN l_returnflag = 'R' THEN 'fetch' ELSE 'exclude' END AS decision FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey")
 def export_links(e: Evidence) -> DataFrame:
     links = e.table("lineitem").select(F.col("l_orderkey").alias("version_id"), F.col("l_partkey").alias("resource"), F.col("l_linenumber").alias("position"), F.col("l_returnflag").alias("classification"), F.when(F.col("l_returnflag") == "R", "fetch").otherwise("exclude").alias("decision"))
     versions = e.table("orders").select(F.col("o_orderkey").alias("version_id"), F.col("o_custkey").alias("posting_id"))
-    postings = e.table("customer").where("c_custkey % 10 = 1").select(F.col("c_custkey").alias("posting_id"))
+    postings = e.table("customer").select(F.col("c_custkey").alias("posting_id"))
     return X.dataset({"links": lambda: X.links(links, versions, postings)}, "links", ["posting_id", "version_id", "position"]).drop("version_id")

@@ -13,6 +13,7 @@ from tidemark.operators import qualify as Q
 from tidemark.operators import views as V
 from tidemark.plans.evidence import Evidence, query, text
 from tidemark.sources import store
+from tidemark.sources.stages import spread
 
 
 def sql(name: str, statement: str | None = None):
@@ -71,12 +72,12 @@ def snapshot_manifest(e: Evidence) -> DataFrame:
 
 @sql("page_text")
 def page_text(e: Evidence) -> DataFrame:
-    return e.table("pages").select("page_id", M.html_text("html").alias("text"))
+    return spread(e.table("pages")).select("page_id", M.html_text("html").alias("text"))
 
 
 @sql("page_links")
 def page_links(e: Evidence) -> DataFrame:
-    links = e.table("pages").select("page_id", F.explode(M.html_links("html", "url")).alias("l")).select("page_id", "l.*")
+    links = spread(e.table("pages")).select("page_id", F.explode(M.html_links("html", "url")).alias("l")).select("page_id", "l.*")
     kind = S.link_class("url_resolved", "example.com", "jobs.example.com", "apply.example.net", "css_class")
     return links.select("page_id", "position", "url_raw", "url_resolved", "link_text", kind["class"].alias("classification"), kind["decision"].alias("decision"))
 

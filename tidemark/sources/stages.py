@@ -22,3 +22,9 @@ def cut(df: DataFrame) -> DataFrame:
             atexit.register(shutil.rmtree, named, ignore_errors=True)
         context.setCheckpointDir(named)
     return df.checkpoint()
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A small input dealt over all cores before work that costs much more than a row's way there; a large one as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
