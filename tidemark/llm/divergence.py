@@ -30,6 +30,8 @@ SCALE_STEPS, STEP, SMOOTHING = 3, 1000, 5
 PIECE = 1 << 21
 #: Cells of a block of terms, and sources of a slice.
 CELLS, SOURCES = 200_000, 256
+#: Languages whose numbers of blocks are broadcast, at about 50 bytes each.
+LANGS = 100_000
 
 LOWER = np.zeros(256, np.uint8)
 LOWER[ord("a") : ord("z") + 1] = LOWER[ord("A") : ord("Z") + 1] = np.arange(ord("a"), ord("z") + 1)
@@ -226,6 +228,11 @@ def term_counts(docs: DataFrame) -> DataFrame:
     return counted.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
+def _small(df: DataFrame) -> DataFrame:
+    """``df`` for a join by broadcast if it has LANGS rows at most, so that cells of one language need not meet; else as it is."""
+    return F.broadcast(df) if df.limit(LANGS + 1).count() <= LANGS else df
+
+
 def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top_terms: int = TOP_TERMS, cells: int = CELLS, sources: int = SOURCES) -> DataFrame:
     """lang, source, part, item, value, rank; part `pair`: how far each other source of the language is, part `term`: the ``top_terms`` terms that the source has most beyond its language.
 
@@ -237,7 +244,7 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top_terms: int = TOP_TERMS,
     kept = stored(counts.groupBy("lang", "term").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= min_docs).select("lang", "term"), "divergence-kept")
     held = stored(counts.join(kept, ["lang", "term"], "left_semi").select("lang", "source", "term", "n"), "divergence-held")
     sums = held.groupBy("lang", "source").agg(F.sum("n").alias("total"))
-    sizes = held.groupBy("lang").agg(F.ceil(F.count("*") / F.lit(cells)).cast("int").alias("blocks"))
+    sizes = stored(held.groupBy("lang").agg(F.ceil(F.count("*") / F.lit(cells)).cast("int").alias("blocks")), "divergence-sizes")
     found = kept.groupBy("lang").agg(F.count("*").alias("vocabulary"))
     groups = _named(docs).groupBy("lang", "source").agg(F.lit(1).alias("one")).join(sums, ["lang", "source"], "left").join(found, "lang", "left")
     slices = groups.groupBy("lang").agg(F.ceil(F.count("*") / F.lit(sources)).cast("int").alias("slices"))
@@ -246,9 +253,11 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top_terms: int = TOP_TERMS,
 
     # the number of blocks and slices is a row for each language; each group heads each block of its language
     heads = groups.join(sizes, "lang").select("lang", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "source", F.lit(None).cast("string").alias("term"), F.lit(0).cast("long").alias("n"), "total", "vocabulary", "home", "slices")
-    cell = held.join(sizes, "lang").join(slices, "lang")
+    deals = _small(stored(sizes.join(slices, "lang"), "divergence-deals"))
+    cell = held.join(deals, "lang")
     cell = cell.select("lang", F.pmod(F.xxhash64("term"), "blocks").cast("int").alias("block"), "source", "term", "n", F.lit(0).cast("long").alias("total"), F.lit(0).cast("long").alias("vocabulary"), F.lit(0).alias("home"), "slices")
-    dealt = cell.union(heads).withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1))).drop("slices")
+    # dealt by all three, whatever the joins have left: by the language alone a block's neighbours would be in its task
+    dealt = cell.union(heads).withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1))).drop("slices").repartition("lang", "block", "slice")
     partial = stored(dealt.groupBy("lang", "block", "slice").applyInArrow(_compared, _PARTIAL), "divergence-partial")
 
     pair = partial.where("part = 'pair'").groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
