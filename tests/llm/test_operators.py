@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import zlib
 
@@ -178,6 +179,23 @@ def test_quality_of_few_trusted(spark, make):
     assert sum(keep[k] for k in range(200, 300)) >= 95 and not any(keep[k] for k in range(300, 320))
 
 
+def test_quality_limits_of_every_language(spark):
+    """Four languages of 20 to 400 trusted rows, all with a limit of their own that is the weighted mean of logarithms."""
+    r = random.Random(8)
+    rows = [(lang, scale * r.lognormvariate(0, 0.3)) for lang, n, scale in (("a", 20, 10.0), ("b", 60, 1000.0), ("c", 150, 100.0), ("d", 400, 30.0)) for _ in range(n)] + [(None, 5.0)]
+    got = {x["lang"]: x for x in kneser_ney.limits(spark.createDataFrame(rows, "lang string, perplexity double"), 0.9).collect()}
+
+    def quantile(values):
+        return sorted(values)[math.ceil(0.9 * len(values)) - 1]
+
+    every = quantile([p for _, p in rows])
+    for lang in ("a", "b", "c", "d", None):
+        own = [p for x, p in rows if x == lang]
+        w = len(own) / (len(own) + kneser_ney.PRIOR)
+        assert math.isclose(got[lang]["most"], math.exp(w * math.log(quantile(own)) + (1 - w) * math.log(every)), rel_tol=1e-6) and got[lang]["n"] == len(own)
+    assert len({x["most"] for x in got.values()}) == 5
+
+
 def brute_kneser_ney(train):
     """Probability of c after a, b under the interpolated modified model, by its definition."""
     from collections import Counter
