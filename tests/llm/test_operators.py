@@ -768,6 +768,66 @@ def test_recall_of_fuzzy_passages(make, n, edits):
     assert len(want & got) >= 0.9 * len(want)
 
 
+def substituted(ws, share, r):
+    return [w if r.random() >= share else f"e{r.randrange(10**9)}" for w in ws]
+
+
+@pytest.mark.parametrize(("n", "edits", "least"), [(80, 0.08, 0.9), (80, 0.12, 0.9), (80, 0.15, 0.9)])
+def test_recall_in_a_corpus_that_shares_phrases(make, n, edits, least):
+    """Passages whose phrases of eight words are all over the corpus, before and between both of their holders."""
+    r = random.Random(17)
+    passages = [words(n, 5000 + k) for k in range(60)]
+
+    def phrases():
+        out = []
+        for _ in range(12):
+            p = r.choice(passages)
+            at = r.randrange(n - 8)
+            out += [f"z{r.randrange(10**9)}", *p[at : at + 8]]
+        return " ".join(out)
+
+    own = lambda: [f"o{r.randrange(10**9)}" for _ in range(40)]
+    docs = make([phrases() for _ in range(400)], start=0)
+    docs = docs.unionByName(make([" ".join([*own(), *p, *own()]) for p in passages], start=1000)).unionByName(make([phrases() for _ in range(400)], start=2000))
+    docs = docs.unionByName(make([" ".join([*own(), *substituted(p, edits, r), *own()]) for p in passages], start=3000))
+    found = {(x["doc_id"], x["src_id"]) for x in chain_dedup.passages(docs).collect()}
+    hit = sum((3000 + k, 1000 + k) in found for k in range(60))
+    print("recall", n, edits, hit / 60)
+    assert hit >= least * 60
+    assert not {p for p in found if p[0] - p[1] != 2000}
+
+
+def test_every_repeat_of_a_small_corpus(make):
+    """All pairs of documents by brute force: what is like a passage of an earlier document is found there, in whichever earlier one."""
+    r = random.Random(23)
+    passages = [words(70, 9000 + k) for k in range(12)]
+    docs, held = [], []
+    for _ in range(60):
+        text, at = [], []
+        for p in r.sample(range(12), 3):
+            text += [f"o{r.randrange(10**9)}" for _ in range(r.randrange(5, 60))]
+            copy = substituted(passages[p], r.choice((0.0, 0.05, 0.1)), r)
+            at.append((len(text), copy, p))
+            text += copy
+        docs.append(" ".join(text))
+        held.append(at)
+    rows = chain_dedup.passages(make(docs)).collect()
+    want = missed = 0
+    for j in range(60):
+        for start, copy, p in held[j]:
+            earlier = [c for i in range(j) for _, c, q in held[i] if q == p]
+            if any(brute_common([w.encode() for w in copy], [w.encode() for w in c]) >= 0.8 * 70 for c in earlier):
+                want += 1
+                covered = set()
+                for x in rows:
+                    if x["doc_id"] == j:
+                        covered |= set(range(x["start_word"], x["end_word"]))
+                missed += len(covered & set(range(start, start + 70))) < 0.8 * 70
+    print("repeats", want, "missed", missed)
+    assert want > 120 and missed <= 0.02 * want
+    assert all(any(p == q for _, _, p in held[x["doc_id"]] for _, _, q in held[x["src_id"]]) for x in rows)
+
+
 @pytest.mark.parametrize("gap", [40, 100])
 def test_passages_with_unlike_words_between(make, gap):
     one, two = words(60, 41), words(60, 42)
