@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 from tidemark.contracts import Contracts
 from tidemark.functions import boards as B
 from tidemark.functions import linediff as D
+from tidemark.operators import counters as C
 from tidemark.operators import presence as P
 from tidemark.operators import reading as R
 from tidemark.operators import traversal as T
 from tidemark.operators import views as V
 from tidemark.plans.evidence import Evidence, query, text
 from tidemark.plans.operations import sql
+from tidemark.sources import files as Z
 from tidemark.sources.stages import cut
 
 # -- traversal --------------------------------------------------------------
@@ -107,3 +109,78 @@ def changed_parts(e: Evidence) -> DataFrame:
     two = rows.groupBy("source", "lang").agg(side(1).alias("new"), side(2).alias("old")).where("old is not null")
     two = two.withColumn("lines", D.counted(D.line_diff("old.text", "new.text"))).withColumn("was", F.col("old.prints")).withColumn("now", F.col("new.prints"))
     return two.select("source", "lang", *D.changed_parts("was", "now"), (F.col("lines.added") - F.col("lines.removed")).alias("net_lines"))
+
+
+# -- counters ---------------------------------------------------------------
+
+
+@query("counter_cube", """SELECT CASE g WHEN 0 THEN 'exceptions' WHEN 15 THEN 'run' WHEN 23 THEN 'availability' ELSE 'all' END AS level, CAST(slot AS VARCHAR) AS slot, availability, identity, lineage, version, n, CAST(latest AS VARCHAR) AS latest
+  FROM (SELECT grouping(slot, availability, identity, lineage, version) AS g, slot, availability, identity, lineage, version, count(*) AS n, max(observed_at) AS latest FROM obs GROUP BY GROUPING SETS ((slot, availability, identity, lineage, version), (slot), (availability), ()))""")
+def counter_cube(e: Evidence) -> DataFrame:
+    return C.cube(e.obs).select("level", *text("slot"), "availability", "identity", "lineage", "version", "n", *text("latest"))
+
+
+@query("fetch_exceptions", "SELECT CAST(slot AS VARCHAR) AS slot, availability, identity, lineage, version, count(*) AS n, CAST(max(observed_at) AS VARCHAR) AS latest FROM obs WHERE availability <> 'content_captured' OR identity <> 'match' GROUP BY ALL")
+def fetch_exceptions(e: Evidence) -> DataFrame:
+    return C.exceptions(C.cube(e.obs)).select(*text("slot"), "availability", "identity", "lineage", "version", "n", *text("latest"))
+
+
+@query("failure_counters", """SELECT count(*) FILTER (availability = 'retrieval_failed') AS not_retrieved, count(*) FILTER (availability = 'access_control_challenge') AS challenged, count(*) FILTER (availability IN ('access_control_challenge', 'retrieval_failed')) AS uncertain,
+  count(*) FILTER (availability IN ('explicit_closure', 'redirected_to_listing', 'not_found')) AS gone, count(*) FILTER (identity = 'mismatch') AS mismatched, count(*) FILTER (availability = 'retrieval_failed' OR identity = 'mismatch') AS faults, CAST(max(observed_at) FILTER (availability = 'retrieval_failed') AS VARCHAR) AS last_failure FROM obs""")
+def failure_counters(e: Evidence) -> DataFrame:
+    return C.failure_counters(C.cube(e.obs)).withColumn("last_failure", F.col("last_failure").cast("string"))
+
+
+@query("lifetime_totals", """SELECT count(*) AS observations, count(*) FILTER (availability = 'content_captured') AS captures, count(*) FILTER (availability IN ('explicit_closure', 'redirected_to_listing', 'not_found')) AS gone, count(*) FILTER (availability IN ('access_control_challenge', 'retrieval_failed')) AS uncertain, count(*) FILTER (identity = 'mismatch') AS mismatches,
+  (SELECT count(*) FROM runs) AS runs, (SELECT count(*) FROM runs WHERE qualified) AS qualified_runs, (SELECT count(*) FROM runs WHERE outcome = 'failed') AS failed_runs, (SELECT count(*) FROM runs WHERE kind = 'retry') AS retries, (SELECT count(*) FROM postings) AS postings, (SELECT count(*) FROM versions) AS versions, (SELECT count(*) FROM chg) AS changes FROM obs""")
+def lifetime_totals(e: Evidence) -> DataFrame:
+    return C.lifetime(C.cube(e.obs), e.runs, e.postings, e.versions, e.changes)
+
+
+@query("gap_kinds", "SELECT CAST(slot AS VARCHAR) AS slot, 'no_qualified_scan' AS gap_kind, format('{} of {} pages failed', failed, pages) AS detail, CAST(1 AS BIGINT) AS n FROM runs WHERE NOT qualified UNION ALL SELECT CAST(slot AS VARCHAR), 'identity', 'mismatch', count(*) FROM obs WHERE identity = 'mismatch' GROUP BY 1")
+def gap_kinds(e: Evidence) -> DataFrame:
+    odd = e.obs.where("identity = 'mismatch'").select("slot", F.lit("identity").alias("gap_kind"), F.lit("mismatch").alias("detail"))
+    return C.gaps_by_kind(P.coverage_gaps(e.runs).unionByName(odd)).select(*text("slot"), "gap_kind", "detail", "n")
+
+
+@query("report_failures", """SELECT CAST(slot AS VARCHAR) AS slot, place, posting_id, availability, n_failures, greatest(n_failures - 25, 0) AS n_more FROM (
+  SELECT slot, CAST(row_number() OVER w AS INTEGER) AS place, posting_id, availability, count(*) OVER (PARTITION BY slot) AS n_failures FROM obs WHERE availability <> 'content_captured' WINDOW w AS (PARTITION BY slot ORDER BY observation_id)) WHERE place <= 25""")
+def report_failures(e: Evidence) -> DataFrame:
+    rows = C.failures_of_runs(e.obs).select(*text("slot"), "n_failures", "n_more", F.explode("failures").alias("f"))
+    return rows.select("slot", "f.place", "f.posting_id", "f.availability", "n_failures", "n_more")
+
+
+@sql("linked_outcomes", """WITH u AS (SELECT l_orderkey * 10 + l_linenumber AS use_id, l_orderkey // 500 AS run_id, l_returnflag = 'A' OR l_linestatus = 'O' AND l_linenumber = 2 AS got, l_linenumber % 3 = 1 AS gone FROM lineitem)
+SELECT run_id, count(*) FILTER (got) AS captured, count(*) FILTER (NOT got AND gone) AS gone_at_source, count(*) FILTER (NOT got AND NOT gone) AS unresolved FROM u WHERE run_id = (SELECT arg_max(run_id, use_id) FROM u) GROUP BY 1""")
+def linked_outcomes(e: Evidence) -> DataFrame:
+    n = F.col("l_linenumber")
+    outcome = F.when(F.col("l_returnflag") == "A", "captured").when((F.col("l_linestatus") == "O") & (n == 2), "not_modified").otherwise("failed")
+    uses = e.table("lineitem").select((F.col("l_orderkey") * 10 + n).alias("use_id"), F.floor(F.col("l_orderkey") / 500).alias("run_id"), outcome.alias("outcome"), F.when(n % 3 == 1, "HTTP 404 at the source").when(n % 3 == 2, "timed out").alias("detail"))
+    return C.linked_outcomes(uses)
+
+
+@sql("work_claims", """WITH q AS (SELECT o_orderkey AS work_id, o_orderpriority AS priority, CASE WHEN o_orderstatus = 'F' THEN 'done' WHEN o_orderkey % 7 = 0 THEN 'claimed' ELSE 'pending' END AS state, o_orderkey % 14 = 0 AS held FROM orders),
+f AS (SELECT *, row_number() OVER (ORDER BY priority, work_id) AS n FROM q WHERE state = 'pending' OR state = 'claimed' AND NOT held)
+SELECT CASE WHEN f.n <= 500 THEN 'a' WHEN f.n <= 800 THEN 'b' WHEN q.state = 'claimed' THEN 'z' END AS claimed_by, CASE WHEN f.n <= 500 THEN CASE WHEN work_id % 2 = 0 THEN 'done' ELSE 'pending' END WHEN f.n <= 800 THEN 'claimed' ELSE q.state END AS state, count(*) AS n, sum(work_id) AS works FROM q LEFT JOIN f USING (work_id) GROUP BY 1, 2""".replace("CASE WHEN f.n <= 500 THEN 'a' WHEN", "CASE WHEN f.n <= 500 THEN NULL WHEN"))
+def work_claims(e: Evidence) -> DataFrame:
+    """Two workers in turn, over works that wait and works whose lease has run out; the first one has finished half of its works."""
+    k, now = F.col("o_orderkey"), "2026-05-01 00:00:00"
+    state = F.when(F.col("o_orderstatus") == "F", "done").when(k % 7 == 0, "claimed").otherwise("pending")
+    until = F.when(state == "claimed", F.to_timestamp_ntz(F.when(k % 14 == 0, "2026-06-01 00:00:00").otherwise("2026-04-01 00:00:00")))
+    queue = e.table("orders").select(k.alias("work_id"), F.col("o_orderpriority").alias("priority"), state.alias("state"), F.when(state == "claimed", "z").alias("claimed_by"), until.alias("leased_until"))
+    queue = cut(C.claimed(queue, "a", now, 500))
+    mine = queue.where("claimed_by = 'a'").select("work_id", (F.col("work_id") % 2 == 0).alias("ok"))
+    queue = C.finished(C.claimed(queue, "b", now, 300), "a", mine, now)
+    return queue.groupBy("claimed_by", "state").agg(F.count("*").alias("n"), F.sum("work_id").alias("works"))
+
+
+@sql("file_changes", """SELECT 'doc/' || doc_id AS path, CASE doc_id % 10 WHEN 1 THEN 'missing' WHEN 2 THEN 'added' WHEN 3 THEN 'cut' WHEN 4 THEN 'grown' ELSE 'swapped' END AS change, CASE WHEN doc_id % 10 <> 2 THEN CAST(strlen(text) AS BIGINT) END AS length, CASE doc_id % 10 WHEN 1 THEN NULL WHEN 3 THEN CAST(strlen(text) - 1 AS BIGINT) WHEN 4 THEN CAST(strlen(text) + 1 AS BIGINT) ELSE CAST(strlen(text) AS BIGINT) END AS length_found
+  FROM documents WHERE doc_id % 10 IN (1, 2, 3, 4, 5)""")
+def file_changes(e: Evidence) -> DataFrame:
+    """Archived texts as files, some of which went, came, were cut, grew or were swapped for others of the same length."""
+    kind, body = F.col("doc_id") % 10, F.col("text").cast("binary")
+    files = e.table("documents").select("doc_id", F.concat(F.lit("doc/"), F.col("doc_id").cast("string")).alias("path"), body.alias("body"))
+    found = F.when(kind == 3, F.expr("substring(body, 1, length(body) - 1)")).when(kind == 4, F.concat("body", F.lit(b"x"))).when(kind == 5, F.concat(F.expr("substring(body, 1, length(body) - 1)"), F.lit(b"\x00"))).otherwise(F.col("body"))
+    line = lambda df, c: df.select("path", F.length(c).cast("long").alias("length"), F.sha2(c, 256).alias("sha256"))
+    there = files.where(kind != 1).withColumn("now", found)
+    return Z.file_differences(line(files.where(kind != 2), "body"), line(there, "now"))
