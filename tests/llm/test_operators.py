@@ -631,6 +631,58 @@ def test_similarity_join_of_many_dissimilar_variants(make, monkeypatch, block):
     assert [x["component_id"] for x in out] == label.tolist()
 
 
+def brute_near(words_of, own):
+    """Components of links among variants of a template by the definition, on sets of shingles as bit rows."""
+    names: dict = {}
+    sets = [{names.setdefault(tuple(w[i : i + 5]), len(names)) for i in range(len(w) - 4)} for w in words_of]
+    label = list(range(len(sets)))
+    by = {}
+    for k, s in enumerate(sets):
+        for h in s:
+            by.setdefault(h, []).append(k)
+    for k, s in enumerate(sets):
+        for j in {j for h in s if len(by[h]) < len(sets) // 2 for j in by[h] if j < k} | ({j for j in range(k)} if own else set()):
+            both = len(s & sets[j])
+            if 100 * both >= 75 * (len(s) + len(sets[j]) - both):
+                low, high = sorted((label[k], label[j]))
+                label = [low if x == high else x for x in label]
+    return label
+
+
+def test_template_with_own_words(make):
+    """Documents that share a template and no more than that; among them pairs that share words of their own too."""
+    r, template = random.Random(61), words(120, 62)
+    texts = [[*template, *words(120, 7000 + k)] for k in range(400)]
+    for k in range(0, 400, 8):
+        texts[k + 1] = [w if r.random() > 0.02 else f"q{r.randrange(10**9)}" for w in texts[k]]
+    texts += [[*template, *words(30, 9000 + k)] for k in range(60)]
+    want = brute_near(texts, own=True)
+    out = parity_join.near_groups(make([" ".join(w) for w in texts])).orderBy("doc_id").collect()
+    assert [x["component_id"] for x in out] == want and len(set(want)) == 421
+
+
+def test_rekeyed_clusters_lose_no_link(spark, make):
+    """Every pair that links shares a cluster, whatever the sizes; documents with too many words of their own are in none."""
+    r, base = random.Random(63), words(200, 64)
+    texts = [[*(w if r.random() > share else f"u{r.randrange(10**9)}" for w in base[: r.randrange(120, 200)]), *words(r.randrange(0, 40), 100 + k)] for k in range(150) for share in [r.choice((0.0, 0.01, 0.02, 0.05))]]
+    texts.append([*base[:60], *words(140, 65)])
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in texts]
+    rows = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(texts)], "row long, text string")
+    third = spark.createDataFrame([(k, len(s), k) for k, s in enumerate(sets)], "rep long, n long, label long")
+    by: dict = {}
+    for x in parity_join.rekeyed(third, rows, 75, 100).collect():
+        by.setdefault(x["cluster"], set()).add(x["rep"])
+    together = {(a, b) for members in by.values() for a in members for b in members if a < b}
+    links = {(a, b) for a in range(151) for b in range(a + 1, 151) if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    assert links <= together and len(links) > 100 and not any(150 in p for p in together)
+
+
+def test_all_parts_as_keys():
+    h = np.unique(np.random.default_rng(1).integers(0, 1 << 63, 900).astype(np.uint64))
+    some, every = parity_join.band_keys(h), parity_join.band_keys(h, most=None)
+    assert len(every) > 2 * len(some) and set(some.tolist()) <= set(every.tolist())
+
+
 def test_similarity_join_of_ids_with_several_texts(spark):
     a, b, c = (words(40, k) for k in (61, 62, 63))
     rows = [(5, a), (5, b), (6, [*a[:-1], "x"]), (7, [*b[:-1], "y"]), (5, a), (8, c), (8, None), (9, None), (10, c[:20]), (4, [*b[:-1], "z"])]

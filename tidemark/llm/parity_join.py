@@ -22,10 +22,13 @@ their shingles. The first round verifies one candidate a document; the second th
 first do not join already. Documents with equal sets are one class all along and never compared.
 
 Pivots only join most of a group cheaply; the third round is exact. Keys whose members lie in more than one component are put
-together by their first pivot, each member once, as near copies meet in dozens of keys; in each such cluster
-all pairs across components are held against the size and sketch bounds (clusters of more than SMALL_GROUP members in
-blocks of BLOCK), and all that pass and are not verified yet are verified. So each pair that shares a key is either joined, verified or
-beyond a bound.
+together by their first pivot, each member once, as near copies meet in dozens of keys. In clusters of up to SMALL_GROUP members
+all pairs across components are held against the size and sketch bounds. The members of larger ones are dealt out anew, so that what a template
+alone brings together comes apart: with shingles in the order of how many of these members have them, two sets that share c shingles share one
+of their first n - c + 1. Shingles of one member come first and meet nobody, so a member whose own words are more than the similarity
+leaves room for has no partner; the others are keyed by the shared shingles among their first, for each band of partners' sizes, as the number of shingles that a link needs grows with
+both sizes. Members of such a key are compared across components, in blocks of BLOCK if they are many. All pairs that pass the bounds and are not verified yet are verified.
+So each pair that shares a key is either joined, verified or beyond a bound.
 """
 
 from __future__ import annotations
@@ -36,7 +39,7 @@ from math import ceil
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import WordHashes, arrow_texts, batches_of, bit_set, has_bit, mix64, rows_named, shingle_hashes, stored, table, words_of
@@ -50,6 +53,8 @@ SMALL_GROUP = 16
 #: Members of a large key that are compared at a time; larger keys are dealt over the pairs of such blocks.
 BLOCK = 4_096
 BAND = 4 / 3
+#: Ratio of the sizes at both ends of a band of partners in the third round.
+FINE = 1.08
 SKETCH_BITS = 4
 MOST_SKETCH = 1 << 14
 #: Words that are verified in one group at a time; pivots with more partners are dealt over more groups.
@@ -69,8 +74,8 @@ def bands() -> list[int]:
 _BANDS = np.array(bands(), np.int64)
 
 
-def band_keys(hashes: np.ndarray, top: int = TOP, out_of: int = OUT_OF) -> np.ndarray:
-    """The join keys of a set of distinct hashes: for each band that it joins, the parts of its parity sketch."""
+def band_keys(hashes: np.ndarray, top: int = TOP, out_of: int = OUT_OF, most: int | None = KEYS) -> np.ndarray:
+    """The join keys of a set of distinct hashes: for each band that it joins, the parts of its parity sketch, ``most`` of them; all if None."""
     n = len(hashes)
     own = int(np.searchsorted(_BANDS, n, "right")) - 1
     last = int(np.searchsorted(_BANDS, n * out_of // top, "right")) - 1
@@ -81,7 +86,7 @@ def band_keys(hashes: np.ndarray, top: int = TOP, out_of: int = OUT_OF) -> np.nd
             keys.append(mix64(hashes + np.uint64(band)))
             continue
         parts = ceil(low / PER_PART)
-        used = min(parts, KEYS)
+        used = min(parts, most or parts)
         for seed in range(ceil(KEYS / used)):
             seeded = mix64(hashes ^ np.uint64(0x5851F42D4C957F2D * (band + 1 + (seed << 20)) & (1 << 64) - 1))
             part = ((seeded >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
@@ -116,7 +121,7 @@ def _as_long(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sets(batches: Iterator[pa.RecordBatch], top: int, out_of: int, most: int | None) -> Iterator[pa.RecordBatch]:
     memo = WordHashes()
     for part in batches_of(arrow_texts(batches, "row", "doc_id", "text"), lambda r: len(r[2] or ""), 2_000_000):
         rows = []
@@ -124,7 +129,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             h = np.unique(shingle_hashes(memo.of(words_of(text))))
             if len(h):
                 d = np.array([np.bitwise_xor.reduce(mix64(h + np.uint64(1))), mix64(h + np.uint64(2)).sum(dtype=np.uint64)], np.uint64).view(np.int64)
-                rows.append((row, doc_id, len(h), int(d[0]), int(d[1]), bit_sketch(h), _as_long(band_keys(h))))
+                rows.append((row, doc_id, len(h), int(d[0]), int(d[1]), bit_sketch(h), _as_long(band_keys(h, top, out_of, most))))
             else:
                 rows.append((row, doc_id, 0, 0, 0, b"", np.empty(0, np.int64)))
         cols = list(zip(*rows, strict=True))
@@ -235,9 +240,10 @@ def verified(pairs: DataFrame, texts: DataFrame, top: int = TOP, out_of: int = O
     return asked.hint("merge").join(named, "row").select("b", "deal", "a", "text").groupBy("b", "deal").applyInArrow(_verify(top, out_of), "a long, b long")
 
 
-def near_groups(docs: DataFrame, top: int = TOP, out_of: int = OUT_OF) -> DataFrame:
+def near_groups(docs: DataFrame, top: int = TOP, out_of: int = OUT_OF, keys: int | None = KEYS) -> DataFrame:
     """A row for each row of ``docs``: doc_id, n_shingles, component_id, n_links.
 
+    ``keys``: parts of a set's sketch that are join keys; None for all of them, 0.75 rows for each shingle, with which no pair at all is missed.
     component_id is the smallest doc_id that a document reaches over links (100 * intersection >= 75 * union of the
     shingle sets), itself included; n_links counts the links that were verified for the row's class of equal sets and the other rows of
     that class, not all pairs. Null and empty texts and texts without words have no shingles, are linked with nothing and are
@@ -245,7 +251,7 @@ def near_groups(docs: DataFrame, top: int = TOP, out_of: int = OUT_OF) -> DataFr
     doc_id are one document: it is linked with whatever any of its texts is linked with. Ties play no part; columns other than doc_id and text are not read.
     """
     rows = docs.select(F.xxhash64("doc_id", "text").alias("row"), "doc_id", "text")
-    sets = stored(rows.mapInArrow(_sets, _SETS).withColumn("at", F.monotonically_increasing_id()), "parity-sets", "lz4")
+    sets = stored(rows.mapInArrow(lambda x: _sets(x, top, out_of, keys), _SETS).withColumn("at", F.monotonically_increasing_id()), "parity-sets", "lz4")
     some = sets.where("n > 0 and doc_id is not null")
     # Of each class of equal sets one row takes part in what follows; a row's key names its text.
     classes = stored(some.groupBy("n", "d1", "d2").agg(F.min(F.struct("doc_id", "row", "at")).alias("f"), F.count("*").alias("copies")).select("n", "d1", "d2", F.col("f.row").alias("rep"), F.col("f.doc_id").alias("least"), F.col("f.at").alias("at"), "copies"), "parity-classes")
@@ -284,7 +290,7 @@ def near_groups(docs: DataFrame, top: int = TOP, out_of: int = OUT_OF) -> DataFr
     near = stored(near.mapInArrow(lambda x: _near(x, top, out_of), "a long, b long, na long, nb long").distinct(), "parity-near")
     links = first.union(stored(verified(near, texts, top, out_of), "parity-links"))
     done = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).union(near.select("a", "b"))
-    left = stored(unjoined(members, pivots, components(links), sketch, top, out_of).join(done, ["a", "b"], "left_anti"), "parity-left")
+    left = stored(unjoined(members, pivots, components(links), sketch, texts, top, out_of).join(done, ["a", "b"], "left_anti"), "parity-left")
     links = stored(links.union(stored(verified(left, texts, top, out_of), "parity-links")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "parity-links")
 
     # Texts of one document are joined by the document; then each component takes its smallest doc_id.
@@ -303,13 +309,53 @@ def near_groups(docs: DataFrame, top: int = TOP, out_of: int = OUT_OF) -> DataFr
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
-def unjoined(members: DataFrame, pivots: DataFrame, label: DataFrame, sketch, top: int, out_of: int) -> DataFrame:
-    """a, b, na, nb: all pairs of members of a cluster of keys that lie in different components and pass both bounds; a superset of those that share a key."""
+def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each shingle of each text: rep, n, label, h."""
+    memo = WordHashes()
+    for part in batches_of(arrow_texts(batches, "rep", "n", "label", "text"), lambda r: len(r[3]), 1_000_000):
+        sets = [np.unique(shingle_hashes(memo.of(words_of(text)))) for *_, text in part]
+        of = np.repeat(np.arange(len(part)), [len(h) for h in sets])
+        ids = [np.array([r[k] for r in part], np.int64)[of] for k in range(3)]
+        yield pa.RecordBatch.from_arrays([*map(pa.array, ids), pa.array(_as_long(np.concatenate(sets)))], names=["rep", "n", "label", "h"])
+
+
+def rekeyed(third: DataFrame, texts: DataFrame, top: int, out_of: int) -> DataFrame:
+    """cluster, rep, n, label, m: the members (rep, n, label) by the shared shingles among their first ones and by band of sizes; every pair that links shares a cluster."""
+    bits = third.sparkSession.sparkContext.broadcast(bit_set(third.select(F.col("rep").alias("key"))))
+    named = texts.select("row", "text").mapInArrow(rows_named(bits, "row"), "row long, text string").withColumnRenamed("row", "rep")
+    # the join has dealt the texts by rep already; rows that are equal count once
+    held = third.hint("merge").join(named, "rep").dropDuplicates(["rep"])
+    grams = stored(held.mapInArrow(_grams, "rep long, n long, label long, h long"), "parity-grams", "lz4")
+    shared = grams.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
+    grams = grams.join(shared, "h")
+    # shingles of its own come first; c is what is left to share, and a link needs top of out_of of them at least
+    enough = grams.groupBy("rep").agg(F.count("*").alias("c")).where(F.col("c") > 0).withColumnRenamed("rep", "of")
+    grams = grams.join(enough, grams["rep"] == enough["of"]).drop("of").where(F.col("c") * out_of >= F.col("n") * top)
+    order = Window.partitionBy("rep").orderBy("df", "h")
+    band = lambda n: F.floor(F.log(n) / F.log(F.lit(FINE)))
+    own = grams.withColumn("place", F.row_number().over(order)).withColumn("own", band(F.col("n")))
+    own = own.withColumn("other", F.explode(F.sequence(band(F.greatest(F.floor(F.col("n") * top / out_of), F.lit(1))), band(F.ceil(F.col("n") * out_of / top)))))
+    # the least size of the other band, a little less where rounding is near, and the shingles that a link with it needs
+    low = F.greatest(F.floor(F.pow(F.lit(FINE), F.col("other")) - 0.001), F.lit(1))
+    need = F.ceil((F.col("n") + low) * top / (top + out_of) - 1e-9)
+    first = own.where(F.col("place") <= F.col("c") - need + 1)
+    cluster = F.xxhash64("h", F.least("own", "other"), F.greatest("own", "other"))
+    keyed = stored(first.select(cluster.alias("cluster"), "rep", "n", "label").distinct(), "parity-rekeyed")
+    sizes = keyed.groupBy("cluster").agg(F.count("*").alias("m"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+    return stored(keyed.join(sizes.select("cluster", "m"), "cluster"), "parity-clusters")
+
+
+def unjoined(members: DataFrame, pivots: DataFrame, label: DataFrame, sketch, texts: DataFrame, top: int, out_of: int) -> DataFrame:
+    """a, b, na, nb: pairs of members of a cluster of keys that lie in different components and pass both bounds; a superset of those that share a key and link."""
     named = members.join(label.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", "n", F.coalesce("label", "rep").alias("label"))
     parted = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key")
     parted = parted.join(pivots.select("key", F.get("pivots", F.lit(0)).alias("cluster")), "key")
     named = stored(named.join(parted, "key").select("cluster", "rep", "n", "label").distinct(), "parity-parted")
-    named = named.join(stored(named.groupBy("cluster").agg(F.count("*").alias("m")), "parity-clusters"), "cluster")
+    named = stored(named.join(named.groupBy("cluster").agg(F.count("*").alias("m")), "cluster"), "parity-clusters")
+    third = stored(named.where(F.col("m") > SMALL_GROUP).select("rep", "n", "label").distinct(), "parity-third")
+    named = named.where(F.col("m") <= SMALL_GROUP)
+    if not third.isEmpty():
+        named = named.unionByName(rekeyed(third, texts, top, out_of))
     x, y = (named.where(F.col("m") <= SMALL_GROUP).select("cluster", *(F.col(c).alias(c + side) for c in ("rep", "n", "label"))) for side in "xy")
     fits = F.least("nx", "ny") * out_of >= F.greatest("nx", "ny") * top
     small = x.join(y, "cluster").where((F.col("repx") < F.col("repy")) & (F.col("labelx") != F.col("labely")) & fits)
