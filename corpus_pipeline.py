@@ -21,24 +21,33 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Runs of three lines or more that occurred before are cut out; documents of which nothing is left go.
+    """Runs of lines, and single long lines, that occurred before are cut out; documents of which nothing is left go.
 
-    Single long lines stay here: near copies would lose the lines that were not changed in them, and the next stage could not tell them any more.
     Null texts and rows without doc_id stay as they are; rows equal in doc_id and text are one document and share its fate.
     """
-    return line_dedup.clean(docs, long=None)
+    return line_dedup.clean(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: the one of smallest doc_id, and of rows equal in doc_id and text one.
 
-    Rows without doc_id stay, all of them; texts without words are near to nothing.
+    Texts are judged as they are and, where an earlier stage has cut them, also as they came: near copies lose the lines that they share
+    and could not be told by what is left. Rows without doc_id stay, all of them; texts without words are near to nothing.
     """
-    groups = parity_join.near_groups(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("copy_id")).distinct()
+    now = docs.where("doc_id is not null").select("doc_id", "text")
+    came = table(spark, sf_dir, "documents").select("doc_id", "text")
+    hashed = now.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"))
+    # of the documents that are still there, the texts that no row has any more
+    cut = came.join(hashed.select("id").distinct(), F.col("doc_id") == F.col("id"), "left_semi").join(hashed, (F.col("doc_id") == F.col("id")) & (F.xxhash64("text") == F.col("hash")), "left_anti")
+    groups = parity_join.near_groups(now.union(cut)).where("doc_id <> component_id").select(F.col("doc_id").alias("copy_id")).distinct()
     left = docs.join(groups, docs["doc_id"] == groups["copy_id"], "left_anti")
-    each = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
-    left = left.select(F.struct(*columns(docs.columns)).alias("kept"), F.col("doc_id").alias("of"), F.xxhash64("text").alias("text_hash"), each.alias("each"))
-    return left.dropDuplicates(["of", "text_hash", "each"]).select("kept.*")
+    key = [F.col("doc_id"), F.xxhash64("text")]
+    repeated = stored(now.select(key[0].alias("id"), key[1].alias("hash")).groupBy("id", "hash").agg(F.count("*").alias("n")).where("n > 1"), "pipeline-repeats")
+    if repeated.isEmpty():
+        return left
+    again = (key[0] == F.col("id")) & (key[1] == F.col("hash"))
+    some = left.join(repeated, again, "left_semi").select(F.struct(*columns(docs.columns)).alias("kept"), key[0].alias("of"), key[1].alias("text_hash"))
+    return left.join(repeated, again, "left_anti").union(some.dropDuplicates(["of", "text_hash"]).select("kept.*"))
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
