@@ -79,3 +79,29 @@ def test_damage_is_seen(spark, data, tmp_path):
 
 def test_config_hash():
     assert store.config_hash(store.Config()) == store.config_hash(store.Config()) != store.config_hash(store.Config(zone="UTC"))
+
+
+def test_retry_failures_and_reprocessing(spark, data, capsys, tmp_path):
+    slots = sorted(str(r["slot"]) for r in spark.read.parquet(f"{data}/runs").collect())
+    code, out = call(spark, capsys, "retry", "--data", data, "--as-of", "2030-01-01", "--json")
+    assert code == 0 and json.loads(out)[0]["decision"] == "no_run"
+    code, out = call(spark, capsys, "retry", "--data", data, "--as-of", slots[-1], "--json")
+    assert json.loads(out)[0]["decision"] in ("done", "retry", "exhausted") and code in (0, 2)
+    code, out = call(spark, capsys, "failures", "--data", data, "--most", "2", "--limit", "3", "--json")
+    rows = json.loads(out)
+    assert code == 0 and len(rows) == 3 and all(len(r["failures"]) <= 2 and r["n_more"] == max(r["n_failures"] - 2, 0) for r in rows)
+    assert call(spark, capsys, "reprocess", "detail", "--memo", str(tmp_path), "--data", data)[0] == cli.USAGE
+
+    page = "<div id=job-content><h1>t</h1><b>Job no:</b> 7<br><div id=job-details>x</div></div>"
+    rows = [("a", "detail", page, "https://jobs.example.com/"), ("b", "detail", "nothing", None), ("c", "listing", "<tbody id=search-results-content></tbody>", None)]
+    store.snapshot({**store.open_tables(spark, data), "payloads": spark.createDataFrame(rows, "sha256 string, kind string, body string, base string")}, f"{tmp_path}/full")
+    call_ = lambda kind, day: call(spark, capsys, "reprocess", kind, "--memo", f"file://{tmp_path}/memo", "--data", f"file://{tmp_path}/full", "--as-of", day, "--json")
+    code, out = call_("detail", "2030-01-01")
+    assert code == 2 and {(r["status"], r["readings"]) for r in json.loads(out)} == {("ok", 1), ("failed", 1)}
+    code, out = call_("detail", "2030-01-02")
+    assert code == 2 and {(r["status"], r["readings"]) for r in json.loads(out)} == {("failed", 1)}
+    code, out = call_("listing", "2030-01-02")
+    assert code == 0 and [(r["kind"], r["status"]) for r in json.loads(out)] == [("listing", "ok")]
+    code, out = call(spark, capsys, "diagnostics", "--data", data)
+    told = json.loads(out)
+    assert code == 0 and told["failures"]["not_retrieved"] == told["availability"].get("retrieval_failed", 0) and len(told["newest_runs"]) == 10 and sum(told["availability"].values()) == told["tables"]["observations"]

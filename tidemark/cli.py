@@ -7,7 +7,7 @@ Exit codes: 0 well, 1 failed or stale, 2 degraded or unknown, 3 collection well
 from __future__ import annotations
 
 import argparse
-import difflib
+import csv
 import json
 import sys
 
@@ -15,8 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.contracts import Contracts
+from tidemark.functions import boards as B
+from tidemark.functions import linediff as D
+from tidemark.operators import counters as C
 from tidemark.operators import export as X
 from tidemark.operators import presence as P
+from tidemark.operators import reading as R
 from tidemark.operators import status as T
 from tidemark.operators import views as V
 from tidemark.sources import store
@@ -121,7 +125,9 @@ def diff(s: Store, a: argparse.Namespace) -> int:
         print("no two versions to compare")
         return 1
     old, new = ([f"{k}: {v}" for k, v in r.items()] for r in reversed(two))
-    print("\n".join(difflib.unified_diff(old, new, "before", "after", lineterm="", n=0)))
+    print("--- before\n+++ after")
+    for h in D.hunks(old, new, 0):
+        print("\n".join([f"@@ -{h['old_start']},{h['old_lines']} +{h['new_start']},{h['new_lines']} @@", *h["lines"]]))
     return 0
 
 
@@ -134,13 +140,51 @@ def export(s: Store, a: argparse.Namespace) -> int:
         told = X.provenance(a.dataset, df.count(), Contracts(), a.as_of or "", {"posting": a.posting, "limit": a.limit})
         (X.write_csv if a.format == "csv" else X.write_json)(df, a.output, told)
     elif a.format == "csv":
-        for line in X.safe_cells(df).toPandas().to_csv(index=False).splitlines():
-            print(line)
+        # rows come one partition at a time, so the driver never holds a dataset
+        out = csv.writer(sys.stdout, lineterminator="\n")
+        out.writerow(df.columns)
+        out.writerows(X.safe_cells(df).toLocalIterator())
     else:
-        _print(_rows(df), True)
+        before = "[\n"
+        for r in df.toLocalIterator():
+            print(before + json.dumps(r.asDict(recursive=True), default=str, ensure_ascii=False), end="")
+            before = ",\n"
+        print("[]" if before == "[\n" else "\n]")
     return 0
 
 
+def retry(s: Store, a: argparse.Namespace) -> int:
+    """Whether the day's collection is to be tried again, as which attempt of which run; nothing is collected from here."""
+    day = F.lit(a.as_of).cast("date") if a.as_of else F.current_date()
+    runs = s["runs"].withColumn("run_id", F.col("slot").cast("string"))
+    told = _rows(T.retry_decisions(s.spark.range(1).select(day.alias("slot")), runs))
+    _print(told, a.json)
+    return 2 if told[0]["decision"] == "exhausted" else 0
+
+
+def failures(s: Store, a: argparse.Namespace) -> int:
+    """The checks without content of the newest runs, the first ones of each."""
+    rows = C.failures_of_runs(s["observations"], a.most or 25).orderBy(F.desc("slot"))
+    _print(_rows(rows, a.limit or LIMIT), a.json)
+    return 0
+
+
+def reprocess(s: Store, a: argparse.Namespace) -> int:
+    """Read the archived payloads of a kind that have no reading under these versions of the rules, and add the readings to the memo."""
+    if "payloads" not in s.tables:
+        raise ValueError("the store lacks payloads")
+    payloads = s["payloads"].where(F.col("kind") == a.kind).drop("kind")
+    text = F.col("body").cast("string")
+    parse = {"listing": lambda: B.listing(text, F.col("base"), a.host), "detail": lambda: B.detail(text, F.col("base"), a.domain, a.host)}[a.kind]
+    path = f"{a.memo}/{a.kind}"
+    memo = s.spark.read.parquet(path) if store.exists(s.spark, path) else None
+    new = R.readings(payloads, memo, a.kind, Contracts(), parse).withColumn("run", F.lit(a.as_of or ""))
+    new.write.mode("append").parquet(path)
+    done = s.spark.read.parquet(path).where(F.col("run") == (a.as_of or ""))
+    _print(_rows(R.summary(done)), a.json)
+    return 0 if done.where("status = 'failed'").isEmpty() else 2
+
+
 def verify(s: Store, a: argparse.Namespace) -> int:
     checks = store.self_check(s.tables)
     _print(_rows(checks), a.json)
@@ -165,10 +209,13 @@ def restore(s: Store, a: argparse.Namespace) -> int:
 
 def diagnostics(s: Store, a: argparse.Namespace) -> int:
     """Counts only, so that it can be given away."""
-    obs = s["observations"]
+    cube = C.cube(s["observations"].select(*C.KEYS, "observed_at")).cache()
+    by = lambda key: {r[key]: r["n"] for r in cube.where("level = 'exceptions'").groupBy(key).agg(F.sum("n").alias("n")).collect()}
+    newest = cube.where("level = 'run'").orderBy(F.desc("slot")).select(F.col("slot").cast("string"), "n", F.col("latest").cast("string"))
     document = {
-        "tables": {n: df.count() for n, df in s.tables.items()}, "availability": {r["availability"]: r["count"] for r in obs.groupBy("availability").count().collect()},
-        "lineages": {r["lineage"]: r["count"] for r in obs.groupBy("lineage").count().collect()}, "outcomes": {r["outcome"]: r["count"] for r in s["runs"].groupBy("outcome").count().collect()}, "contracts": Contracts().__dict__,
+        "tables": {n: df.count() for n, df in s.tables.items()}, "availability": by("availability"), "lineages": by("lineage"), "identity": by("identity"), "outcomes": {r["outcome"]: r["count"] for r in s["runs"].groupBy("outcome").count().collect()},
+        "failures": {k: str(v) if k == "last_failure" and v else v for k, v in C.failure_counters(cube).first().asDict().items()}, "exceptions": _rows(C.exceptions(cube).withColumn("slot", F.col("slot").cast("string")).withColumn("latest", F.col("latest").cast("string")).orderBy(F.desc("n"), F.desc("latest")), 50),
+        "newest_runs": _rows(newest, 10), "gaps": _rows(C.gaps_by_kind(P.coverage_gaps(s["runs"])).groupBy("gap_kind").agg(F.sum("n").alias("n"))), "contracts": Contracts().__dict__,
     }
     if a.output:
         store.write_atomic(a.output, document)
@@ -201,12 +248,13 @@ def build_parser() -> argparse.ArgumentParser:
     for f, posting, extra in (
         (status, None, ()), (health, None, ("--output",)), (runs, None, ()), (show, "posting", ()), (history, "posting", ()), (diff, "posting", ()), (verify, None, ()), (notify, None, ()),
         (export, None, ("dataset", "--format", "--output", "--posting")), (backup, None, ("destination",)), (restore, None, ("destination",)), (diagnostics, None, ("--output",)),
+        (retry, None, ()), (failures, None, ("--most",)), (reprocess, None, ("kind", "--memo", "--domain", "--host")),
     ):
         c = commands.add_parser(f.__name__, parents=[shared], help=(f.__doc__ or "").split("\n")[0] or None)
         if posting:
             c.add_argument("posting", type=int)
         for name in extra:
-            how = {"--format": {"choices": ("json", "csv"), "default": "json"}, "--posting": {"type": int}}.get(name, {})
+            how = {"--format": {"choices": ("json", "csv"), "default": "json"}, "--posting": {"type": int}, "--most": {"type": int}, "kind": {"choices": ("listing", "detail")}, "--memo": {"required": True}, "--domain": {"default": ""}, "--host": {"default": ""}}.get(name, {})
             c.add_argument(name, **how)
         c.set_defaults(run=f)
     return parser

@@ -80,6 +80,66 @@ def linked_outcomes(uses: DataFrame) -> DataFrame:
     return top.where("r is not null").select("r.run_id", "r.captured", "r.gone_at_source", "r.unresolved")
 
 
+# -- summaries --------------------------------------------------------------
+
+
+def queue_summary(queue: DataFrame, *keys: str) -> DataFrame:
+    """How many works there are of each state and what else is asked for."""
+    return queue.groupBy(*keys).agg(F.count("*").alias("n"))
+
+
+def associations(links: DataFrame) -> DataFrame:
+    """resource, observations, links: of the links (resource, observation), by how many observations each resource is linked, and how often."""
+    bridge = links.groupBy("resource", "observation").agg(F.count("*").alias("n"))
+    return bridge.groupBy("resource").agg(F.count("*").alias("observations"), F.sum("n").alias("links"))
+
+
+def resource_outcomes(uses: DataFrame) -> DataFrame:
+    """outcome, state, n, latest, total of the uses (outcome, state, use_id, size)."""
+    return uses.groupBy("outcome", "state").agg(F.count("*").alias("n"), F.max("use_id").alias("latest"), F.sum("size").alias("total"))
+
+
+def unlinked(resources: DataFrame, links: DataFrame) -> DataFrame:
+    """The resources that no link names."""
+    return resources.join(links.select("resource").distinct(), "resource", "left_anti")
+
+
+def text_statistics(texts: DataFrame, key: str) -> DataFrame:
+    """n, shortest, longest and mean length (cut to a whole number) of the texts by key."""
+    n = F.length("text").cast("long")
+    return texts.groupBy(key).agg(F.count("*").alias("n"), F.min(n).alias("shortest"), F.max(n).alias("longest"), F.avg(n).cast("long").alias("mean"))
+
+
+def conflicts(values: DataFrame) -> DataFrame:
+    """entity_id and its values, sorted, of the entities (entity_id, value) that have several different ones."""
+    return values.groupBy("entity_id").agg(F.sort_array(F.collect_set("value")).alias("found")).where(F.size("found") > 1)
+
+
+def availability_split(obs: DataFrame) -> DataFrame:
+    """slot, terminal, uncertain, ever_captured (different postings)."""
+    a = F.col("availability")
+    return obs.groupBy("slot").agg(F.count_if(a.isin(*TERMINAL)).alias("terminal"), F.count_if(a.isin(*UNCERTAIN)).alias("uncertain"), F.count_distinct(F.when(a == "content_captured", F.col("posting_id"))).alias("ever_captured"))
+
+
+def histories(obs: DataFrame, most: int) -> DataFrame:
+    """The ``most`` postings with the most observations, with their number of different versions."""
+    return obs.groupBy("posting_id").agg(F.count("*").alias("observations"), F.count_distinct("version").alias("versions")).orderBy(F.desc("observations"), "posting_id").limit(most)
+
+
+def oldest_first(notices: DataFrame, besides: Column, most: int) -> DataFrame:
+    """The retry sweep: the ``most`` oldest failed notices (notice_id, at, state), without those of the run at hand."""
+    return notices.where((F.col("state") == "failed") & ~besides).orderBy("at", "notice_id").limit(most)
+
+
+def last_times(obs: DataFrame, entries: DataFrame, qualified: DataFrame) -> DataFrame:
+    """posting_id and when it was last listed (by a qualified run), captured, seen (with its own identity) and observed at all: four maxima in one aggregation."""
+    kind = lambda cond, name: F.when(cond, F.lit(name))
+    kinds = F.array_compact(F.array(F.lit("observed"), kind(F.col("identity") == "match", "seen"), kind((F.col("identity") == "match") & (F.col("availability") == "content_captured"), "captured")))
+    listed = entries.join(qualified.select("slot"), "slot").select("posting_id", F.col("seen_at").alias("at"), F.array(F.lit("listed")).alias("kinds"))
+    times = obs.select("posting_id", F.col("observed_at").alias("at"), kinds.alias("kinds")).union(listed)
+    return times.groupBy("posting_id").agg(*(F.max(F.when(F.array_contains("kinds", k), F.col("at"))).alias(f"last_{k}") for k in ("listed", "captured", "seen", "observed")))
+
+
 # -- claims -----------------------------------------------------------------
 
 

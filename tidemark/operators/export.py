@@ -43,6 +43,11 @@ def current(state: DataFrame, values: DataFrame, keys: list[str], dated: tuple[s
     return state.withColumn("entity_id", own).join(fields, "entity_id", "left").drop("entity_id")
 
 
+def versions(frame: DataFrame) -> DataFrame:
+    """Versions (description_text and others) with the length of their text in place of the text."""
+    return frame.withColumn("text_length", F.length("description_text").cast("long")).drop("description_text")
+
+
 def links(resource_links: DataFrame, versions: DataFrame, postings: DataFrame) -> DataFrame:
     """The links of every version of a registered posting."""
     return resource_links.join(versions.select("version_id", "posting_id"), "version_id").join(postings.select("posting_id"), "posting_id")

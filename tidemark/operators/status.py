@@ -202,14 +202,16 @@ def summary(state: Column, backup: Column, notices: Column) -> Column:
     return F.concat(F.upper(F.substring(parts, 1, 1)), F.substring(parts, F.lit(2), F.length(parts)), F.lit("."))
 
 
-def health_document(state: DataFrame, window: DataFrame, notices: DataFrame, lifetime: DataFrame, backup: DataFrame) -> DataFrame:
-    """One row as JSON from one-row frames: collection, coverage, notifications, lifetime, backup (state), and the summary and exit code."""
+def health_document(state: DataFrame, window: DataFrame, notices: DataFrame, lifetime: DataFrame, backup: DataFrame, **more: DataFrame) -> DataFrame:
+    """One row as JSON from one-row frames: collection, coverage, notifications, lifetime, backup (state), ``more`` (failures, gaps, resources), and the summary and exit code."""
     from tidemark.operators.lifecycle import exit_code
 
-    parts = {"collection": state, "coverage": window, "notifications": notices, "lifetime": lifetime, "backup": backup}
+    parts = {"collection": state, "coverage": window, "notifications": notices, "lifetime": lifetime, "backup": backup} | more
     out = None
     for name, df in parts.items():
         one = df.select(F.struct(*df.columns).alias(name))
+        # a part without a row, such as resources before any were looked at, is null and takes nothing else away
+        one = one.agg(F.first(name).alias(name))
         out = one if out is None else out.join(one)
     s, b, n = F.col("collection.state"), F.col("backup.state"), F.col("notifications.state")
     out = out.withColumn("summary", summary(s, b, n)).withColumn("exit_code", exit_code(s, b.isin("VERIFIED", "UNCONFIGURED")))

@@ -8,15 +8,20 @@ from pyspark.sql import functions as F
 from tidemark.contracts import Contracts
 from tidemark.functions import boards as B
 from tidemark.functions import linediff as D
+from tidemark.functions import markup as M
+from tidemark.functions import scalars as S
 from tidemark.operators import counters as C
+from tidemark.operators import export as X
+from tidemark.operators import lifecycle as L
 from tidemark.operators import presence as P
 from tidemark.operators import reading as R
+from tidemark.operators import status as ST
 from tidemark.operators import traversal as T
 from tidemark.operators import views as V
 from tidemark.plans.evidence import Evidence, query, text
 from tidemark.plans.operations import sql
 from tidemark.sources import files as Z
-from tidemark.sources.stages import cut
+from tidemark.sources.stages import cut, spread
 
 # -- traversal --------------------------------------------------------------
 
@@ -184,3 +189,72 @@ def file_changes(e: Evidence) -> DataFrame:
     line = lambda df, c: df.select("path", F.length(c).cast("long").alias("length"), F.sha2(c, 256).alias("sha256"))
     there = files.where(kind != 1).withColumn("now", found)
     return Z.file_differences(line(files.where(kind != 2), "body"), line(there, "now"))
+
+
+@query("last_times", """SELECT posting_id, CAST(max(seen) FILTER (k = 'listed') AS VARCHAR) AS last_listed, CAST(max(seen) FILTER (k = 'own' AND availability = 'content_captured') AS VARCHAR) AS last_captured, CAST(max(seen) FILTER (k = 'own') AS VARCHAR) AS last_seen, CAST(max(seen) FILTER (k <> 'listed') AS VARCHAR) AS last_observed
+  FROM (SELECT posting_id, observed_at AS seen, availability, CASE identity WHEN 'match' THEN 'own' ELSE 'other' END AS k FROM obs UNION ALL SELECT posting_id, seen_at, '', 'listed' FROM entries JOIN runs USING (slot) WHERE qualified) GROUP BY 1""")
+def last_times(e: Evidence) -> DataFrame:
+    return C.last_times(e.obs, e.entries, V.qualified_scans(e.runs)).select("posting_id", *text("last_listed", "last_captured", "last_seen", "last_observed"))
+
+
+@query("run_outcomes", """SELECT CAST(slot AS VARCHAR) AS slot, CASE WHEN captured = 0 THEN 'failed' WHEN NOT qualified THEN 'partial' WHEN failed > 0 OR day(slot) % 5 = 0 THEN 'partial' ELSE 'success' END AS outcome,
+  CASE WHEN captured = 0 THEN 'no traversal was completed' WHEN NOT qualified THEN 'no traversal qualified; absence is not concluded' ELSE nullif(concat_ws('; ', CASE WHEN day(slot) % 5 = 0 THEN '2 queued checks were not made' END, CASE WHEN failed > 0 THEN failed || ' checks failed' END), '') END AS problem FROM runs""")
+def run_outcomes(e: Evidence) -> DataFrame:
+    pending, none = F.when(F.day("slot") % 5 == 0, 2).otherwise(0), F.lit(False)
+    told = L.run_outcome(F.col("captured") > 0, F.col("qualified"), pending, none, F.col("failed"), F.lit(0), none)
+    return e.runs.withColumn("told", told).select(*text("slot"), "told.outcome", "told.problem")
+
+
+@sql("export_version_texts", "SELECT source AS posting_id, doc_id AS version, lang AS lineage, CAST(length(text) AS BIGINT) AS text_length FROM documents")
+def export_version_texts(e: Evidence) -> DataFrame:
+    """Documents as versions of their sources, with the lengths of their texts."""
+    rows = e.table("documents").select(F.col("source").alias("posting_id"), F.col("doc_id").alias("version"), F.col("lang").alias("lineage"), F.col("text").alias("description_text"))
+    return X.dataset({"versions": lambda: X.versions(rows)}, "versions", ["posting_id", "lineage", "version"])
+
+
+@sql("part_prints", "SELECT doc_id, sha256('html' || chr(31) || '1.0.0' || chr(31) || '<p>' || coalesce(text, '') || '</p>' || chr(31)) AS html_fp, sha256('metadata' || chr(31) || '1.0.0' || chr(31) || '[{\"field_key\":\"lang\",\"field_state\":\"present\",\"ordinal\":0,\"origin\":null,\"source_label\":\"Lang:\",\"value_text\":\"' || lang || '\"}]' || chr(31)) AS metadata_fp FROM documents")
+def part_prints(e: Evidence) -> DataFrame:
+    value = F.struct(F.lit("lang").alias("field_key"), F.lit("present").alias("field_state"), F.lit(0).alias("ordinal"), F.lit(None).cast("string").alias("origin"), F.lit("Lang:").alias("source_label"), F.col("lang").alias("value_text"))
+    docs = e.table("documents").withColumn("html", F.concat(F.lit("<p>"), F.coalesce("text", F.lit("")), F.lit("</p>"))).withColumn("values", F.array(value))
+    return docs.select("doc_id", S.html_fingerprint("html", "1.0.0").alias("html_fp"), S.metadata_fingerprint("values", "1.0.0").alias("metadata_fp"))
+
+
+@query("health_sections", """SELECT (SELECT count(*) FROM obs WHERE availability = 'retrieval_failed') AS not_retrieved, (SELECT count(*) FROM runs WHERE NOT qualified) AS gaps, (SELECT count(*) FROM lineitem WHERE l_orderkey // 500 = (SELECT max(l_orderkey) // 500 FROM lineitem)) AS resources, (SELECT count(*) FROM postings) AS postings""")
+def health_sections(e: Evidence) -> DataFrame:
+    """The health document with its sections of failures, gaps and linked documents, read back from its JSON."""
+    last = e.runs.agg(F.max("slot").alias("as_of"))
+    none = e.spark.createDataFrame([], "run_id string, state string, accepted_at timestamp_ntz")
+    gaps = C.gaps_by_kind(P.coverage_gaps(e.runs)).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+    uses = e.table("lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("use_id"), F.floor(F.col("l_orderkey") / 500).alias("run_id"), F.lit("captured").alias("outcome"), F.lit(None).cast("string").alias("detail"))
+    runs = e.runs.withColumn("run_id", F.col("slot").cast("string"))
+    cube = C.cube(e.obs)
+    doc = ST.health_document(
+        ST.collection_state(e.runs, last), P.coverage_window(e.runs), ST.notice_status(none, ST.unreported(runs, none)), C.lifetime(cube, e.runs, e.postings, e.versions, e.changes), e.spark.range(1).select(F.lit("VERIFIED").alias("state")),
+        failures=C.failure_counters(cube), gaps=gaps, resources=C.linked_outcomes(uses),
+    )
+    value = lambda path, name: F.get_json_object("document", path).cast("long").alias(name)
+    return doc.select(value("$.failures.not_retrieved", "not_retrieved"), value("$.gaps.n", "gaps"), value("$.resources.captured", "resources"), value("$.lifetime.postings", "postings"))
+
+
+# -- encodings --------------------------------------------------------------
+
+#: Documents as bytes, ten ways: what is declared, marked or said in the page may be right, wrong, too far from the beginning or unknown.
+_LATIN = "regexp_replace({text}, '[^\\x{{00}}-\\x{{7F}}\\x{{A0}}-\\x{{FF}}]', '?'{flag})"
+
+
+@sql("sniffed_encodings", f"""WITH d AS (SELECT doc_id, doc_id % 10 AS k, coalesce(text, '') AS text, {_LATIN.format(text="coalesce(text, '')", flag=", 'g'")} AS latin FROM documents)
+SELECT doc_id, CASE k WHEN 1 THEN 'utf-16' WHEN 3 THEN 'iso8859-1' WHEN 4 THEN 'iso8859-1' WHEN 6 THEN 'utf-8-sig' WHEN 7 THEN 'utf-16' WHEN 2 THEN CASE WHEN strlen(latin) = length(latin) THEN 'utf-8' ELSE 'cp1252' END WHEN 5 THEN CASE WHEN strlen(latin) = length(latin) THEN 'utf-8' ELSE 'cp1252' END ELSE 'utf-8' END AS encoding,
+  CASE k WHEN 9 THEN 1 ELSE 0 END AS replaced, CAST(CASE k WHEN 2 THEN length(latin) WHEN 3 THEN strlen(text) WHEN 4 THEN length(latin) + 28 WHEN 5 THEN length(latin) + 5028 WHEN 9 THEN length(text) + 1 ELSE length(text) END AS BIGINT) AS characters FROM d""")
+def sniffed_encodings(e: Evidence) -> DataFrame:
+    """Which candidate wins for each payload, how many characters were replaced, and how many there are."""
+    docs = e.table("documents").select("doc_id", (F.col("doc_id") % 10).alias("k"), F.coalesce("text", F.lit("")).alias("text"))
+    latin = F.regexp_replace("text", r"[^\x{00}-\x{7F}\x{A0}-\x{FF}]", "?")
+    meta, far = F.lit(b"<meta charset='iso-8859-1'>\n"), F.lit(b" " * 5000)
+    plain, narrow = F.col("text").cast("binary"), F.encode(latin, "ISO-8859-1")
+    body = (
+        F.when(F.col("k") == 1, F.encode("text", "UTF-16")).when(F.col("k") == 2, narrow).when(F.col("k") == 4, F.concat(meta, narrow)).when(F.col("k") == 5, F.concat(far, meta, narrow)).when(F.col("k") == 6, F.concat(F.lit(b"\xef\xbb\xbf"), plain))
+        .when(F.col("k") == 7, F.concat(F.lit(b"\xff\xfe"), F.encode("text", "UTF-16LE"))).when(F.col("k") == 9, F.concat(plain, F.lit(b"\x81"))).otherwise(plain)
+    )
+    declared = F.when(F.col("k") == 3, "iso-8859-1").when(F.col("k").isin(6, 7), "utf-8").when(F.col("k") == 8, "no-such")
+    read = spread(docs).select("doc_id", M.html_decode(body, declared).alias("r"))
+    return read.select("doc_id", "r.encoding", "r.replaced", F.length("r.text").cast("long").alias("characters"))

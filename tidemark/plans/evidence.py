@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as S
+from tidemark.operators import counters as C
 from tidemark.operators import presence as P
 from tidemark.operators import qualify as Q
 from tidemark.operators import views as V
@@ -211,25 +212,18 @@ def freshness_by_availability(e: Evidence) -> DataFrame:
 
 @query("availability_split", "SELECT CAST(slot AS VARCHAR) AS slot, count(*) FILTER (availability IN ('explicit_closure', 'redirected_to_listing', 'not_found')) AS terminal, count(*) FILTER (availability IN ('access_control_challenge', 'retrieval_failed')) AS uncertain, count(DISTINCT posting_id) FILTER (availability = 'content_captured') AS ever_captured FROM obs GROUP BY 1")
 def availability_split(e: Evidence) -> DataFrame:
-    a = F.col("availability")
-    return e.obs.groupBy(F.col("slot").cast("string").alias("slot")).agg(
-        F.count_if(a.isin("explicit_closure", "redirected_to_listing", "not_found")).alias("terminal"),
-        F.count_if(a.isin("access_control_challenge", "retrieval_failed")).alias("uncertain"),
-        F.count_distinct(F.when(a == "content_captured", F.col("posting_id"))).alias("ever_captured"),
-    )
+    return C.availability_split(e.obs).withColumn("slot", F.col("slot").cast("string"))
 
 
 @query("lifetime_counters", "SELECT (SELECT count(*) FROM runs) AS runs, (SELECT count(*) FROM runs WHERE qualified) AS qualified_runs, (SELECT count(*) FROM postings) AS postings, (SELECT count(*) FROM versions) AS versions, (SELECT count(*) FROM obs) AS observations, (SELECT count(*) FROM chg) AS changes, (SELECT count(*) FROM runs WHERE outcome = 'failed') AS failed_runs")
 def lifetime_counters(e: Evidence) -> DataFrame:
-    one = lambda df, name, cond=F.lit(True): df.agg(F.count_if(cond).alias(name))
-    r = e.runs.agg(F.count("*").alias("runs"), F.count_if("qualified").alias("qualified_runs"), F.count_if(F.col("outcome") == "failed").alias("failed_runs"))
-    out = r.join(one(e.postings, "postings")).join(one(e.versions, "versions")).join(one(e.obs, "observations")).join(one(e.changes, "changes"))
+    out = C.lifetime(C.cube(e.obs), e.runs, e.postings, e.versions, e.changes)
     return out.select("runs", "qualified_runs", "postings", "versions", "observations", "changes", "failed_runs")
 
 
 @query("histories_top", "SELECT posting_id, count(*) AS observations, count(DISTINCT version) AS versions FROM obs GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20")
 def histories_top(e: Evidence) -> DataFrame:
-    return e.obs.groupBy("posting_id").agg(F.count("*").alias("observations"), F.count_distinct("version").alias("versions")).orderBy(F.desc("observations"), "posting_id").limit(20)
+    return C.histories(e.obs, 20)
 
 
 @query("newest_runs", "SELECT CAST(slot AS VARCHAR) AS slot, kind, outcome, CASE WHEN s >= 3600 THEN format('{}h {}m {}s', s // 3600, s % 3600 // 60, s % 60) WHEN s >= 60 THEN format('{}m {}s', s // 60, s % 60) ELSE format('{}s', s) END AS duration FROM (SELECT *, date_diff('second', started_at, ended_at) AS s FROM runs) ORDER BY slot DESC LIMIT 10")
@@ -259,8 +253,8 @@ def pass_comparison(e: Evidence) -> DataFrame:
 
 @query("failed_fetches", "SELECT availability, identity, lineage, CAST(slot AS VARCHAR) AS slot, count(*) AS n, CAST(max(observed_at) AS VARCHAR) AS latest FROM obs WHERE availability <> 'content_captured' OR identity <> 'match' GROUP BY 1, 2, 3, 4")
 def failed_fetches(e: Evidence) -> DataFrame:
-    bad = e.obs.where("availability <> 'content_captured' OR identity <> 'match'")
-    return bad.groupBy("availability", "identity", "lineage", F.col("slot").cast("string").alias("slot")).agg(F.count("*").alias("n"), F.max("observed_at").cast("string").alias("latest"))
+    found = C.exceptions(C.cube(e.obs)).groupBy("availability", "identity", "lineage", "slot").agg(F.sum("n").alias("n"), F.max("latest").alias("latest"))
+    return found.select("availability", "identity", "lineage", *text("slot"), "n", *text("latest"))
 
 
 @query("fingerprints", "SELECT doc_id, sha256('text' || chr(31) || '1.0.0' || chr(31) || coalesce(text, '') || chr(31)) AS text_fp, sha256('content' || chr(31) || '1.1.0|1.0.0|1.0.0' || chr(31) || coalesce(source, '') || chr(31) || coalesce(text, '') || chr(31)) AS content_fp FROM documents", ctes=False)

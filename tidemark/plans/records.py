@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import linediff as D
 from tidemark.functions import markup as M
 from tidemark.functions import scalars as S
+from tidemark.operators import counters as C
 from tidemark.operators import export as X
 from tidemark.operators import qualify as Q
 from tidemark.operators import views as V
@@ -152,14 +153,13 @@ def unknown_labels(e: Evidence) -> DataFrame:
 
 @sql("text_statistics", "SELECT lang, count(*) AS n, CAST(min(length(text)) AS BIGINT) AS shortest, CAST(max(length(text)) AS BIGINT) AS longest, CAST(trunc(avg(length(text))) AS BIGINT) AS mean FROM documents GROUP BY 1")
 def text_statistics(e: Evidence) -> DataFrame:
-    n = F.length("text").cast("long")
-    return e.table("documents").groupBy("lang").agg(F.count("*").alias("n"), F.min(n).alias("shortest"), F.max(n).alias("longest"), F.avg(n).cast("long").alias("mean"))
+    return C.text_statistics(e.table("documents"), "lang")
 
 
 @sql("field_conflicts", "SELECT o_custkey, string_agg(DISTINCT o_orderstatus, ',' ORDER BY o_orderstatus) AS states FROM orders GROUP BY 1 HAVING count(DISTINCT o_orderstatus) > 1")
 def field_conflicts(e: Evidence) -> DataFrame:
-    s = e.table("orders").groupBy("o_custkey").agg(F.sort_array(F.collect_set("o_orderstatus")).alias("s")).where(F.size("s") > 1)
-    return s.select("o_custkey", F.array_join("s", ",").alias("states"))
+    found = C.conflicts(e.table("orders").select(F.col("o_custkey").alias("entity_id"), F.col("o_orderstatus").alias("value")))
+    return found.select(F.col("entity_id").alias("o_custkey"), F.array_join("found", ",").alias("states"))
 
 
 @sql("assessed_documents", "SELECT source, count(*) AS n, count(*) FILTER (quality = 1) AS qualified FROM documents JOIN labels USING (doc_id) GROUP BY 1")
@@ -186,28 +186,32 @@ def version_diff(e: Evidence) -> DataFrame:
 
 @sql("queue_summary", "SELECT o_orderstatus AS state, o_orderpriority AS priority, count(*) AS n FROM orders GROUP BY 1, 2")
 def queue_summary(e: Evidence) -> DataFrame:
-    return e.table("orders").groupBy(F.col("o_orderstatus").alias("state"), F.col("o_orderpriority").alias("priority")).agg(F.count("*").alias("n"))
+    queue = e.table("orders").select(F.col("o_orderstatus").alias("state"), F.col("o_orderpriority").alias("priority"))
+    return C.queue_summary(queue, "state", "priority")
 
 
 @sql("resource_associations", "SELECT l_partkey AS resource, count(DISTINCT l_orderkey) AS observations, count(*) AS links FROM lineitem GROUP BY 1")
 def resource_associations(e: Evidence) -> DataFrame:
-    bridge = e.table("lineitem").groupBy("l_partkey", "l_orderkey").agg(F.count("*").alias("n"))
-    return bridge.groupBy(F.col("l_partkey").alias("resource")).agg(F.count("*").alias("observations"), F.sum("n").alias("links"))
+    return C.associations(e.table("lineitem").select(F.col("l_partkey").alias("resource"), F.col("l_orderkey").alias("observation")))
 
 
 @sql("resource_outcomes", "SELECT l_returnflag AS outcome, l_linestatus AS state, count(*) AS n, max(l_orderkey) AS latest, CAST(sum(l_linenumber) AS BIGINT) AS total FROM lineitem GROUP BY 1, 2")
 def resource_outcomes(e: Evidence) -> DataFrame:
-    return e.table("lineitem").groupBy(F.col("l_returnflag").alias("outcome"), F.col("l_linestatus").alias("state")).agg(F.count("*").alias("n"), F.max("l_orderkey").alias("latest"), F.sum("l_linenumber").alias("total"))
+    names = {"l_returnflag": "outcome", "l_linestatus": "state", "l_orderkey": "use_id", "l_linenumber": "size"}
+    return C.resource_outcomes(e.table("lineitem").select(*(F.col(c).alias(n) for c, n in names.items())))
 
 
 @sql("unlinked_resources", "SELECT p_partkey FROM part WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_returnflag = 'R' AND l_quantity > 40)")
 def unlinked_resources(e: Evidence) -> DataFrame:
-    return e.table("part").join(e.table("lineitem").where("l_returnflag = 'R' AND l_quantity > 40"), F.col("p_partkey") == F.col("l_partkey"), "left_anti").select("p_partkey")
+    links = e.table("lineitem").where("l_returnflag = 'R' AND l_quantity > 40").select(F.col("l_partkey").alias("resource"))
+    return C.unlinked(e.table("part").select(F.col("p_partkey").alias("resource")), links).withColumnRenamed("resource", "p_partkey")
 
 
 @sql("retry_sweep", "SELECT o_orderkey, CAST(o_orderdate AS VARCHAR) AS o_orderdate FROM orders WHERE o_orderstatus = 'P' AND o_orderkey <> 1 ORDER BY o_orderdate, o_orderkey LIMIT 20")
 def retry_sweep(e: Evidence) -> DataFrame:
-    return e.table("orders").where("o_orderstatus = 'P' AND o_orderkey <> 1").orderBy("o_orderdate", "o_orderkey").limit(20).select("o_orderkey", *text("o_orderdate"))
+    state = F.when(F.col("o_orderstatus") == "P", "failed").otherwise("accepted")
+    notices = e.table("orders").select(F.col("o_orderkey").alias("notice_id"), F.col("o_orderdate").alias("at"), state.alias("state"))
+    return C.oldest_first(notices, F.col("notice_id") == 1, 20).select(F.col("notice_id").alias("o_orderkey"), F.col("at").cast("string").alias("o_orderdate"))
 
 
 @query("export_postings", "SELECT posting_id, CAST(discovered_at AS VARCHAR) AS discovered_at, observations FROM postings ORDER BY posting_id")
@@ -236,6 +240,7 @@ def export_observations(e: Evidence) -> DataFrame:
 
 @query("export_runs", "SELECT CAST(slot AS VARCHAR) AS slot, kind, outcome, pages, captured, mismatches FROM runs ORDER BY slot DESC")
 def export_runs(e: Evidence) -> DataFrame:
-    return e.runs.select(*text("slot"), "kind", "outcome", "pages", "captured", "mismatches").orderBy(F.desc("slot"))
+    frames = {"runs": lambda: e.runs.select(*text("slot"), "kind", "outcome", "pages", "captured", "mismatches")}
+    return X.dataset(frames, "runs", [F.desc("slot")])
 
 

@@ -63,12 +63,16 @@ def write_tables(tables: dict[str, DataFrame], path: str) -> None:
     spark.createDataFrame([(FORMAT_VERSION, n) for n in sorted(tables)], "format int, table string").coalesce(1).write.json(f"{path}/_marker")
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
 def append(rows: DataFrame, path: str, key: list[str]) -> None:
     """Add to a table's folder the rows whose key is not there yet; nothing is ever changed. Of equal keys among the rows one is added."""
     spark = rows.sparkSession
     new = rows.dropDuplicates(key)
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    if folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+    if exists(spark, path):
         new = new.join(spark.read.schema(rows.schema).parquet(path).select(*key), key, "left_anti").select(*rows.columns)
     new.write.mode("append").parquet(path)
 
