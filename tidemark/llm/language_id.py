@@ -94,12 +94,11 @@ class Model:
             self.blocks.append(labelled.sparkSession.sparkContext.broadcast(self._block(sums, self.names[at : at + BLOCK])))
 
     def _block(self, sums: DataFrame, names: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
-        # at most BLOCK * BUCKETS rows
-        got = sums.where((F.col("bucket") >= 0) & F.col("lang").between(names[0], names[-1])).toArrow()
-        place = {name: k for k, name in enumerate(names)}
+        # at most BLOCK * BUCKETS rows of numbers, 16 bytes each; no names come along
+        of = F.array_position(F.array(*map(F.lit, names)), F.col("lang")).cast("int") - 1
+        got = sums.where((F.col("bucket") >= 0) & F.col("lang").between(names[0], names[-1])).select(of.alias("of"), F.col("bucket").cast("int").alias("bucket"), "n").toArrow()
         counts = np.zeros((len(names), BUCKETS))
-        of = np.fromiter((place[x] for x in got.column("lang").to_pylist()), np.int64, got.num_rows)
-        counts[of, got.column("bucket").to_numpy()] = got.column("n").to_numpy()
+        counts[got.column("of").to_numpy(), got.column("bucket").to_numpy()] = got.column("n").to_numpy()
         prior = np.log(np.array([self.docs[x] for x in names]) / sum(self.docs.values()))
         logs = np.log((counts + SMOOTHING) / (counts.sum(1, keepdims=True) + SMOOTHING * BUCKETS)).astype(np.float32)
         return names, prior, np.ascontiguousarray(logs.T)
