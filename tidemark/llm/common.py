@@ -31,7 +31,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder for tables between stages: ``spark.checkpoint.dir``, else the warehouse, which a cluster shares too.
+    """The folder for tables between stages: ``spark.checkpoint.dir``, else the warehouse if that is no folder of one machine.
 
     Only a local master, whose driver and executors are one process, gets a temporary folder where the setting is missing.
     """
@@ -40,7 +40,10 @@ def shared_dir(spark: SparkSession) -> str:
     if named:
         return named.rstrip("/")
     if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
-        return spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        if urlsplit(warehouse).scheme in ("", "file"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        return warehouse
     if _own_dir is None:
         _own_dir = "file://" + tempfile.mkdtemp(prefix="tidemark-")
         atexit.register(shutil.rmtree, _own_dir.removeprefix("file://"), ignore_errors=True)
