@@ -22,6 +22,34 @@ def test_stages(spark, tmp_path):
     assert left["mix"] <= left["benchmark"] and len(left["mix"]) >= 6
 
 
+def test_near_copies_whose_common_lines_were_cut(spark, tmp_path):
+    """The line stage leaves only what was changed in a near copy; it is told by its text as it came. Documents that share a line and no more stay."""
+    import random
+
+    import corpus_pipeline as p
+
+    r, texts, copies = random.Random(41), [], set()
+    line = lambda seed: " ".join(words(12, seed))
+    shared = [line(10_000 + k) for k in range(5)]
+    for k in range(60):
+        own = [line(100 * k + j) for j in range(16)]
+        texts.append([*own, r.choice(shared)])
+    for k in range(0, 60, 2):
+        again = list(texts[k])
+        again[r.randrange(16)] = line(50_000 + k)
+        copies.add(len(texts))
+        texts.append(again)
+    rows = [(k, "\n".join(t), "en", "s", 1) for k, t in enumerate(texts)]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, " ".join(words(30, 5)))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = p.table(spark, str(tmp_path), "documents")
+    for name, stage in p.STAGES[:3]:
+        docs = p.stored(stage(spark, docs, str(tmp_path)), name)
+    left = {x["doc_id"] for x in docs.collect()}
+    assert left == set(range(60)) and not left & copies
+    assert sum(t.count(x) for t in (x["text"] for x in docs.collect()) for x in shared) == 5
+
+
 def test_stages_keep_columns_on_odd_rows(spark, tmp_path):
     import corpus_pipeline as p
 
