@@ -649,8 +649,9 @@ def brute_near(words_of, own):
     return label
 
 
-def test_template_with_own_words(make):
-    """Documents that share a template and no more than that; among them pairs that share words of their own too."""
+def test_template_with_own_words(make, monkeypatch):
+    """Documents that share a template and no more than that; among them pairs that share words of their own too; by the new keys of clusters that are too large."""
+    monkeypatch.setattr(parity_join, "BLOCK", 50)
     r, template = random.Random(61), words(120, 62)
     texts = [[*template, *words(120, 7000 + k)] for k in range(400)]
     for k in range(0, 400, 8):

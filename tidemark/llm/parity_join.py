@@ -22,8 +22,8 @@ their shingles. The first round verifies one candidate a document; the second th
 first do not join already. Documents with equal sets are one class all along and never compared.
 
 Pivots only join most of a group cheaply; the third round is exact. Keys whose members lie in more than one component are put
-together by their first pivot, each member once, as near copies meet in dozens of keys. In clusters of up to SMALL_GROUP members
-all pairs across components are held against the size and sketch bounds. The members of larger ones are dealt out anew, so that what a template
+together by their first pivot, each member once, as near copies meet in dozens of keys. In clusters of up to BLOCK members
+all pairs across components are held against the size and sketch bounds, so a member costs BLOCK comparisons of a few words at the most. The members of larger ones are dealt out anew, so that what a template
 alone brings together comes apart: with shingles in the order of how many of these members have them, two sets that share c shingles share one
 of their first n - c + 1. Shingles of one member come first and meet nobody, so a member whose own words are more than the similarity
 leaves room for has no partner; the others are keyed by the shared shingles among their first, for each band of partners' sizes, as the number of shingles that a link needs grows with
@@ -352,8 +352,8 @@ def unjoined(members: DataFrame, pivots: DataFrame, label: DataFrame, sketch, te
     parted = parted.join(pivots.select("key", F.get("pivots", F.lit(0)).alias("cluster")), "key")
     named = stored(named.join(parted, "key").select("cluster", "rep", "n", "label").distinct(), "parity-parted")
     named = stored(named.join(named.groupBy("cluster").agg(F.count("*").alias("m")), "cluster"), "parity-clusters")
-    third = stored(named.where(F.col("m") > SMALL_GROUP).select("rep", "n", "label").distinct(), "parity-third")
-    named = named.where(F.col("m") <= SMALL_GROUP)
+    third = stored(named.where(F.col("m") > BLOCK).select("rep", "n", "label").distinct(), "parity-third")
+    named = named.where(F.col("m") <= BLOCK)
     if not third.isEmpty():
         named = named.unionByName(rekeyed(third, texts, top, out_of))
     x, y = (named.where(F.col("m") <= SMALL_GROUP).select("cluster", *(F.col(c).alias(c + side) for c in ("rep", "n", "label"))) for side in "xy")
