@@ -105,3 +105,12 @@ def test_retry_failures_and_reprocessing(spark, data, capsys, tmp_path):
     code, out = call(spark, capsys, "diagnostics", "--data", data)
     told = json.loads(out)
     assert code == 0 and told["failures"]["not_retrieved"] == told["availability"].get("retrieval_failed", 0) and len(told["newest_runs"]) == 10 and sum(told["availability"].values()) == told["tables"]["observations"]
+
+
+def test_exports_and_status_are_the_owners_only(spark, data, capsys, tmp_path):
+    for form in ("csv", "json"):
+        assert call(spark, capsys, "export", "runs", "--format", form, "--output", f"file://{tmp_path}/{form}", "--data", data)[0] == 0
+        files = [p for p in (tmp_path / form).rglob("*") if p.is_file() and not p.name.endswith(".crc")]
+        assert files and all(p.stat().st_mode & 0o077 == 0 for p in files) and (tmp_path / form).stat().st_mode & 0o077 == 0
+    assert call(spark, capsys, "status", "--output", f"{tmp_path}/status.json", "--data", data)[0] == 0
+    assert (tmp_path / "status.json").stat().st_mode & 0o077 == 0 and "collection" in json.loads((tmp_path / "status.json").read_text())

@@ -88,6 +88,9 @@ def _health(s: Store, as_of: str | None) -> dict:
 
 def status(s: Store, a: argparse.Namespace) -> int:
     h = _health(s, a.as_of)
+    if a.output:
+        store.write_atomic(a.output, json.loads(h["document"]))
+        return 0
     _print([json.loads(h["document"])] if a.json else [{"summary": h["summary"]}, *_rows(s.current().groupBy("freshness").count().orderBy("freshness"))], a.json)
     return 0
 
@@ -246,7 +249,7 @@ def build_parser() -> argparse.ArgumentParser:
     _shared(shared, True)
     commands = parser.add_subparsers(dest="command", required=True)
     for f, posting, extra in (
-        (status, None, ()), (health, None, ("--output",)), (runs, None, ()), (show, "posting", ()), (history, "posting", ()), (diff, "posting", ()), (verify, None, ()), (notify, None, ()),
+        (status, None, ("--output",)), (health, None, ("--output",)), (runs, None, ()), (show, "posting", ()), (history, "posting", ()), (diff, "posting", ()), (verify, None, ()), (notify, None, ()),
         (export, None, ("dataset", "--format", "--output", "--posting")), (backup, None, ("destination",)), (restore, None, ("destination",)), (diagnostics, None, ("--output",)),
         (retry, None, ()), (failures, None, ("--most",)), (reprocess, None, ("kind", "--memo", "--domain", "--host")),
     ):

@@ -80,6 +80,41 @@ def linked_outcomes(uses: DataFrame) -> DataFrame:
     return top.where("r is not null").select("r.run_id", "r.captured", "r.gone_at_source", "r.unresolved")
 
 
+def pass_statistics(obs: DataFrame, versions: DataFrame) -> DataFrame:
+    """slot and nine counters of what its checks came to; ``new_versions``: captures that were the first of their version (versions: posting_id, lineage, version, first_seen)."""
+    a, own = F.col("availability"), F.col("identity") == "match"
+    first = versions.select("posting_id", "lineage", "version", F.col("first_seen").alias("observed_at"), F.lit(True).alias("fresh"))
+    rows = obs.join(first, ["posting_id", "lineage", "version", "observed_at"], "left")
+    captured = (a == "content_captured") & own
+    return rows.groupBy("slot").agg(
+        F.count("*").alias("attempted"), F.count_if(captured).alias("captured"), F.count_distinct(F.when(captured & F.col("fresh"), F.struct("posting_id", "lineage", "version"))).alias("new_versions"),
+        F.count_if(a == "explicit_closure").alias("closed"), F.count_if(a.isin("redirected_to_listing", "redirected_to_other_job")).alias("redirected"), F.count_if(a == "not_found").alias("not_found"),
+        F.count_if(~own).alias("mismatched"), F.count_if(a == "retrieval_failed").alias("not_retrieved"), F.count_if(a == "access_control_challenge").alias("challenged"),
+    )
+
+
+def recent_runs(runs: DataFrame, counts: list[str], most: int = 10) -> DataFrame:
+    """The newest runs with the named counts out of their ``counts_json``; a count that a run did not write, or a text that is no JSON, is null."""
+    newest = runs.orderBy(F.desc("slot")).limit(most).withColumn("counts", F.from_json("counts_json", "map<string,long>"))
+    return newest.select(*(c for c in runs.columns if c != "counts_json"), *(F.try_element_at("counts", F.lit(c)).alias(c) for c in counts))
+
+
+def console_document(components: DataFrame, lifetime: DataFrame, failures: DataFrame, resources: DataFrame, gaps: DataFrame, exceptions: DataFrame, recent: DataFrame, most: int = 50) -> DataFrame:
+    """One row as JSON: the components with the worst of them, the counters (one-row frames), and lists: gaps by kind, the most frequent exceptions and the newest runs.
+
+    Lists are cut to ``most`` before they are gathered.
+    """
+    one = lambda df, name: df.agg(F.first(F.struct(*df.columns)).alias(name))
+    listed = lambda df, name: df.limit(most).agg(F.sort_array(F.collect_list(F.struct(*df.columns)), False).alias(name))
+    worst = components.where("component = 'overall'").agg(F.first("health").alias("overall"))
+    parts = components.where("component <> 'overall'")
+    top = exceptions.orderBy(F.desc("n"), F.desc("latest")).select("n", "latest", *(c for c in exceptions.columns if c not in ("n", "latest")))
+    out = worst
+    for part in (listed(parts, "components"), one(lifetime, "lifetime"), one(failures, "failures"), one(resources, "resources"), listed(gaps, "gaps"), listed(top, "exceptions"), listed(recent, "recent_runs")):
+        out = out.join(part)
+    return out.select("overall", F.to_json(F.struct(*out.columns), {"ignoreNullFields": "false"}).alias("document"))
+
+
 # -- summaries --------------------------------------------------------------
 
 

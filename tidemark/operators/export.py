@@ -6,7 +6,7 @@ import json
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.contracts import Contracts
@@ -68,13 +68,33 @@ def _beside(df: DataFrame, path: str, told: dict | None) -> None:
         df.sparkSession.createDataFrame([(json.dumps(told, ensure_ascii=False, sort_keys=True),)], "value string").coalesce(1).write.text(f"{path}/_provenance")
 
 
+def private(spark: SparkSession, path: str) -> None:
+    """Files and folders below ``path`` for their owner only."""
+    jvm = spark._jvm.org.apache.hadoop.fs
+    top = jvm.Path(path)
+    fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for name, mode in (("files", "600"), ("folders", "700")):
+        todo = [top]
+        while todo:
+            here = todo.pop()
+            for status in fs.listStatus(here):
+                if status.isDirectory():
+                    todo.append(status.getPath())
+                elif name == "files":
+                    fs.setPermission(status.getPath(), jvm.permission.FsPermission(mode))
+            if name == "folders":
+                fs.setPermission(here, jvm.permission.FsPermission(mode))
+
+
 def write_csv(df: DataFrame, path: str, told: dict | None = None) -> None:
-    """Cells that a spreadsheet would run are quoted; ``told``: the provenance."""
+    """Cells that a spreadsheet would run are quoted; ``told``: the provenance. The files are their owner's only."""
     safe_cells(df).write.option("header", True).option("escape", '"').csv(path)
     _beside(df, path, told)
+    private(df.sparkSession, path)
 
 
 def write_json(df: DataFrame, path: str, told: dict | None = None) -> None:
-    """Values as they are; ``told``: the provenance."""
+    """Values as they are; ``told``: the provenance. The files are their owner's only."""
     df.write.option("ignoreNullFields", False).json(path)
     _beside(df, path, told)
+    private(df.sparkSession, path)

@@ -258,3 +258,33 @@ def sniffed_encodings(e: Evidence) -> DataFrame:
     declared = F.when(F.col("k") == 3, "iso-8859-1").when(F.col("k").isin(6, 7), "utf-8").when(F.col("k") == 8, "no-such")
     read = spread(docs).select("doc_id", M.html_decode(body, declared).alias("r"))
     return read.select("doc_id", "r.encoding", "r.replaced", F.length("r.text").cast("long").alias("characters"))
+
+
+# -- console ----------------------------------------------------------------
+
+
+@query("pass_statistics", """SELECT CAST(slot AS VARCHAR) AS slot, count(*) AS attempted, count(*) FILTER (availability = 'content_captured' AND identity = 'match') AS captured, count(DISTINCT CASE WHEN availability = 'content_captured' AND identity = 'match' AND first_seen = observed_at THEN (posting_id, lineage, version) END) AS new_versions,
+  count(*) FILTER (availability = 'explicit_closure') AS closed, count(*) FILTER (availability = 'redirected_to_listing') AS redirected, count(*) FILTER (availability = 'not_found') AS not_found, count(*) FILTER (identity = 'mismatch') AS mismatched, count(*) FILTER (availability = 'retrieval_failed') AS not_retrieved, count(*) FILTER (availability = 'access_control_challenge') AS challenged
+  FROM obs LEFT JOIN (SELECT posting_id, lineage, version, first_seen FROM versions) v USING (posting_id, lineage, version) GROUP BY 1""")
+def pass_statistics(e: Evidence) -> DataFrame:
+    return C.pass_statistics(e.obs, e.versions).withColumn("slot", F.col("slot").cast("string"))
+
+
+@query("recent_runs", "SELECT CAST(slot AS VARCHAR) AS slot, kind, outcome, captured, CASE WHEN day(slot) % 3 > 0 THEN failed END AS failed FROM runs ORDER BY slot DESC LIMIT 10")
+def recent_runs(e: Evidence) -> DataFrame:
+    told = F.when(F.day("slot") % 3 > 0, F.to_json(F.struct("captured", "failed"))).otherwise(F.to_json(F.struct("captured")))
+    return C.recent_runs(e.runs.select(*text("slot"), "kind", "outcome", told.alias("counts_json")), ["captured", "failed"])
+
+
+@query("console_document", """SELECT 'degraded' AS overall, (SELECT count(*) FROM obs) AS observations, (SELECT count(*) FROM obs WHERE availability = 'retrieval_failed') AS not_retrieved, (SELECT count(*) FROM runs WHERE NOT qualified) AS gaps, (SELECT max(n) FROM (SELECT count(*) AS n FROM obs WHERE availability <> 'content_captured' OR identity <> 'match' GROUP BY slot, availability, identity, lineage, version)) AS worst_exception, CAST((SELECT max(slot) FROM runs) AS VARCHAR) AS newest""")
+def console_document(e: Evidence) -> DataFrame:
+    """The console's document, read back from its JSON."""
+    cube = C.cube(e.obs)
+    one = lambda state: e.spark.range(1).select(F.lit(state).alias("state"))
+    parts = ST.status_components({"collection": one("DEGRADED"), "backup": one("VERIFIED")})
+    gaps = C.gaps_by_kind(P.coverage_gaps(e.runs)).groupBy("gap_kind").agg(F.sum("n").alias("n"))
+    recent = e.runs.orderBy(F.desc("slot")).limit(10).select("slot", "kind", "outcome")
+    none = e.spark.createDataFrame([], "use_id long, run_id long, outcome string, detail string")
+    doc = C.console_document(parts, C.lifetime(cube, e.runs, e.postings, e.versions, e.changes), C.failure_counters(cube), C.linked_outcomes(none), gaps, C.exceptions(cube), recent)
+    value = lambda path, name, kind="long": F.get_json_object("document", path).cast(kind).alias(name)
+    return doc.select("overall", value("$.lifetime.observations", "observations"), value("$.failures.not_retrieved", "not_retrieved"), F.coalesce(value("$.gaps[0].n", "x"), F.lit(0)).alias("gaps"), value("$.exceptions[0].n", "worst_exception"), value("$.recent_runs[0].slot", "newest", "string"))
