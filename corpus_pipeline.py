@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, language_id, line_dedup, mixing, parity_join
-from tidemark.llm.common import columns, stored, table
+from tidemark.llm.common import bit_set, columns, rows_named, stored, table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,24 +28,36 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return line_dedup.clean(docs)
 
 
+def _before(now: DataFrame, came: DataFrame) -> DataFrame:
+    """doc_id, text: the texts that documents of ``now`` came with and that no row has any more. They are found by hashes, so that only those texts are moved, once."""
+    hashes = lambda df, *names: df.select(*(c.alias(n) for c, n in zip((F.col("doc_id"), F.xxhash64("text")), names, strict=True)))
+    here = hashes(now, "id", "hash").distinct()
+    cut = hashes(came, "id", "hash").distinct().join(here.select("id").distinct(), "id", "left_semi").join(here, ["id", "hash"], "left_anti")
+    cut = stored(cut.withColumn("key", F.xxhash64("id", "hash")), "pipeline-cut")
+    bits = now.sparkSession.sparkContext.broadcast(bit_set(cut.select("key")))
+    some = came.select("doc_id", "text", F.xxhash64(F.col("doc_id"), F.xxhash64("text")).alias("key")).mapInArrow(rows_named(bits, "key"), "doc_id long, text string, key long")
+    return stored(some.join(cut.select("key", "id"), ["key"], "left_semi").select("doc_id", "text"), "pipeline-before")
+
+
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: the one of smallest doc_id, and of rows equal in doc_id and text one.
 
     Texts are judged as they are and, where an earlier stage has cut them, also as they came: near copies lose the lines that they share
-    and could not be told by what is left. Rows without doc_id stay, all of them; texts without words are near to nothing.
+    and could not be told by what is left. A folder without documents has no such texts. Rows without doc_id stay, all of them; texts without words are near to nothing.
     """
-    now = docs.where("doc_id is not null").select("doc_id", "text")
-    came = table(spark, sf_dir, "documents").select("doc_id", "text")
-    hashed = now.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"))
-    # of the documents that are still there, the texts that no row has any more
-    cut = came.join(hashed.select("id").distinct(), F.col("doc_id") == F.col("id"), "left_semi").join(hashed, (F.col("doc_id") == F.col("id")) & (F.xxhash64("text") == F.col("hash")), "left_anti")
-    groups = parity_join.near_groups(now.union(cut)).where("doc_id <> component_id").select(F.col("doc_id").alias("copy_id")).distinct()
+    now = texts = docs.where("doc_id is not null").select("doc_id", "text")
+    came = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/documents.parquet")
+    if came.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(came):
+        texts = now.union(_before(now, table(spark, sf_dir, "documents")))
+    groups = parity_join.near_groups(texts).where("doc_id <> component_id").select(F.col("doc_id").alias("copy_id")).distinct()
     left = docs.join(groups, docs["doc_id"] == groups["copy_id"], "left_anti")
     key = [F.col("doc_id"), F.xxhash64("text")]
-    repeated = stored(now.select(key[0].alias("id"), key[1].alias("hash")).groupBy("id", "hash").agg(F.count("*").alias("n")).where("n > 1"), "pipeline-repeats")
+    names = ("repeated doc_id", "repeated hash")
+    repeated = now.select(*(c.alias(n) for c, n in zip(key, names, strict=True))).groupBy(*names).agg(F.count("*").alias("times it is there"))
+    repeated = stored(repeated.where(F.col("times it is there") > 1).select(*names), "pipeline-repeats")
     if repeated.isEmpty():
         return left
-    again = (key[0] == F.col("id")) & (key[1] == F.col("hash"))
+    again = (key[0] == repeated[names[0]]) & (key[1] == repeated[names[1]])
     some = left.join(repeated, again, "left_semi").select(F.struct(*columns(docs.columns)).alias("kept"), key[0].alias("of"), key[1].alias("text_hash"))
     return left.join(repeated, again, "left_anti").union(some.dropDuplicates(["of", "text_hash"]).select("kept.*"))
 
