@@ -50,6 +50,8 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     if came.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(came):
         texts = now.union(_before(now, table(spark, sf_dir, "documents")))
     groups = parity_join.near_groups(texts).where("doc_id <> component_id").select(F.col("doc_id").alias("copy_id")).distinct()
+    # a table of known size: while it is small the join is a broadcast by Spark's own threshold, and the texts stay where they are
+    groups = stored(groups, "pipeline-copies")
     left = docs.join(groups, docs["doc_id"] == groups["copy_id"], "left_anti")
     key = [F.col("doc_id"), F.xxhash64("text")]
     names = ("repeated doc_id", "repeated hash")
