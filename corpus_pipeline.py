@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, language_id, line_dedup, mixing, parity_join
-from tidemark.llm.common import bit_set, columns, rows_named, stored, table
+from tidemark.llm.common import bit_set, columns, rows_named, settled, stored, table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +36,7 @@ def _before(now: DataFrame, came: DataFrame) -> DataFrame:
     cut = stored(cut.withColumn("key", F.xxhash64("id", "hash")), "pipeline-cut")
     bits = now.sparkSession.sparkContext.broadcast(bit_set(cut.select("key")))
     some = came.select("doc_id", "text", F.xxhash64(F.col("doc_id"), F.xxhash64("text")).alias("key")).mapInArrow(rows_named(bits, "key"), "doc_id long, text string, key long")
-    return stored(some.join(cut.select("key", "id"), ["key"], "left_semi").select("doc_id", "text"), "pipeline-before")
+    return some.join(cut.select("key", "id"), ["key"], "left_semi").select("doc_id", "text")
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,10 +48,9 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     now = texts = docs.where("doc_id is not null").select("doc_id", "text")
     came = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/documents.parquet")
     if came.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(came):
-        texts = now.union(_before(now, table(spark, sf_dir, "documents")))
-    groups = parity_join.near_groups(texts).where("doc_id <> component_id").select(F.col("doc_id").alias("copy_id")).distinct()
+        texts = now.union(settled(lambda: _before(now, table(spark, sf_dir, "documents")), "pipeline-before"))
     # a table of known size: while it is small the join is a broadcast by Spark's own threshold, and the texts stay where they are
-    groups = stored(groups, "pipeline-copies")
+    groups = settled(lambda: parity_join.near_groups(texts).where("doc_id <> component_id").select(F.col("doc_id").alias("copy_id")).distinct(), "pipeline-copies")
     left = docs.join(groups, docs["doc_id"] == groups["copy_id"], "left_anti")
     key = [F.col("doc_id"), F.xxhash64("text")]
     names = ("repeated doc_id", "repeated hash")

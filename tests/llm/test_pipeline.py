@@ -80,3 +80,22 @@ def test_shared_folder(spark, tmp_path, monkeypatch):
     assert [p.name for p in tmp_path.iterdir()] == ["other"]
     common.remove_mounted(f"file://{tmp_path}/other")
     assert not list(tmp_path.iterdir())
+
+
+def test_tables_of_a_stage_are_deleted(spark, tmp_path, monkeypatch):
+    """What a stage stored on its way goes when the next tables are written; of 40 tables and more the results stay."""
+    import corpus_pipeline as p
+    from tidemark.llm import common
+
+    monkeypatch.setattr(common, "shared_dir", lambda spark: f"file://{tmp_path}/shared")
+    texts = ["\n".join(" ".join(words(12, 100 * k + j)) for j in range(6)) for k in range(8)]
+    rows = [(k, t, "en", "s", 1) for k, t in enumerate([*texts, f"{texts[0]}\nmore", "", None])]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = p.table(spark, str(tmp_path), "documents")
+    left = lambda: {f.name.rsplit("-", 1)[0] for f in (tmp_path / "shared").glob("*/*")}
+    out = p.lines(spark, docs, str(tmp_path))
+    assert left() == {"winnow-gone"} and out.count() == 11
+    out = p.near_copies(spark, docs, str(tmp_path))
+    assert left() <= {"winnow-gone", "pipeline-before", "pipeline-copies", "pipeline-repeats"}
+    assert {r["doc_id"] for r in out.collect()} == {*range(8), 9, 10}
+    common.clear(spark)

@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import settled, stored
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """node, label: the smallest node that each linked node reaches; the tables of the rounds are deleted."""
+    return settled(lambda: _components(links, a, b), "components")
+
+
+def _components(links: DataFrame, a: str, b: str) -> DataFrame:
     """node, label: the smallest node that each linked node reaches.
 
     Each round takes the smallest label among neighbours and then the label of that label (pointer jumping), so long

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import arrow_texts, batches_of, bit_set, columns, rows_named, stored, table, typed
+from tidemark.llm.common import arrow_texts, batches_of, bit_set, columns, rows_named, settled, stored, table, typed
 
 WINDOW = 3
 LONG = 10
@@ -111,7 +111,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, long: int | None = LO
     do not part a run. Rows equal in doc_id and text are one document and share its fate; rows with a null doc_id are left
     as they are and take no part. Columns may have any names; an empty table gives no rows.
     """
-    gone = repeated_runs(docs, window, long)
+    gone = settled(lambda: repeated_runs(docs, window, long), "winnow-gone")
     rest = [c for c in docs.columns if c != "text"]
     rows = docs.select(F.struct(*columns(rest)).alias("rest"), "text", F.col("doc_id").alias("id"), F.xxhash64("text").alias("own"))
     joined = rows.join(gone, (F.col("id") == gone["doc_id"]) & (F.col("own") == gone["tid"]), "left").select("rest", "text", "runs")

@@ -42,7 +42,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WordHashes, arrow_texts, batches_of, bit_set, has_bit, mix64, rows_named, shingle_hashes, stored, table, words_of
+from tidemark.llm.common import WordHashes, arrow_texts, batches_of, bit_set, forget, has_bit, mix64, rows_named, shingle_hashes, stored, table, words_of
 from tidemark.llm.components import components
 
 TOP, OUT_OF = 75, 100
@@ -251,18 +251,23 @@ def near_groups(docs: DataFrame, top: int = TOP, out_of: int = OUT_OF, keys: int
     doc_id are one document: it is linked with whatever any of its texts is linked with. Ties play no part; columns other than doc_id and text are not read.
     """
     rows = docs.select(F.xxhash64("doc_id", "text").alias("row"), "doc_id", "text")
-    sets = stored(rows.mapInArrow(lambda x: _sets(x, top, out_of, keys), _SETS).withColumn("at", F.monotonically_increasing_id()), "parity-sets", "lz4")
+    keyed = stored(rows.mapInArrow(lambda x: _sets(x, top, out_of, keys), _SETS).withColumn("at", F.monotonically_increasing_id()), "parity-sets", "lz4")
+    # the keys are most of it and read a few times only
+    sets = stored(keyed.drop("keys"), "parity-sizes", "lz4")
     some = sets.where("n > 0 and doc_id is not null")
     # Of each class of equal sets one row takes part in what follows; a row's key names its text.
     classes = stored(some.groupBy("n", "d1", "d2").agg(F.min(F.struct("doc_id", "row", "at")).alias("f"), F.count("*").alias("copies")).select("n", "d1", "d2", F.col("f.row").alias("rep"), F.col("f.doc_id").alias("least"), F.col("f.at").alias("at"), "copies"), "parity-classes")
     reps = classes.select("at", "rep")
 
-    counted = some.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
+    keyed_some = keyed.where("n > 0 and doc_id is not null")
+    counted = keyed_some.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
     bits = docs.sparkSession.sparkContext.broadcast(bit_set(counted))
-    kept = stored(some.select("at", "row", "n", "keys").mapInArrow(_kept_keys(bits), "at long, row long, n long, keys array<long>"), "parity-kept")
+    kept = stored(keyed_some.select("at", "row", "n", "keys").mapInArrow(_kept_keys(bits), "at long, row long, n long, keys array<long>"), "parity-kept")
     members = kept.join(reps.select("at"), "at", "left_semi").select(F.col("row").alias("rep"), "n", F.explode("keys").alias("key"))
     weight = members.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
+    forget(keyed)
     members = stored(members.join(weight, "key"), "parity-shared")
+    forget(kept)
     common = members.groupBy("rep").agg(F.sum("m").alias("common"))
     # In small groups random pivots differ by key, which brings all members together; in large ones they do not, which keeps pairs few.
     small = F.col("m") <= SMALL_GROUP
