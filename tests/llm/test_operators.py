@@ -179,6 +179,21 @@ def test_quality_of_few_trusted(spark, make):
     assert sum(keep[k] for k in range(200, 300)) >= 95 and not any(keep[k] for k in range(300, 320))
 
 
+def test_quality_learns_from_all_trusted(spark, make, monkeypatch):
+    """Of 5,000 trusted documents all but the held-out fifth train the model."""
+    seen = []
+
+    class Told(kneser_ney.Model):
+        def __init__(self, texts):
+            seen.append(texts.count())
+            super().__init__(texts)
+
+    monkeypatch.setattr(kneser_ney, "Model", Told)
+    df = make([f"own{k} word" for k in range(5_000)])
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(5_000)], "doc_id long, quality int, toxic int")
+    assert kneser_ney.classify(df, labels).count() == 5_000 and abs(seen[0] - 4_000) < 10
+
+
 def test_quality_limits_of_every_language(spark):
     """Four languages of 20 to 400 trusted rows, all with a limit of their own that is the weighted mean of logarithms."""
     r = random.Random(8)

@@ -1,7 +1,7 @@
 """Quality classification by perplexity under an interpolated modified Kneser-Ney trigram model of trusted text.
 
 A HELD share of the trusted rows (labels with quality 1), by a hash of their ids, is always kept out of the model for the thresholds, however
-few there are. The model is trained on at most about TRAIN_DOCS of the others, by the same hash. Counts, continuation counts,
+few there are. The model is trained on all the others. Counts, continuation counts,
 discounts and interpolated probabilities are sharded DataFrame aggregations and joins on the words of an n-gram.
 
 A document's log probability is a sum over its n-grams, each of which adds a value of its own: with P(c | a b) = p3(abc)
@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import WordHashes, arrow_texts, batches_of, bit_set, has_bit, least_count, mix64, stored, table, typed
 
-TRAIN_DOCS = 3_000
+#: Trusted documents that train, for trials; None: all that are not held out.
+TRAIN_DOCS: int | None = None
 TOP = 1 << 21
 QUANTILE = 0.995
 #: Share of the trusted documents that the model never sees.
@@ -213,11 +214,8 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) ->
     # Places from ``edge`` on are held out; with two documents or more, both sides have one.
     at = trusted.agg(F.count("*").alias("n"), F.percentile_approx(place, F.lit(1 - HELD), 10_000).alias("edge")).first()
     edge = at["edge"] if at["n"] > 1 else 1 << 52
-    n = trusted.where(place < edge).count()
-    share = min(edge, edge * TRAIN_DOCS // max(n, 1))
-    # about TRAIN_DOCS ids, whatever the table's size
-    picked = F.broadcast(trusted.where(place < share))
-    texts = stored(docs.select("doc_id", "text").join(picked, "doc_id", "left_semi"), "kn-sample")
+    share = edge if TRAIN_DOCS is None else min(edge, edge * TRAIN_DOCS // max(trusted.where(place < edge).count(), 1))
+    texts = docs.select("doc_id", "text").join(trusted.where(place < share), "doc_id", "left_semi")
     scored = stored(perplexities(docs, Model(texts), "doc_id", "lang"), "kn-perplexities")
     known = scored.join(trusted.where(place >= share), "doc_id", "left_semi").where("perplexity is not null")
     most_of = stored(limits(known, quantile), "kn-limits")
