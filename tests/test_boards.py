@@ -182,3 +182,28 @@ def test_hostile_charsets(charset):
 def test_preformatted_text_is_kept():
     assert M.markup_text("<p> a  b </p><pre> x\n\n\n  y </pre><p>c</p>") == "a b\n\n x\n\n\n  y \n\nc"
     assert M.markup_text("<pre>  in </pre>") == "  in " and M.markup_text("a \n b<br> c") == "a b\nc"
+
+
+def test_decoding_holds_a_slice_of_a_batch():
+    """Of a batch of 1,000 pages at most two slices are Python objects at once."""
+    import weakref
+
+    import pyarrow as pa
+
+    class Row(dict):
+        pass
+
+    alive, most = weakref.WeakSet(), 0
+
+    def of(data, declared):
+        nonlocal most
+        row = Row(M.decode_bytes(data, declared))
+        row.__class__.__hash__ = object.__hash__
+        alive.add(row)
+        most = max(most, len(alive))
+        return row
+
+    data = [f"page {k} é".encode("cp1252" if k % 3 else "utf-8") for k in range(1_000)]
+    out = M.by_slices(of, pa.struct(M._DECODED), pa.array(data), pa.array([None] * 1_000, pa.string()))
+    assert out.to_pylist() == [M.decode_bytes(d) for d in data] and most <= 2 * M.SLICE
+    assert M._html_decode(pa.array([], pa.binary()), pa.array([], pa.string())).to_pylist() == []
