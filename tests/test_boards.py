@@ -207,3 +207,14 @@ def test_decoding_holds_a_slice_of_a_batch():
     out = M.by_slices(of, pa.struct(M._DECODED), pa.array(data), pa.array([None] * 1_000, pa.string()))
     assert out.to_pylist() == [M.decode_bytes(d) for d in data] and most <= 2 * M.SLICE
     assert M._html_decode(pa.array([], pa.binary()), pa.array([], pa.string())).to_pylist() == []
+
+
+def test_links_hold_a_slice_of_a_batch(monkeypatch):
+    """Links of a batch are Arrow arrays, slice by slice, equal to those of each page by itself."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(M, "SLICE", 3)
+    pages = [f"<a href='/p{k}' class=x>one</a><a href='/p{k}'>again</a><a rel=r href='http://['>bad</a>" for k in range(10)] + [None, ""]
+    out = M._html_links(pa.array(pages), pa.array(["https://a.example/"] * 12)).to_pylist()
+    assert [len(x) for x in out] == [2] * 10 + [0, 0]
+    assert out[4][0] == {"url_raw": "/p4", "url_resolved": "https://a.example/p4", "link_text": "one", "rel": None, "css_class": "x", "position": 1} and out[4][1]["url_resolved"] == "http://["
