@@ -218,3 +218,18 @@ def test_links_hold_a_slice_of_a_batch(monkeypatch):
     out = M._html_links(pa.array(pages), pa.array(["https://a.example/"] * 12)).to_pylist()
     assert [len(x) for x in out] == [2] * 10 + [0, 0]
     assert out[4][0] == {"url_raw": "/p4", "url_resolved": "https://a.example/p4", "link_text": "one", "rel": None, "css_class": "x", "position": 1} and out[4][1]["url_resolved"] == "http://["
+
+
+def test_equal_pages_are_read_once(monkeypatch):
+    """10,000 pages of 10 dates take 10 readings; fields are those of the whole reading, also of pages that are null or no details."""
+    import pyarrow as pa
+
+    read, seen = B.parse_detail, []
+    monkeypatch.setattr(B, "parse_detail", lambda m, b: seen.append(m) or read(m, b))
+    B._remembered.cache_clear()
+    page = lambda k: f"<div id=job-content><h1>x</h1><p><b>Closes:</b> <span><time>Sep {k} 2026 </time></span> Eastern<br><b>Odd:</b> y</p></div>"
+    pages = [page(k % 10) for k in range(10_000)]
+    out = B._detail_fields(pa.array(pages)).to_pylist()
+    assert len(seen) == 10 and out[:10] == [read(m, None)["fields"] for m in pages[:10]] and out[17] == out[7]
+    odd = [None, "", "no page", page(3), None]
+    assert B._detail_fields(pa.array(odd)).to_pylist() == [[dict(f) for f in read(m, None)["fields"]] for m in odd]

@@ -449,7 +449,7 @@ def detail_dates(e: Evidence) -> DataFrame:
     """Dates of detail pages, read by the parser and interpreted by the rules of dates."""
     shown = F.date_format(F.to_date("o_orderdate"), "MMM d yyyy")
     html = _cell("<div id=job-content><h1>x</h1><p><b>Applications close:</b> <span><time>", shown, " </time></span> Eastern</p><div id=job-details>y</div></div>")
-    rows = spread(e.table("orders")).select(F.col("o_orderkey").alias("page"), F.explode(B.detail(html, F.lit("https://jobs.example.com/"), "example.com", "jobs.example.com")["fields"]).alias("f"))
+    rows = spread(e.table("orders")).select(F.col("o_orderkey").alias("page"), F.explode(B.detail_fields(html)).alias("f"))
     return rows.select("page", S.source_date("f.date_display", "f.date_machine").alias("d")).select("page", "d.state", "d.precision", F.col("d.local_date").cast("string").alias("local_date"))
 
 
