@@ -313,6 +313,14 @@ def test_lines_odd(spark):
     assert line_dedup.clean(dotted).columns == dotted.columns
 
 
+def test_lines_have_one_plan_at_every_size(make):
+    """Few runs are joined with the texts as many are, so what is shuffled grows with the input and does not jump."""
+    out = line_dedup.without_repeats(make(["\n".join("abc"), "\n".join("abc"), "d"]))
+    assert sorted((r["text"] for r in out.collect()), key=len) == ["", "d", "a\nb\nc"]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_winnow_guarantee():
     r = np.random.default_rng(1)
     for _ in range(50):

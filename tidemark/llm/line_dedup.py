@@ -114,7 +114,8 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, long: int | None = LO
     gone = settled(lambda: repeated_runs(docs, window, long), "winnow-gone")
     rest = [c for c in docs.columns if c != "text"]
     rows = docs.select(F.struct(*columns(rest)).alias("rest"), "text", F.col("doc_id").alias("id"), F.xxhash64("text").alias("own"))
-    joined = rows.join(gone, (F.col("id") == gone["doc_id"]) & (F.col("own") == gone["tid"]), "left").select("rest", "text", "runs")
+    # the same plan at every size: texts are dealt once, also where the runs are still few enough to be sent to all
+    joined = rows.hint("merge").join(gone, (F.col("id") == gone["doc_id"]) & (F.col("own") == gone["tid"]), "left").select("rest", "text", "runs")
     return joined.mapInArrow(_delete, typed(rows.schema["rest"], "text string, n_lines long, removed array<int>"))
 
 
