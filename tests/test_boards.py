@@ -233,3 +233,20 @@ def test_equal_pages_are_read_once(monkeypatch):
     assert len(seen) == 10 and out[:10] == [read(m, None)["fields"] for m in pages[:10]] and out[17] == out[7]
     odd = [None, "", "no page", page(3), None]
     assert B._detail_fields(pa.array(odd)).to_pylist() == [[dict(f) for f in read(m, None)["fields"]] for m in odd]
+
+
+def test_slices_leave_at_once():
+    """The results of a slice are on their way before the next one is read."""
+    import pyarrow as pa
+
+    read = []
+
+    def of(markup, base):
+        read.append(len(markup))
+        return M._html_links(markup, base)
+
+    pages, base = pa.array([f"<a href='/{k}'>x</a>" for k in range(1_000)]), pa.array(["https://a.example/"] * 1_000)
+    out = M.slices(of, iter([(pages, base), (pages.slice(0, 0), base.slice(0, 0))]))
+    first = next(out)
+    assert len(first) == M.SLICE and read == [M.SLICE]
+    assert pa.concat_arrays([first, *out]).equals(M._html_links(pages, base))
