@@ -39,6 +39,31 @@ def test_numbers_of_a_thousand_pages_in_any_order(spark):
     assert {r["page_number"] for r in T.numbered(pages, scans, 10).collect()} == set(range(1, 11))
 
 
+def test_numbers_of_pages_that_are_passed_over(spark, monkeypatch):
+    """Against a walk of each scan: links that meet, lead back, to themselves and nowhere, several first pages; and each link is joined but a few times."""
+    r = random.Random(5)
+    rows, starts = [], []
+    for scan in range(30):
+        urls = [f"u{k}" for k in range(r.randrange(1, 60))]
+        onward = dict(zip(urls, urls[1:], strict=False))
+        onward |= {u: r.choice([*urls, "lost", None]) for u in r.sample(urls, len(urls) // 8)}
+        rows += [(scan, u, onward.get(u)) for u in urls]
+        starts += [(scan, u) for u in {urls[0], r.choice(urls)}] + [(scan, "lost")]
+    want, onward = {}, {(s, u): (s, v) for s, u, v in rows}
+    for at in starts:
+        n = 1
+        while at in onward and want.get(at, 1 << 30) > n:
+            want[at] = n
+            at, n = onward[at], n + 1
+    r.shuffle(rows)
+    pages, scans = spark.createDataFrame(rows, "scan_id long, url string, next_url string"), spark.createDataFrame(starts, "scan_id long, start_url string")
+    sizes, real = [], T._passed
+    monkeypatch.setattr(T, "_passed", lambda links, k: sizes.append(links.count()) or real(links, k))
+    for few in (1 << 20, 100):
+        assert {(x["scan_id"], x["url"]): x["page_number"] for x in T.numbered(pages, scans, few=few).collect()} == want
+    assert len(sizes) > 2 and sum(sizes) < 5 * sizes[0]
+
+
 def test_ends(spark):
     five = list("abcde")
     cases = {

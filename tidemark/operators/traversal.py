@@ -2,7 +2,8 @@
 
 Pages come in any order and without numbers. A page's number is its distance from the scan's first page, found by pointer doubling:
 each round joins what is reached with the links that are twice as long, so a chain of 1,000 pages takes ten rounds, whatever the
-number of scans. Links may lead back, meet or lead nowhere; the smallest distance counts.
+number of scans. Of many links, pages are first passed over: each round a quarter of them, no two in a row, so that all these rounds together join about four
+times the links, however long the chains are; they are numbered from the pages before them at the end. Links may lead back, meet or lead nowhere; the smallest distance counts.
 """
 
 from __future__ import annotations
@@ -13,29 +14,64 @@ from pyspark.sql import functions as F
 from tidemark.sources.stages import cut
 
 
-def numbered(pages: DataFrame, scans: DataFrame, most: int | None = None) -> DataFrame:
+#: With so many links or fewer none is passed over; doubling is quicker then.
+FEW = 1 << 19
+
+
+def _passed(links: DataFrame, k: int) -> DataFrame:
+    """The links that are left when pages are passed over, with ``via`` and ``via_d``: the page that a link led to, and how far, if it was passed over.
+
+    A page is passed over if its coin of round ``k`` is heads and that of the next page is tails, so never two in a row. First pages and those without onward links stay.
+    """
+    coin = lambda c: F.xxhash64(F.lit(k), "scan_id", c).bitwiseAND(1) == 1
+    links = links.withColumn("over", coin("url") & ~coin("to") & ~F.col("first"))
+    over = links.where("over").select("scan_id", F.col("url").alias("to"), F.col("to").alias("far"), F.col("d").alias("more"))
+    via = F.when(F.col("far").isNotNull(), F.col("to"))
+    out = links.where("not over").join(over, ["scan_id", "to"], "left")
+    return out.select("scan_id", "url", F.coalesce("far", "to").alias("to"), (F.col("d") + F.coalesce("more", F.lit(0))).alias("d"), "first", via.alias("via"), F.col("d").alias("via_d"))
+
+
+def numbered(pages: DataFrame, scans: DataFrame, most: int | None = None, few: int = FEW) -> DataFrame:
     """scan_id, url, page_number of the pages (scan_id, url, next_url; each url once in a scan) that the scans' (scan_id, start_url) links reach.
 
-    ``most``: pages beyond this number are of no interest, which bounds the rounds.
+    ``most``: pages beyond this number are of no interest, which bounds the rounds. ``few``: pages are passed over while there are more links.
     """
-    jumps = pages.where("next_url is not null").select("scan_id", "url", F.col("next_url").alias("to"))
     first = scans.select("scan_id", F.col("start_url").alias("url"), F.lit(1).cast("long").alias("page_number"))
     reached = cut(first.join(pages.select("scan_id", "url"), ["scan_id", "url"], "left_semi"))
     # links to pages that were never landed lead nowhere
-    jumps = cut(jumps.join(pages.select("scan_id", F.col("url").alias("to")), ["scan_id", "to"], "left_semi").select("scan_id", "url", "to"))
-    stride, have = 1, reached.count()
+    links = pages.where("next_url is not null").select("scan_id", "url", F.col("next_url").alias("to"))
+    links = links.join(pages.select("scan_id", F.col("url").alias("to")), ["scan_id", "to"], "left_semi")
+    starts = reached.select("scan_id", "url").distinct().withColumn("first", F.lit(True))
+    links = cut(links.join(starts, ["scan_id", "url"], "left").select("scan_id", "url", "to", F.lit(1).cast("long").alias("d"), F.coalesce("first", F.lit(False)).alias("first")))
+    passed, n, before = [], links.count(), None
+    while n > few and (before is None or n < 0.95 * before):
+        left = cut(_passed(links, len(passed)))
+        passed.append(left.where("via is not null").select("scan_id", "url", F.col("via").alias("to"), F.col("via_d").alias("d")))
+        # a link of a page to itself makes no number smaller
+        links = left.where("url <> to").select("scan_id", "url", "to", "d", "first")
+        before, n = n, links.count()
+    jumps, stride = links.select("scan_id", "url", "to", "d"), 1
+    size = F.struct(F.count("*"), F.sum("page_number"))
+    have = reached.agg(size).first()
     while most is None or stride < most:
-        further = reached.join(jumps, ["scan_id", "url"]).select("scan_id", F.col("to").alias("url"), (F.col("page_number") + stride).alias("page_number"))
-        reached = cut(reached.union(further).groupBy("scan_id", "url").agg(F.min("page_number").alias("page_number")))
-        before, have = have, reached.count()
+        reached = cut(_with_next(reached, jumps))
+        before, have = have, reached.agg(size).first()
         if have == before:
             break
-        onward = jumps.select("scan_id", F.col("url").alias("to"), F.col("to").alias("far"))
-        jumps = cut(jumps.join(onward, ["scan_id", "to"]).select("scan_id", "url", F.col("far").alias("to")))
+        onward = jumps.select("scan_id", F.col("url").alias("to"), F.col("to").alias("far"), F.col("d").alias("more"))
+        jumps = cut(jumps.join(onward, ["scan_id", "to"]).select("scan_id", "url", F.col("far").alias("to"), (F.col("d") + F.col("more")).alias("d")))
         stride *= 2
+    for level in reversed(passed):
+        reached = cut(_with_next(reached, level))
     return reached if most is None else reached.where(F.col("page_number") <= most)
 
 
+def _with_next(reached: DataFrame, links: DataFrame) -> DataFrame:
+    """What is reached and what its links lead to, each page with its smallest number."""
+    further = reached.join(links, ["scan_id", "url"]).select("scan_id", F.col("to").alias("url"), (F.col("page_number") + F.col("d")).alias("page_number"))
+    return reached.union(further).groupBy("scan_id", "url").agg(F.min("page_number").alias("page_number"))
+
+
 def walked(pages: DataFrame, scans: DataFrame) -> DataFrame:
     """The pages with page_number, place and ``end``.
 
